@@ -1,0 +1,104 @@
+from __future__ import annotations
+
+import pytest
+from pyspark.sql import functions as F, types as T
+
+from wharf.functions import attributes as A, digits, json as J
+from wharf.functions.once import with_once
+from wharf.functions.text import instant_text, is_blank, utf8
+
+
+def one(spark, column):
+    return spark.range(1).select(column.alias("c")).first().c
+
+
+@pytest.mark.parametrize(
+    ("text", "blank"),
+    [(None, True), ("", True), (" \t\n", True), (" ", True), (" ", False), ("a ", False)],
+)
+def test_blank_follows_java_whitespace(spark, text, blank):
+    assert one(spark, is_blank(F.lit(text).cast("string"))) is blank
+
+
+def test_invalid_utf8_is_replaced(spark):
+    assert one(spark, utf8(F.unhex(F.lit("FF41")))) == "�A"
+
+
+@pytest.mark.parametrize(
+    ("when", "text"),
+    [
+        ("2024-01-02 03:04:05", "2024-01-02T03:04:05Z"),
+        ("2024-01-02 03:04:05.1", "2024-01-02T03:04:05.100Z"),
+        ("2024-01-02 03:04:05.120", "2024-01-02T03:04:05.120Z"),
+        ("2024-01-02 03:04:05.000001", "2024-01-02T03:04:05.000001Z"),
+    ],
+)
+def test_instant_text(spark, when, text):
+    zoneless = F.lit(when).cast("timestamp_ntz")
+    assert one(spark, instant_text(zoneless, T.TimestampNTZType())) == text
+    zoned = F.lit(when + "+00:00").cast("timestamp")
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert one(spark, instant_text(zoned, T.TimestampType())) == text
+    finally:
+        spark.conf.unset("spark.sql.session.timeZone")
+
+
+def test_put_overwrites_and_keeps(spark):
+    df = spark.createDataFrame([({"a": "1", "b": "2"},)], "m map<string,string>")
+    assert df.select(A.put(F.col("m"), {"b": F.lit("x"), "c": F.lit("y")})).first()[0] == {
+        "a": "1",
+        "b": "x",
+        "c": "y",
+    }
+
+
+def test_headers_last_wins_without_session_setting(spark):
+    schema = "h array<struct<key:string,value:binary>>"
+    data = [
+        ([("k", b"1"), ("z", None), ("k", b"2")],),
+        ([],),
+        (None,),
+    ]
+    df = spark.createDataFrame(data, schema)
+    got = [r[0] for r in df.select(A.from_headers(F.col("h"))).collect()]
+    assert got == [{"k": "2", "z": ""}, {}, {}]
+
+
+def test_digit_strings_order_as_numbers(spark):
+    values = ["10", "2", "0009", "0", "000", "4959033827" + "0" * 45 + "1", "99999999999"]
+    df = spark.createDataFrame([(v,) for v in values], "s string")
+    got = [r.s for r in df.orderBy(digits.order(F.col("s")), "s").collect()]
+    assert [int(v) for v in got] == sorted(int(v) for v in values)
+    assert df.select(F.max(digits.order(F.col("s")))["digits"]).first()[0] == values[5]
+
+
+SINGLE = ['{"a":1}', " [1] ", '"x"', "1", "-1.5e3", "true", "null", '{"a":1,"a":2}', "{}", "[]"]
+BROKEN = [
+    "", "  ", '{"a":1} x', '{"a":1}{"b":2}', '{"a":1}],[', '1,"y":2', "1,2", '1],"y":[2', "1]",
+    "1}", '{"a":1', "{a:1}", "nul", "nullx", "[1,]", '"x', "01", "1 2", '{"a":1},', ',{"a":1}',
+    '{"a":1},"b":{', "NaN",
+]
+
+
+def test_exactly_one_value(spark):
+    df = spark.createDataFrame([(t,) for t in SINGLE + BROKEN], "t string")
+    docs = with_once(df, "d", J.document(F.col("t"))).select("t", F.col("d.root").isNotNull())
+    verdict = dict(tuple(r) for r in docs.collect())
+    assert [t for t in SINGLE if not verdict[t]] == []
+    assert [t for t in BROKEN if verdict[t]] == []
+
+
+def test_type_tags(spark):
+    texts = ['"x"', "1", "1.5", "1e300", "12345678901234567890123", "true", "{}", '{"a":1}', "[]",
+             "[1]", "null"]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    got = [r[0] for r in df.select(J.type_tag(F.try_parse_json("t"))).collect()]
+    assert got == ["STRING"] + ["NUMBER"] * 4 + ["BOOLEAN", "OBJECT", "OBJECT", "ARRAY", "ARRAY", None]
+
+
+def test_with_once_keeps_rows_and_is_not_inlined(spark):
+    df = with_once(spark.range(5), "x", F.when(F.col("id") > 2, F.col("id") * 10))
+    plan = df.where("x is not null")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Filter isnotnull(x") < plan.index("Generate")
+    assert [r.x for r in df.orderBy("id").collect()] == [None, None, None, 30, 40]

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wharf import fixtures as X
 from wharf.functions import attributes as A, digits
 from wharf.operators import contracts, delivery, outcomes, routing
-from wharf.session import configure, work_folder
+from wharf.session import configure, settle, work_folder
 from wharf.sinks import batches, results, rows, writers
 from wharf.sources import intake, positions, records
 from wharf.streaming import ledgers, routes as route_streams
@@ -251,7 +251,7 @@ def kafka_rows(spark: SparkSession, sf: str) -> DataFrame:
         "topic",
         _bytes("key", "key_hex"),
         _bytes("value", "value_hex"),
-        F.array_join(F.array_sort(headers), ";").alias("headers"),
+        F.array_join(F.sort_array(headers), ";").alias("headers"),
     )
 
 
@@ -370,12 +370,12 @@ def _bridge_routes(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _accepted_bridge(spark: SparkSession, sf: str) -> DataFrame:
-    return routing.accepted(routing.check_bridge_routes(_bridge_routes(spark, sf)))
+    return settle(routing.accepted(routing.check_bridge_routes(_bridge_routes(spark, sf))))
 
 
 def _accepted_relay(spark: SparkSession, sf: str) -> DataFrame:
     routes = X.relay_routes(X.table(spark, sf, "nation"))
-    return routing.accepted(routing.check_relay_routes(routes))
+    return settle(routing.accepted(routing.check_relay_routes(routes)))
 
 
 def _backbone(spark: SparkSession, sf: str) -> DataFrame:
@@ -495,7 +495,7 @@ def inflight(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def bad_acks(spark: SparkSession, sf: str) -> DataFrame:
     events = X.table(spark, sf, "events")
-    delivered = X.event_messages(events)
+    delivered = X.event_messages(events).select("id")
     return delivery.refused_acks(delivered, X.noisy_acks(events)).select(
         "id", "ack_seq", "cause", "message"
     )

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
+from wharf.functions.once import once
+
 
 def empty() -> Column:
     return F.create_map().cast("map<string,string>")
@@ -26,10 +28,11 @@ def drop(attributes: Column, *keys: str) -> Column:
 
 def from_headers(headers: Column) -> Column:
     """Header array to attributes: last entry of a key wins, null value becomes ''."""
-    backwards = F.reverse(F.transform(headers, lambda h: h["key"]))
-    latest = F.filter(
-        headers,
-        lambda h, i: F.array_position(backwards, h["key"]) == F.size(headers) - i,
+    latest = once(
+        F.reverse(F.transform(headers, lambda h: h["key"])),
+        lambda backwards: F.filter(
+            headers, lambda h, i: F.array_position(backwards, h["key"]) == F.size(headers) - i
+        ),
     )
     entries = F.transform(
         latest,
@@ -51,7 +54,7 @@ def to_headers(attributes: Column) -> Column:
 def as_text(attributes: Column) -> Column:
     """``k=v`` pairs sorted by key and joined with ``;`` — for reports and comparisons."""
     pairs = F.transform(
-        F.array_sort(F.map_keys(attributes)),
+        F.sort_array(F.map_keys(attributes)),
         lambda k: F.concat(k, F.lit("="), F.element_at(attributes, k)),
     )
     return F.array_join(pairs, ";")

@@ -7,39 +7,48 @@ continue an array and an object at the same time, which no text can.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
-
 from pyspark.sql import Column, functions as F
 
+from wharf.functions.once import once
+
 # The type tags of a required field.
 FIELD_TYPES = ("STRING", "NUMBER", "BOOLEAN", "OBJECT", "ARRAY")
 
 
-@dataclass(frozen=True)
-class Document:
-    """Columns describing one JSON text."""
-
-    is_single: Column  # exactly one value, nothing else
-    root: Column  # that value as a variant; null unless is_single
-    starts_null: Column  # the first value is the null literal
-    has_trailing: Column  # a first value exists but more text follows
-    is_void: Column  # nothing but JSON whitespace
+def document(text: Column) -> Column:
+    """What one JSON text holds, as a struct.
 
-
-def document(text: Column) -> Document:
+    ``root``: the value as a variant, if the text is exactly one value, else null.
+    ``starts_null``: the first value is the null literal.
+    ``has_trailing``: a first value exists but more text follows it.
+    ``is_void``: nothing but JSON whitespace.
+    """
     in_array = F.try_parse_json(F.concat(F.lit("["), text, F.lit("]")))
     in_object = F.try_parse_json(F.concat(F.lit('{"x":'), text, F.lit("}")))
-    single = in_array.isNotNull() & in_object.isNotNull()
-    # Only rows that are not a single document pay for this third parse.
-    first = F.when(~single, F.try_parse_json(text))
-    root = F.when(single, F.variant_get(in_array, "$[0]", "variant"))
-    return Document(
-        is_single=single,
-        root=root,
-        starts_null=F.coalesce(F.is_variant_null(F.when(single, root).otherwise(first)), F.lit(False)),
-        has_trailing=first.isNotNull(),
-        is_void=text.rlike(r"\A[ \t\r\n]*\z"),
-    )
+
+    def values(array: Column) -> Column:
+        # A failed parse is the costly one, so the second try needs the first to succeed.
+        fits = F.when(array.isNotNull(), in_object.isNotNull()).otherwise(F.lit(False))
+        return once(
+            fits,
+            lambda single: F.struct(
+                F.when(single, F.variant_get(array, "$[0]", "variant")).alias("root"),
+                # Only rows that are not a single document pay for this parse.
+                F.when(~single, F.try_parse_json(text)).alias("first"),
+            ),
+        )
+
+    def described(v: Column) -> Column:
+        return F.struct(
+            v["root"].alias("root"),
+            F.coalesce(F.is_variant_null(F.coalesce(v["root"], v["first"])), F.lit(False)).alias(
+                "starts_null"
+            ),
+            v["first"].isNotNull().alias("has_trailing"),
+            F.coalesce(text.rlike(r"\A[ \t\r\n]*\z"), F.lit(False)).alias("is_void"),
+        )
+
+    return once(in_array, lambda array: once(values(array), described))
 
 
 # How the variant type names of JSON values start, and their tags.
@@ -74,4 +83,4 @@ def members(root: Column) -> Column:
 
 def text_of(value: Column) -> Column:
     """The text of a JSON string; null for any other type."""
-    return F.when(type_tag(value) == "STRING", F.try_variant_get(value, "$", "string"))
+    return F.when(F.schema_of_variant(value) == "STRING", F.try_variant_get(value, "$", "string"))

@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wharf.functions import json as J
+from wharf.functions.once import once, with_once
 from wharf.functions.text import is_blank
 from wharf.plans.joins import lookup
 from wharf.schemas import REQUIRED_FIELDS
 
+Validator = Callable[[Column], Column]
+
 # Reasons a payload or a schema definition is refused.
 EMPTY_PAYLOAD = "empty payload"
 EMPTY_DOCUMENT = "non-JSON payload: empty document"
@@ -72,66 +77,81 @@ def decode(df: DataFrame, text: str) -> DataFrame:
     Exactly one of the two is null. Entries are checked in order and the first broken one
     gives the reason.
     """
-    doc = J.document(F.col(text))
-    staged = df.withColumns(
-        {
-            "__root": doc.root,
-            "__outer": F.when(F.col(text).isNull(), DEFINITION_NULL)
-            .when(doc.is_void, DEFINITION_EMPTY)
-            .when(~doc.is_single & doc.has_trailing, DEFINITION_TRAILING)
-            .when(~doc.is_single, DEFINITION_MALFORMED),
-        }
-    )
-    kind = J.type_tag(F.col("__root"))
-    staged = staged.withColumn("__list", F.element_at(J.members(F.col("__root")), "requiredFields"))
-    entries = F.try_variant_get("__list", "$", "array<variant>")
-    staged = staged.withColumn(
-        "__outer",
-        F.coalesce(
-            F.col("__outer"),
-            F.when(F.coalesce(kind, F.lit("NULL")) != "OBJECT", DEFINITION_NOT_OBJECT)
-            .when(F.col("__list").isNull(), FIELDS_MISSING)
-            .when(
-                F.coalesce(J.type_tag(F.col("__list")), F.lit("NULL")) != "ARRAY", FIELDS_NOT_ARRAY
+
+
+    def entry(e: Column) -> Column:
+        return once(
+            J.members(e),
+            lambda m: F.struct(
+                m.isNotNull().alias("is_object"),
+                J.text_of(F.element_at(m, "name")).alias("name"),
+                J.text_of(F.element_at(m, "type")).alias("type"),
             ),
-        ),
-    ).withColumn(
-        "__entries",
-        F.when(
-            F.col("__outer").isNull(),
-            F.transform(
-                entries,
-                lambda e: F.struct(
-                    F.coalesce(J.type_tag(e) == "OBJECT", F.lit(False)).alias("is_object"),
-                    J.text_of(F.element_at(J.members(e), "name")).alias("name"),
-                    J.text_of(F.element_at(J.members(e), "type")).alias("type"),
+        )
+
+    def refusal(entries: Column) -> Column:
+        names = F.transform(entries, lambda e: e["name"])
+        reasons = F.transform(
+            entries,
+            lambda e, i: F.when(~e["is_object"], F.lit(ENTRY_NOT_OBJECT))
+            .when(is_blank(e["name"]), ENTRY_NAME)
+            .when(e["type"].isNull(), ENTRY_TYPE)
+            .when(
+                F.array_position(names, e["name"]) != i + 1,
+                F.concat(F.lit(DUPLICATE_NAME), e["name"]),
+            )
+            .when(~e["type"].isin(*J.FIELD_TYPES), F.concat(F.lit(UNKNOWN_TYPE), e["type"])),
+        )
+        return F.get(F.filter(reasons, lambda r: r.isNotNull()), F.lit(0))
+
+    def result(reason: Column, entries: Column | None = None) -> Column:
+        fields = F.lit(None)
+        if entries is not None:
+            fields = F.when(
+                reason.isNull(),
+                F.transform(
+                    entries, lambda e: F.struct(e["name"].alias("name"), e["type"].alias("type"))
                 ),
+            )
+        return F.struct(reason.alias("reason"), fields.cast(REQUIRED_FIELDS).alias("fields"))
+
+    def of_list(found: Column) -> Column:
+        """``found`` is the requiredFields value."""
+        return once(
+            F.when(J.type_tag(found) == "ARRAY", F.try_variant_get(found, "$", "array<variant>")),
+            lambda items: F.when(items.isNull(), result(F.lit(FIELDS_NOT_ARRAY))).otherwise(
+                once(
+                    F.transform(items, entry),
+                    lambda entries: once(refusal(entries), lambda r: result(r, entries)),
+                )
             ),
-        ),
-    )
-    names = F.transform("__entries", lambda e: e["name"])
-    reasons = F.transform(
-        "__entries",
-        lambda e, i: F.when(~e["is_object"], F.lit(ENTRY_NOT_OBJECT))
-        .when(is_blank(e["name"]), ENTRY_NAME)
-        .when(e["type"].isNull(), ENTRY_TYPE)
-        .when(
-            F.array_position(names, e["name"]) != i + 1,
-            F.concat(F.lit(DUPLICATE_NAME), e["name"]),
         )
-        .when(~e["type"].isin(*J.FIELD_TYPES), F.concat(F.lit(UNKNOWN_TYPE), e["type"])),
-    )
-    first = F.get(F.filter(reasons, lambda r: r.isNotNull()), F.lit(0))
-    return (
-        staged.withColumn("reason", F.coalesce(F.col("__outer"), first))
-        .withColumn(
-            "required_fields",
-            F.when(
-                F.col("reason").isNull(),
-                F.transform("__entries", lambda e: F.struct(e["name"], e["type"])),
-            ).cast(REQUIRED_FIELDS),
+
+    def of_members(members: Column) -> Column:
+        listed = F.element_at(members, "requiredFields")
+        return F.when(members.isNull(), result(F.lit(DEFINITION_NOT_OBJECT))).otherwise(
+            once(
+                listed,
+                lambda found: F.when(found.isNull(), result(F.lit(FIELDS_MISSING))).otherwise(
+                    of_list(found)
+                ),
+            )
         )
-        .drop("__root", "__outer", "__list", "__entries")
+
+    def of_document(doc: Column) -> Column:
+        return (
+            F.when(F.col(text).isNull(), result(F.lit(DEFINITION_NULL)))
+            .when(doc["is_void"], result(F.lit(DEFINITION_EMPTY)))
+            .when(doc["has_trailing"], result(F.lit(DEFINITION_TRAILING)))
+            .when(doc["root"].isNull(), result(F.lit(DEFINITION_MALFORMED)))
+            .otherwise(once(J.members(doc["root"]), of_members))
+        )
+
+    decoded = with_once(df, "__decoded", once(J.document(F.col(text)), of_document))
+    return decoded.select(
+        *df.columns,
+        F.col("__decoded.fields").alias("required_fields"),
+        F.col("__decoded.reason").alias("reason"),
     )
 
 
@@ -142,86 +162,87 @@ def _payload_text(payload: Column) -> Column:
     """Payload as text without a byte-order mark; null for bytes that are not UTF-8."""
     text = payload.cast("string")
     valid = F.when(F.is_valid_utf8(text), text)
-    return F.when(F.startswith(valid, F.lit("﻿")), F.substring(valid, 2, 2**31 - 1)).otherwise(
+    return F.when(F.startswith(valid, F.lit("\ufeff")), F.substring(valid, 2, 2**31 - 1)).otherwise(
         valid
     )
 
 
-def validate(df: DataFrame, validators: dict[str, object] | None = None) -> DataFrame:
+def validate(df: DataFrame, validators: Mapping[str, Validator] | None = None) -> DataFrame:
     """Add ``violation`` (``field_name, reason``; null when the row is fine).
 
     ``df`` is an envelope table with a ``required_fields`` column; a null list means the
     topic has no contract and the row passes. Only the first failure is reported.
-    ``validators`` maps a topic to a function of a DataFrame that returns it with its own
-    ``violation`` column, in place of the field list.
+    ``validators`` gives a topic its own check in place of the field list: a function from
+    the payload column to a reason (null = fine); a pandas UDF will do.
     """
-    for topic in validators or {}:
-        if topic is None:
-            raise ValueError("a validator needs a topic")
-    if validators:
-        rest = df.where(~F.col("topic").isin(*validators))
-        checked = validate(rest)
-        for topic, check in validators.items():
-            own = check(df.where(F.col("topic") == topic))
-            checked = checked.unionByName(own.select(*checked.columns))
-        return checked
-
-    text = F.col("__text")
-    doc = J.document(text)
-    kind = J.type_tag(F.col("__root"))
-    document_reason = (
-        F.when(F.length("payload") == 0, EMPTY_PAYLOAD)
-        .when(text.isNull(), MALFORMED)
-        .when(doc.is_void | doc.starts_null, EMPTY_DOCUMENT)
-        .when(~doc.is_single & doc.has_trailing, TRAILING)
-        .when(~doc.is_single, MALFORMED)
-        .when(kind != "OBJECT", F.concat(F.lit(NOT_OBJECT), kind))
-    )
-    staged = (
-        # Topics without a contract skip the parsing.
-        df.withColumn(
-            "__text", F.when(F.col("required_fields").isNotNull(), _payload_text(F.col("payload")))
+
+    def first_broken(members: Column) -> Column:
+        typed = F.transform(
+            "required_fields",
+            lambda f: F.struct(
+                f["name"].alias("name"),
+                f["type"].alias("type"),
+                J.type_tag(F.element_at(members, f["name"])).alias("got"),
+            ),
         )
-        .withColumn("__root", doc.root)
-        .withColumn("__document", document_reason)
-        .withColumn(
-            "__members", F.when(F.col("__document").isNull(), J.members(F.col("__root")))
+        wrong = F.filter(typed, lambda f: f["got"].isNull() | (f["got"] != f["type"]))
+        return once(
+            F.get(wrong, F.lit(0)),
+            lambda f: F.when(
+                f.isNotNull(),
+                _violation(
+                    f["name"],
+                    F.when(f["got"].isNull(), F.lit(MISSING_FIELD)).otherwise(
+                        F.concat(F.lit("expected "), f["type"], F.lit(", got "), f["got"])
+                    ),
+                ),
+            ),
         )
-    )
 
-    typed = F.transform(
-        "required_fields",
-        lambda f: F.struct(
-            f["name"].alias("name"),
-            f["type"].alias("type"),
-            J.type_tag(F.element_at("__members", f["name"])).alias("got"),
-        ),
-    )
-    broken = F.transform(
-        F.filter(typed, lambda f: f["got"].isNull() | (f["got"] != f["type"])),
-        lambda f: F.struct(
-            f["name"].alias("field_name"),
-            F.when(f["got"].isNull(), F.lit(MISSING_FIELD))
-            .otherwise(F.concat(F.lit("expected "), f["type"], F.lit(", got "), f["got"]))
-            .alias("reason"),
-        ),
-    )
-    no_field = F.struct(
-        F.lit(None).cast("string").alias("field_name"), F.col("__document").alias("reason")
-    )
+    def of_root(root: Column) -> Column:
+        other = F.concat(F.lit(NOT_OBJECT), J.type_tag(root))
+        return once(
+            J.members(root),
+            lambda m: F.when(m.isNull(), _violation(None, other)).otherwise(first_broken(m)),
+        )
+
+    def of_document(doc: Column) -> Column:
+        return (
+            F.when(doc["is_void"] | doc["starts_null"], _violation(None, F.lit(EMPTY_DOCUMENT)))
+            .when(doc["has_trailing"], _violation(None, F.lit(TRAILING)))
+            .when(doc["root"].isNull(), _violation(None, F.lit(MALFORMED)))
+            .otherwise(of_root(doc["root"]))
+        )
+
+    payload = F.col("payload")
+    # Topics without a contract skip the parsing.
     violation = F.when(
         F.col("required_fields").isNotNull(),
-        F.when(F.col("__document").isNotNull(), no_field).otherwise(F.get(broken, F.lit(0))),
-    )
-    return staged.withColumn("violation", violation).drop(
-        "__text", "__root", "__document", "__members"
+        F.when(F.length(payload) == 0, _violation(None, F.lit(EMPTY_PAYLOAD))).otherwise(
+            once(_payload_text(payload), lambda text: once(J.document(text), of_document))
+        ),
     )
+    for topic, check_payload in (validators or {}).items():
+        own = check_payload(payload)
+        violation = F.when(
+            F.col("topic") == topic, F.when(own.isNotNull(), _violation(None, own))
+        ).otherwise(violation)
+    return with_once(df, "violation", violation)
+
+
+def _violation(field: Column | None, reason: Column) -> Column:
+    name = F.lit(None).cast("string") if field is None else field
+    return F.struct(name.alias("field_name"), reason.alias("reason"))
 
 
-def check(messages: DataFrame, schemas: DataFrame) -> DataFrame:
+def check(
+    messages: DataFrame,
+    schemas: DataFrame,
+    validators: Mapping[str, Validator] | None = None,
+) -> DataFrame:
     """Look the contract of each message up by topic and validate; other topics pass."""
     bound = lookup(messages, schemas.select("topic", "required_fields"), ["topic"], "left")
-    return validate(bound).drop("required_fields")
+    return validate(bound, validators).drop("required_fields")
 
 
 def message_of(topic: Column, field: Column, reason: Column) -> Column:

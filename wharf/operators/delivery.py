@@ -21,15 +21,30 @@ UNKNOWN_ACK_HEAD = "Unknown message: "
 UNKNOWN_ACK_TAIL = ". Only messages returned by poll() can be acknowledged."
 
 
-def unacked(delivered: DataFrame, acks: DataFrame) -> DataFrame:
-    """Delivered rows whose id was never acked."""
-    return delivered.join(acks.select("id"), "id", "left_anti")
+def once_each(delivered: DataFrame, *columns: str | Column) -> DataFrame:
+    """One row per message id; copies of a redelivered message agree in ``columns``.
+
+    Copies fold together before the shuffle, and the result is laid out by id for the joins
+    with acks, which then meet no repeated id on either side.
+    """
+    named = [F.col(c) if isinstance(c, str) else c for c in columns]
+    rows = delivered.select("id", *named)
+    return rows.groupBy("id").agg(*[F.min(c).alias(c) for c in rows.columns if c != "id"])
+
+
+def first_acks(acks: DataFrame) -> DataFrame:
+    return acks.groupBy("id").agg(F.min("ack_seq").alias("ack_seq"))
+
+
+def unacked(delivered: DataFrame, acks: DataFrame, *columns: str | Column) -> DataFrame:
+    """Delivered messages that were never acked."""
+    return once_each(delivered, *columns).join(acks.select("id").distinct(), "id", "left_anti")
 
 
 def acked(delivered: DataFrame, acks: DataFrame) -> DataFrame:
-    """Delivered rows with the order of their first ack (null while unacked)."""
-    first = acks.groupBy("id").agg(F.min("ack_seq").alias("ack_seq"))
-    return delivered.join(first, "id", "left")
+    """Delivered messages with the order of their first ack (null while unacked)."""
+    rows = once_each(delivered, *PARTITION, "off")
+    return rows.join(first_acks(acks), "id", "left")
 
 
 def partition_state(
@@ -43,11 +58,8 @@ def partition_state(
     seen = delivered.groupBy(*keys).agg(
         F.min(position).alias("first_pos"), F.max(position).alias("last_pos")
     )
-    # A message delivered twice is outstanding once.
     held = (
-        unacked(delivered, acks)
-        .select(*keys, position.alias("__pos"))
-        .distinct()
+        unacked(delivered, acks, *keys, position.alias("__pos"))
         .groupBy(*keys)
         .agg(F.min("__pos").alias("first_unacked"), F.count("*").alias("outstanding"))
     )
@@ -90,30 +102,35 @@ def merge_checkpoints(*snapshots: DataFrame) -> DataFrame:
 
 def in_flight(delivered: DataFrame, acks: DataFrame, cap: int, keys: list[str]) -> DataFrame:
     """Delivered, unacked ids per consumer and whether that reaches the cap (0 = no cap)."""
-    ids = unacked(delivered, acks).select(*keys, "id").distinct()
-    held = ids.groupBy(*keys).agg(F.count("*").alias("in_flight"))
+    held = unacked(delivered, acks, *keys).groupBy(*keys).agg(F.count("*").alias("in_flight"))
     everyone = delivered.select(*keys).distinct()
     counted = everyone.join(held, keys, "left").fillna({"in_flight": 0})
     hit = F.lit(cap > 0) & (F.col("in_flight") >= cap)
     return counted.withColumn("cap_reached", hit)
 
 
-def refused_acks(delivered: DataFrame, acks: DataFrame, span: int = SPAN) -> DataFrame:
-    """Acks of ids that were never delivered, and every ack after the first of an id."""
-    text = F.concat(F.lit(UNKNOWN_ACK_HEAD), F.col("id"), F.lit(UNKNOWN_ACK_TAIL))
-    rows = acks.select("id", "ack_seq")
-    unknown = rows.join(delivered.select("id"), "id", "left_anti").withColumn(
-        "cause", F.lit("never delivered")
+def refused_acks(delivered: DataFrame, acks: DataFrame) -> DataFrame:
+    """Acks of ids that were never delivered, and every ack after the first of an id.
+
+    Ids are judged first, one row each; only the rows of the faulty ids are then looked up.
+    """
+    per_id = acks.groupBy("id").agg(
+        F.min("ack_seq").alias("first_seq"), F.max("ack_seq").alias("last_seq")
     )
-    earlier = Running("sum", F.lit(1).cast("bigint"), exclusive=True)
-    again = (
-        running(rows, ["id"], "ack_seq", {"__earlier": earlier}, span)
-        .where(F.col("__earlier") > 0)
-        .drop("__earlier")
-        .join(delivered.select("id"), "id", "left_semi")
-        .withColumn("cause", F.lit("already acknowledged"))
+    known = delivered.select("id").distinct().withColumn("known", F.lit(True))
+    judged = per_id.join(known, "id", "left")
+    faulty = settle(
+        judged.where(F.col("known").isNull() | (F.col("first_seq") < F.col("last_seq")))
+    )
+    rows = lookup(acks.select("id", "ack_seq"), faulty.select("id", "known", "first_seq"), ["id"])
+    text = F.concat(F.lit(UNKNOWN_ACK_HEAD), F.col("id"), F.lit(UNKNOWN_ACK_TAIL))
+    strange = F.col("known").isNull()
+    return rows.where(strange | (F.col("ack_seq") > F.col("first_seq"))).select(
+        "id",
+        "ack_seq",
+        F.when(strange, "never delivered").otherwise("already acknowledged").alias("cause"),
+        text.alias("message"),
     )
-    return unknown.unionByName(again).withColumn("message", text)
 
 
 def latest_handles(deliveries: DataFrame) -> DataFrame:

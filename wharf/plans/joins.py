@@ -7,11 +7,18 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, functions as F
 
 BROADCAST_ROWS = 200_000
+BROADCAST_BYTES = 64 * 1024 * 1024
 
 
-def fits(small: DataFrame, rows: int = BROADCAST_ROWS) -> bool:
-    """Count at most ``rows + 1`` rows of ``small``."""
-    return small.limit(rows + 1).count() <= rows
+def fits(small: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
+    """Measure at most ``rows + 1`` rows of ``small``, by number and by rendered size."""
+    rendered = F.length(F.to_json(F.struct("*")))
+    n, total = (
+        small.limit(rows + 1)
+        .agg(F.count("*"), F.coalesce(F.sum(rendered), F.lit(0)))
+        .first()
+    )
+    return n <= rows and total <= size
 
 
 def lookup(
@@ -23,7 +30,7 @@ def lookup(
 ) -> DataFrame:
     """Join ``df`` to a lookup table.
 
-    A table of at most ``rows`` narrow rows is broadcast, so ``df`` is not shuffled. A larger
+    A table within the row and size bounds is broadcast, so ``df`` is not shuffled. A larger
     one is shuffled, and adaptive execution splits the hot keys of ``df`` (both inputs
     reach the join straight from their exchange, which that split needs). Pass computed
     summaries through ``session.settle`` first, so that the check does not compute them twice.

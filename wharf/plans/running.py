@@ -4,6 +4,9 @@ A plain ``Window.partitionBy(key)`` sends every row of a key to one task. Here e
 cut into blocks of ``span`` consecutive positions. Rows are windowed per (key, block), the
 block totals (one small row each, combined map-side) are windowed per key, and the carry of
 all earlier blocks is joined back. The result is the same for every span.
+
+The input is read twice, once for the rows and once for the totals: settle it first if it
+comes from a costly join.
 """
 
 from __future__ import annotations
@@ -33,9 +36,14 @@ _AGGREGATES = {"sum": F.sum, "max": F.max, "min": F.min}
 
 
 def block_of(position: Column, span: int) -> Column:
-    """Integer division rounding down, exact for any BIGINT."""
+    """Integer division rounding down, exact for any BIGINT.
+
+    Never null, so that the join on the block adds no null filter to one side only; both
+    sides then read the same exchange.
+    """
     step = F.lit(span).cast("bigint")
-    return F.call_function("div", position - F.pmod(position, step), step)
+    quotient = F.call_function("div", position - F.pmod(position, step), step)
+    return F.coalesce(quotient, F.lit(0).cast("bigint"))
 
 
 def _merge(kind: str, carry: Column, local: Column) -> Column:

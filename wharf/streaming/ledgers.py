@@ -99,14 +99,19 @@ class AckLedger(_Ledger):
             "topic", "part", "off", "id", F.lit(None).cast("bigint").alias("ack_seq")
         )
         acks = batch.where("kind = 'ack'").select("id", "ack_seq")
-        # A row that is delivered again while open stays one row.
+        # A message delivered again while open stays one row.
         held = (
             open_rows.unionByName(arrived)
-            .groupBy("topic", "part", "off", "id")
-            .agg(F.max("ack_seq").alias("earlier"))
+            .groupBy("id")
+            .agg(
+                *[F.min(c).alias(c) for c in ("topic", "part", "off")],
+                F.max("ack_seq").alias("earlier"),
+            )
         )
-        ledger = delivery.acked(held, acks).select(
-            "topic", "part", "off", "id", F.coalesce("earlier", "ack_seq").alias("ack_seq")
+        ledger = settle(
+            held.join(delivery.first_acks(acks), "id", "left").select(
+                "topic", "part", "off", "id", F.coalesce("earlier", "ack_seq").alias("ack_seq")
+            )
         )
         batches.put(
             delivery.with_prefix(ledger, self.span).select(*_LEDGER.fieldNames()),
@@ -115,7 +120,7 @@ class AckLedger(_Ledger):
         )
         taken = open_rows.where(F.col("ack_seq").isNotNull()).select("id", "ack_seq")
         known = open_rows.select("id").unionByName(arrived.select("id"))
-        refused = delivery.refused_acks(known, acks.unionByName(taken), self.span)
+        refused = delivery.refused_acks(known, acks.unionByName(taken))
         refused = refused.join(taken, ["id", "ack_seq"], "left_anti").select(*_REFUSED.fieldNames())
         batches.put(refused, f"{self.folder}/refused", batch_id)
 

@@ -1,0 +1,234 @@
+from __future__ import annotations
+
+import json
+import random
+
+import pandas as pd
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from wharf import schemas
+from wharf.operators import contracts
+
+FIELDS = [("id", "STRING"), ("amount", "NUMBER"), ("paid", "BOOLEAN")]
+
+
+def contract(spark, *fields, topic="t"):
+    return spark.createDataFrame([(topic,)], "topic string").withColumn(
+        "required_fields", contracts.declare(*fields)
+    )
+
+
+def messages(spark, *payloads, topic="t"):
+    data = [(f"m{n}", topic, p, {}) for n, p in enumerate(payloads)]
+    return spark.createDataFrame(data, schemas.MESSAGE)
+
+
+def verdict(spark, payload: bytes, *fields):
+    got = contracts.check(messages(spark, payload), contract(spark, *(fields or FIELDS))).first()
+    return got.violation and (got.violation.field_name, got.violation.reason)
+
+
+CASES = [
+    (b'{"id":"a-1","amount":42,"paid":true}', None),
+    (b'{"id":"a-1","amount":42.5,"paid":false,"extra":{"x":[1]}}', None),
+    (b"\xef\xbb\xbf" + b'{"id":"a","amount":1,"paid":true}', None),
+    (b"", (None, "empty payload")),
+    (b" \n", (None, "non-JSON payload: empty document")),
+    (b"null", (None, "non-JSON payload: empty document")),
+    (b"null {}", (None, "non-JSON payload: empty document")),
+    (b'{"id":"a"} trailing', (None, contracts.TRAILING)),
+    (b'{"id":"a"}{"id":"b"}', (None, contracts.TRAILING)),
+    (b'{"id":', (None, contracts.MALFORMED)),
+    (b'{"id":"\xff"}', (None, contracts.MALFORMED)),
+    (b"[1,2]", (None, "expected JSON object at root, got ARRAY")),
+    (b'"x"', (None, "expected JSON object at root, got STRING")),
+    (b"12", (None, "expected JSON object at root, got NUMBER")),
+    (b"true", (None, "expected JSON object at root, got BOOLEAN")),
+    (b'{"amount":1}', ("id", "missing required field")),
+    (b'{"id":null,"amount":"x"}', ("id", "missing required field")),
+    (b'{"id":7,"amount":"x"}', ("id", "expected STRING, got NUMBER")),
+    (b'{"id":"a","amount":"x"}', ("amount", "expected NUMBER, got STRING")),
+    (b'{"id":"a","amount":1,"paid":[true]}', ("paid", "expected BOOLEAN, got ARRAY")),
+    (b'{"id":1,"id":"a","amount":1,"paid":true}', None),
+]
+
+
+def test_literal_payloads(spark):
+    df = contracts.check(messages(spark, *[p for p, _ in CASES]), contract(spark, *FIELDS))
+    got = {r.id: r.violation and tuple(r.violation) for r in df.collect()}
+    assert got == {f"m{n}": want for n, (_, want) in enumerate(CASES)}
+
+
+def test_field_names_need_no_escaping(spark):
+    payload = json.dumps({"a.b": {}, "q'\"": [], "$": "x"}).encode()
+    assert verdict(spark, payload, ("a.b", "OBJECT"), ("q'\"", "ARRAY"), ("$", "STRING")) is None
+    assert verdict(spark, b'{"a":{"b":1}}', ("a.b", "NUMBER")) == ("a.b", "missing required field")
+
+
+def test_whole_large_payloads_are_checked(spark):
+    body = b'{"id":"a","amount":1,"big":"' + b"x" * 2_000_000 + b'","paid":true}'
+    assert verdict(spark, body) is None
+    assert verdict(spark, body + b"!") == (None, contracts.TRAILING)
+
+
+def python_verdict(text: str):
+    tags = {str: "STRING", int: "NUMBER", float: "NUMBER", bool: "BOOLEAN", dict: "OBJECT", list: "ARRAY"}
+    if text == "":
+        return (None, "empty payload")
+    try:
+        value = json.loads(text)
+    except ValueError:
+        return "broken"
+    if value is None:
+        return (None, contracts.EMPTY_DOCUMENT)
+    if not isinstance(value, dict):
+        return (None, contracts.NOT_OBJECT + tags[type(value)])
+    for name, kind in FIELDS:
+        got = value.get(name)
+        if got is None:
+            return (name, contracts.MISSING_FIELD)
+        if tags[type(got)] != kind:
+            return (name, f"expected {kind}, got {tags[type(got)]}")
+    return None
+
+
+def test_random_payloads_equal_plain_json(spark):
+    rng = random.Random(5)
+    values = ['"s"', "1", "2.5", "true", "null", "{}", "[]", '{"a":[1,{"b":null}]}']
+    texts = []
+    for _ in range(300):
+        names = rng.sample(["id", "amount", "paid", "x"], rng.randint(0, 4))
+        text = "{" + ",".join(f'"{n}":{rng.choice(values)}' for n in names) + "}"
+        cut = rng.random()
+        if cut < 0.2:
+            text = text[: rng.randrange(len(text))]
+        elif cut < 0.4:
+            text += rng.choice(["}", "]", ",", " 1", "{}", "x", " "])
+        texts.append(text)
+    df = contracts.check(messages(spark, *[t.encode() for t in texts]), contract(spark, *FIELDS))
+    for row in df.collect():
+        want = python_verdict(texts[int(row.id[1:])])
+        got = row.violation and tuple(row.violation)
+        if want == "broken":
+            assert got and got[0] is None and got[1].startswith("non-JSON payload: "), row
+        else:
+            assert got == want, row
+
+
+def test_topics_without_contract_pass(spark):
+    df = messages(spark, b"not json", topic="free").unionByName(messages(spark, b"x"))
+    checked = contracts.check(df, contract(spark, *FIELDS))
+    assert rows(contracts.skip_invalid(checked).select("topic")) == [("free",)]
+    assert rows(contracts.violations(checked).select("topic", "message")) == [
+        ("t", "topic=t reason=non-JSON payload: malformed document")
+    ]
+
+
+def test_policies_and_report(spark):
+    good, bad = b'{"id":"a","amount":1,"paid":true}', b'{"id":"a"}'
+    checked = contracts.check(messages(spark, good, bad, bad), contract(spark, *FIELDS))
+    assert rows(contracts.skip_invalid(checked).select("id")) == [("m0",)]
+    assert rows(contracts.report(checked)) == [("t", "amount", "missing required field", 2)]
+    assert contracts.violations(checked).first().message == (
+        "topic=t field=amount reason=missing required field"
+    )
+    with pytest.raises(Exception, match="topic=t field=amount reason=missing required field"):
+        contracts.fail_on_invalid(checked).collect()
+    fine = contracts.check(messages(spark, good), contract(spark, *FIELDS))
+    assert contracts.fail_on_invalid(fine).count() == 1
+
+
+def test_own_validator_for_a_topic(spark):
+    @F.pandas_udf("string")
+    def short(payload: pd.Series) -> pd.Series:
+        return payload.map(lambda p: None if len(p) < 4 else "too long")
+
+    df = messages(spark, b"abc", b"abcdef", topic="own").unionByName(messages(spark, b"{}"))
+    checked = contracts.check(df, contract(spark, ("a", "STRING")), {"own": short})
+    assert rows(contracts.violations(checked).select("topic", "field_name", "reason")) == [
+        ("own", None, "too long"),
+        ("t", "a", "missing required field"),
+    ]
+
+
+def test_each_payload_is_parsed_once_per_check(spark):
+    checked = contracts.check(messages(spark, b"{}"), contract(spark, *FIELDS))
+    plan = contracts.violations(checked)._jdf.queryExecution().executedPlan().toString()
+    assert "Python" not in plan and plan.count("parseJson") == 3
+
+
+# --- registry and definitions -----------------------------------------------
+
+
+def test_registry_keeps_the_last_change(spark):
+    changes = spark.createDataFrame(
+        [
+            ("a", "register", [("x", "STRING")], 1),
+            ("a", "register", [("y", "NUMBER")], 5),
+            ("a", "register", [("z", "STRING")], 3),
+            ("b", "register", [("x", "STRING")], 2),
+            ("b", "unregister", None, 4),
+            ("c", "unregister", None, 1),
+        ],
+        "topic string, op string, required_fields array<struct<name:string,type:string>>, seq int",
+    )
+    got = contracts.registry(changes)
+    assert rows(got.select("topic", contracts.encode(F.col("required_fields")))) == [
+        ("a", '{"requiredFields":[{"name":"y","type":"NUMBER"}]}')
+    ]
+
+
+def test_declared_fields():
+    for bad in (("", "STRING"), (" ", "STRING"), ("a", "string")):
+        with pytest.raises(ValueError):
+            contracts.declare(bad)
+
+
+def test_declaring_again_replaces_the_type(spark):
+    got = spark.range(1).select(contracts.declare(("a", "STRING"), ("b", "ARRAY"), ("a", "NUMBER")))
+    assert [tuple(f) for f in got.first()[0]] == [("a", "NUMBER"), ("b", "ARRAY")]
+
+
+DEFINITIONS = [
+    ('{"requiredFields":[{"name":"userId","type":"STRING"},{"name":"count","type":"NUMBER"}]}', None),
+    ('{"requiredFields":[]}', None),
+    ('{"requiredFields":[],"more":1}', None),
+    (None, "json must not be null"),
+    ("", "invalid JSON: empty document"),
+    ("  ", "invalid JSON: empty document"),
+    ("{nope", "invalid JSON: malformed document"),
+    ('{"requiredFields":[]} x', "invalid JSON: trailing content after schema document"),
+    ('{"requiredFields":[]}{}', "invalid JSON: trailing content after schema document"),
+    ("null", "schema must be a JSON object"),
+    ("[]", "schema must be a JSON object"),
+    ("{}", "missing 'requiredFields'"),
+    ('{"requiredFields":null}', "'requiredFields' must be a JSON array"),
+    ('{"requiredFields":{}}', "'requiredFields' must be a JSON array"),
+    ('{"requiredFields":[1]}', "requiredFields entry must be a JSON object"),
+    ('{"requiredFields":[{"type":"STRING"}]}', "requiredFields entry missing non-blank 'name'"),
+    ('{"requiredFields":[{"name":"","type":"STRING"}]}', "requiredFields entry missing non-blank 'name'"),
+    ('{"requiredFields":[{"name":5,"type":"STRING"}]}', "requiredFields entry missing non-blank 'name'"),
+    ('{"requiredFields":[{"name":"a"}]}', "requiredFields entry missing textual 'type'"),
+    ('{"requiredFields":[{"name":"a","type":1}]}', "requiredFields entry missing textual 'type'"),
+    ('{"requiredFields":[{"name":"a","type":"string"}]}', "unknown field type: string"),
+    (
+        '{"requiredFields":[{"name":"a","type":"STRING"},{"name":"a","type":"nope"}]}',
+        "duplicate field name: a",
+    ),
+    (
+        '{"requiredFields":[{"name":"a","type":"nope"},{"name":"a","type":"STRING"}]}',
+        "unknown field type: nope",
+    ),
+]
+
+
+def test_decode_definitions(spark):
+    df = spark.createDataFrame([(n, t) for n, (t, _) in enumerate(DEFINITIONS)], "n int, d string")
+    got = contracts.decode(df, "d")
+    assert {r.n: r.reason for r in got.collect()} == {n: r for n, (_, r) in enumerate(DEFINITIONS)}
+    again = got.where("reason is null").select("d", contracts.encode(F.col("required_fields")))
+    for original, encoded in (tuple(r) for r in again.collect()):
+        assert json.loads(encoded)["requiredFields"] == json.loads(original)["requiredFields"]
+    assert got.where("reason is not null and required_fields is not null").count() == 0

@@ -79,6 +79,17 @@ def test_breaker_probe_trips_on_every_further_failure(spark):
         outcomes.breaker_trips(log(spark, batches), 0)
 
 
+def test_rows_and_block_totals_share_one_exchange(spark, tmp_path):
+    batches = [("r", n, [n % 7 == 0]) for n in range(60)]
+    log(spark, batches).write.parquet(str(tmp_path / "log"))
+    trips = outcomes.breaker_trips(spark.read.parquet(str(tmp_path / "log")), 3, span=5)
+    assert [r.batch_no for r in trips.orderBy("batch_no").collect()] == [
+        n for _, n in trips_fold(batches, 3)
+    ]
+    trips.collect()
+    assert "ReusedExchange" in trips._jdf.queryExecution().executedPlan().toString()
+
+
 @pytest.mark.parametrize("seed", range(8))
 def test_breaker_equals_batch_by_batch_fold(spark, seed):
     rng = random.Random(seed)

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from wharf.plans import joins
 from wharf.plans.running import Running, block_of, running, streaks
-from wharf.session import settle, work_folder
+from wharf.session import settle, shared_folder, work_folder
 
 
 def numbers(seed: int) -> list[tuple]:
@@ -80,6 +80,7 @@ def test_lookup_is_the_same_beyond_the_broadcast_bound(spark):
     )
     right = settle(spark.range(0, 3000, 2).select(F.col("id").alias("k"), (-F.col("id")).alias("v")))
     small = joins.lookup(left, right, ["k"], "left")
+    assert "broadcast" in small._jdf.queryExecution().analyzed().toString()
     large = joins.lookup(left, right, ["k"], "left", rows=10)
     assert rows(small) == rows(large)
     assert joins.fits(right) and not joins.fits(right, rows=10) and not joins.fits(right, size=10)
@@ -113,5 +114,5 @@ def test_hot_key_is_split_beyond_the_broadcast_bound(spark):
 
 def test_work_folders_lie_in_the_shared_folder(spark):
     folder = work_folder(spark, "x")
-    assert folder.startswith(spark.conf.get("spark.checkpoint.dir"))
+    assert folder.startswith(shared_folder(spark))
     assert folder != work_folder(spark, "x")

@@ -6,10 +6,12 @@ import random
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, SimpleDataSourceStreamReader
 
 from conftest import rows
 from wharf import schemas
 from wharf.functions import attributes as A
+from wharf.sinks import writers
 from wharf.sources import client_options, intake, positions, records, scans
 
 NOON = datetime.datetime(2024, 1, 1, 12)
@@ -77,6 +79,55 @@ def test_landed_log_as_table_and_stream(spark, tmp_path):
     assert stream.isStreaming and records.pulsar(stream).isStreaming
 
 
+def counting_source():
+    """Local classes travel to the workers by value."""
+
+    class CountingQueue(SimpleDataSourceStreamReader):
+        """A custom source: five raw records per pull, three pulls."""
+
+        def initialOffset(self):
+            return {"n": 0}
+
+        def read(self, start):
+            first = start["n"]
+            last = min(first + 5, 15)
+            rows_ = [("queue", f"{n}:0:-1", b"v", None) for n in range(first, last)]
+            return iter(rows_), {"n": last}
+
+        def readBetweenOffsets(self, start, end):
+            return iter([("queue", f"{n}:0:-1", b"v", None) for n in range(start["n"], end["n"])])
+
+        def commit(self, end):
+            pass
+
+    class CountingSource(DataSource):
+        @classmethod
+        def name(cls):
+            return "counting_queue"
+
+        def schema(self):
+            return "topic string, message_id string, value binary, properties map<string,string>"
+
+        def simpleStreamReader(self, schema):
+            return CountingQueue()
+
+    return CountingSource
+
+
+def test_custom_source_by_format_name(spark, tmp_path):
+    spark.dataSource.register(counting_source())
+    stream = records.pulsar(scans.deployed(spark, "counting_queue", {}))
+    path = str(tmp_path / "out")
+    writer = writers.deployed_stream(
+        records.envelope(stream), "parquet", {"path": path}, str(tmp_path / "cp")
+    )
+    query = writer.trigger(processingTime="0 seconds").start()
+    query.processAllAvailable()
+    query.stop()
+    got = spark.read.parquet(path)
+    assert rows(got.select("id")) == sorted((f"queue-{n}:0:-1",) for n in range(15))
+
+
 # --- client options ---------------------------------------------------------
 
 
@@ -85,6 +136,13 @@ def test_plain_options_win_over_extras():
     assert got == {"kafka.bootstrap.servers": "b:9092", "kafka.group.id": "g", "kafka.x": "1"}
 
 
+def test_other_connectors_merge_the_same_way():
+    assert client_options.merged({"topics": "a"}, {"topics": "evil", "x": "1"}) == {
+        "topics": "a",
+        "x": "1",
+    }
+
+
 def test_iam_extras_win_over_security_but_not_over_servers():
     got = client_options.iam_login(
         "b:9098", "eu-west-1", extras={"sasl.mechanism": "OTHER", "bootstrap.servers": "evil"}

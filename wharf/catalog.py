@@ -11,7 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from wharf import fixtures as X
-from wharf.functions import attributes as A, digits
+from wharf.functions import attributes as A
 from wharf.operators import contracts, delivery, outcomes, routing
 from wharf.session import configure, settle, work_folder
 from wharf.sinks import batches, results, rows, writers
@@ -460,8 +460,7 @@ def ack_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def kinesis_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
-    out = delivery.checkpoints(*_kinesis(spark, sf), digits.order(F.col("pos")), ["part"])
-    return out.select("part", F.col("checkpoint.digits").alias("checkpoint"))
+    return delivery.shard_checkpoints(*_kinesis(spark, sf))
 
 
 @query
@@ -514,8 +513,7 @@ def saved_checkpoints(events: DataFrame) -> DataFrame:
 
 @query
 def checkpoint_merge(spark: SparkSession, sf: str) -> DataFrame:
-    now = delivery.checkpoints(*_kinesis(spark, sf), digits.order(F.col("pos")), ["part"])
-    new = now.select("part", F.col("checkpoint.digits").alias("checkpoint"))
+    new = delivery.shard_checkpoints(*_kinesis(spark, sf))
     return delivery.merge_checkpoints(new, saved_checkpoints(X.table(spark, sf, "events")))
 
 
@@ -566,8 +564,7 @@ def cap_reacquired(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def checkpoint_restore(spark: SparkSession, sf: str) -> DataFrame:
     delivered, acks = _kinesis(spark, sf)
-    now = delivery.checkpoints(delivered, acks, digits.order(F.col("pos")), ["part"])
-    exported = now.select("part", F.col("checkpoint.digits").alias("checkpoint"))
+    exported = delivery.shard_checkpoints(delivered, acks)
     folder = work_folder(spark, "checkpoints")
     exported.write.parquet(folder)
     restored = positions.restored(spark.read.schema(exported.schema).parquet(folder))

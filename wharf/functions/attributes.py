@@ -17,9 +17,8 @@ def or_empty(c: Column) -> Column:
 
 def put(attributes: Column, values: dict[str, Column]) -> Column:
     """Overwrite the given keys, keep all others; needs no map-key session setting."""
-    kept = F.map_filter(attributes, lambda k, _: ~k.isin(*values))
-    pairs = [part for key, value in values.items() for part in (F.lit(key), value)]
-    return F.map_concat(kept, F.create_map(*pairs))
+    pairs = F.create_map(*[part for k, v in values.items() for part in (F.lit(k), v)])
+    return F.map_concat(drop(attributes, *values), pairs)
 
 
 def drop(attributes: Column, *keys: str) -> Column:
@@ -27,21 +26,34 @@ def drop(attributes: Column, *keys: str) -> Column:
 
 
 def from_headers(headers: Column) -> Column:
-    """Header array to attributes: last entry of a key wins, null value becomes ''."""
+    """Header array to attributes: last entry of a key wins, null value becomes ''.
+
+    Array lambdas are interpreted, so they run only for arrays that need them: those with a
+    repeated key, a null value, or bytes that are not UTF-8.
+    """
+    keys, plain = headers["key"], headers["value"].cast("array<string>")
+    # An ASCII separator keeps broken byte sequences broken, and a null adds one character.
+    joined = F.array_join(plain, ",", "?")
+    clean = F.is_valid_utf8(joined) & (
+        F.octet_length(joined) == F.octet_length(F.array_join(plain, ","))
+    )
+    distinct = F.size(F.array_distinct(keys)) == F.size(headers)
     latest = once(
-        F.reverse(F.transform(headers, lambda h: h["key"])),
+        F.reverse(keys),
         lambda backwards: F.filter(
             headers, lambda h, i: F.array_position(backwards, h["key"]) == F.size(headers) - i
         ),
     )
-    entries = F.transform(
-        latest,
-        lambda h: F.struct(
-            h["key"].alias("key"),
-            F.coalesce(F.make_valid_utf8(h["value"].cast("string")), F.lit("")).alias("value"),
-        ),
+    decoded = F.map_from_entries(
+        F.transform(
+            latest,
+            lambda h: F.struct(
+                h["key"].alias("key"),
+                F.coalesce(F.make_valid_utf8(h["value"].cast("string")), F.lit("")).alias("value"),
+            ),
+        )
     )
-    return or_empty(F.map_from_entries(entries))
+    return or_empty(F.when(distinct & clean, F.map_from_arrays(keys, plain)).otherwise(decoded))
 
 
 def to_headers(attributes: Column) -> Column:

@@ -21,60 +21,87 @@ UNKNOWN_ACK_HEAD = "Unknown message: "
 UNKNOWN_ACK_TAIL = ". Only messages returned by poll() can be acknowledged."
 
 
-def once_each(delivered: DataFrame, *columns: str | Column) -> DataFrame:
-    """One row per message id; copies of a redelivered message agree in ``columns``.
-
-    Copies fold together before the shuffle, and the result is laid out by id for the joins
-    with acks, which then meet no repeated id on either side.
-    """
-    named = [F.col(c) if isinstance(c, str) else c for c in columns]
-    rows = delivered.select("id", *named)
-    return rows.groupBy("id").agg(*[F.min(c).alias(c) for c in rows.columns if c != "id"])
-
+def partitions(delivered: DataFrame, position: Column, keys: list[str] = PARTITION) -> DataFrame:
+    """One settled row per partition: ``keys, number, first_pos, last_pos``."""
+    seen = delivered.groupBy(*keys).agg(
+        F.min(position).alias("first_pos"), F.max(position).alias("last_pos")
+    )
+    return settle(seen.withColumn("number", F.monotonically_increasing_id()))
 
-def first_acks(acks: DataFrame) -> DataFrame:
-    return acks.groupBy("id").agg(F.min("ack_seq").alias("ack_seq"))
 
+def ledger(
+    delivered: DataFrame,
+    acks: DataFrame,
+    position: Column,
+    parts: DataFrame,
+    keys: list[str] = PARTITION,
+    by_id: Column | None = None,
+) -> DataFrame:
+    """One row per delivered message: ``id, number, pos, ack_seq`` (null while unacked).
 
-def unacked(delivered: DataFrame, acks: DataFrame, *columns: str | Column) -> DataFrame:
-    """Delivered messages that were never acked."""
-    return once_each(delivered, *columns).join(acks.select("id").distinct(), "id", "left_anti")
+    Deliveries and acks of an id meet in one aggregate instead of a join: repeated
+    deliveries and repeated acks fold together before the shuffle, so no id is ever hot.
+    Partitions go by their number there; numeric buffers keep the aggregate hash-based. A
+    text position would make it sort instead: give ``by_id``, the same position read from
+    the ``id`` column, to leave it out.
+    """
+    carried = [position.alias("pos")] if by_id is None else []
+    placed = lookup(
+        delivered.select("id", *keys, *carried), parts.select(*keys, "number"), keys
+    ).drop(*keys)
+    both = placed.unionByName(
+        acks.select("id", F.col("ack_seq").cast("bigint").alias("ack_seq")),
+        allowMissingColumns=True,
+    )
+    folded = both.groupBy("id").agg(*[F.min(c).alias(c) for c in both.columns if c != "id"])
+    known = folded.where(F.col("number").isNotNull())
+    return known if by_id is None else known.withColumn("pos", by_id)
 
 
 def acked(delivered: DataFrame, acks: DataFrame) -> DataFrame:
     """Delivered messages with the order of their first ack (null while unacked)."""
-    rows = once_each(delivered, *PARTITION, "off")
-    return rows.join(first_acks(acks), "id", "left")
+    parts = partitions(delivered, F.col("off"))
+    rows = ledger(delivered, acks, F.col("off"), parts)
+    return lookup(rows, parts.select("number", *PARTITION), ["number"]).select(
+        "id", *PARTITION, F.col("pos").alias("off"), "ack_seq"
+    )
 
 
 def partition_state(
-    delivered: DataFrame, acks: DataFrame, position: Column, keys: list[str] = PARTITION
+    delivered: DataFrame,
+    acks: DataFrame,
+    position: Column,
+    keys: list[str] = PARTITION,
+    by_id: Column | None = None,
 ) -> DataFrame:
     """One row per partition: ``first_pos, last_pos, first_unacked, outstanding``.
 
     ``position`` is any orderable column, such as an offset or ``digits.order(pos)``. All
     aggregates combine map-side; no partition is sorted or gathered in one task.
     """
-    seen = delivered.groupBy(*keys).agg(
-        F.min(position).alias("first_pos"), F.max(position).alias("last_pos")
-    )
+    parts = partitions(delivered, position, keys)
     held = (
-        unacked(delivered, acks, *keys, position.alias("__pos"))
-        .groupBy(*keys)
-        .agg(F.min("__pos").alias("first_unacked"), F.count("*").alias("outstanding"))
+        ledger(delivered, acks, position, parts, keys, by_id)
+        .where(F.col("ack_seq").isNull())
+        .groupBy("number")
+        .agg(F.min("pos").alias("first_unacked"), F.count("*").alias("outstanding"))
     )
-    return seen.join(held, keys, "left").fillna({"outstanding": 0})
+    return parts.join(held, "number", "left").fillna({"outstanding": 0}).drop("number")
 
 
 def checkpoints(
-    delivered: DataFrame, acks: DataFrame, position: Column, keys: list[str] = PARTITION
+    delivered: DataFrame,
+    acks: DataFrame,
+    position: Column,
+    keys: list[str] = PARTITION,
+    by_id: Column | None = None,
 ) -> DataFrame:
     """Per partition the last position of the longest fully acked prefix of what was delivered.
 
     Gaps between delivered positions do not matter. A partition whose first row is unacked
     has no row here.
     """
-    state = settle(partition_state(delivered, acks, position, keys))
+    state = settle(partition_state(delivered, acks, position, keys, by_id))
     done = state.where(F.col("first_unacked").isNull()).select(
         *keys, F.col("last_pos").alias("checkpoint")
     )
@@ -90,6 +117,22 @@ def checkpoints(
     return done.unionByName(partial)
 
 
+def sequence() -> Column:
+    """A Kinesis position as sortable key."""
+    return digits.order(F.col("pos"))
+
+
+def sequence_of_id() -> Column:
+    """The same from the message id: shard id, colon, sequence number."""
+    return digits.order(F.substring_index("id", ":", -1))
+
+
+def shard_checkpoints(delivered: DataFrame, acks: DataFrame) -> DataFrame:
+    """Kinesis checkpoints ``part, checkpoint`` (digit string), ready to be saved."""
+    points = checkpoints(delivered, acks, sequence(), ["part"], sequence_of_id())
+    return points.select("part", F.col("checkpoint.digits").alias("checkpoint"))
+
+
 def merge_checkpoints(*snapshots: DataFrame) -> DataFrame:
     """Checkpoints (digit strings) of several sessions; a checkpoint never moves back."""
     merged = snapshots[0]
@@ -102,9 +145,10 @@ def merge_checkpoints(*snapshots: DataFrame) -> DataFrame:
 
 def in_flight(delivered: DataFrame, acks: DataFrame, cap: int, keys: list[str]) -> DataFrame:
     """Delivered, unacked ids per consumer and whether that reaches the cap (0 = no cap)."""
-    held = unacked(delivered, acks, *keys).groupBy(*keys).agg(F.count("*").alias("in_flight"))
-    everyone = delivered.select(*keys).distinct()
-    counted = everyone.join(held, keys, "left").fillna({"in_flight": 0})
+    none = F.lit(0).cast("bigint")
+    counted = partition_state(delivered, acks, none, keys).select(
+        *keys, F.col("outstanding").alias("in_flight")
+    )
     hit = F.lit(cap > 0) & (F.col("in_flight") >= cap)
     return counted.withColumn("cap_reached", hit)
 
@@ -114,17 +158,18 @@ def refused_acks(delivered: DataFrame, acks: DataFrame) -> DataFrame:
 
     Ids are judged first, one row each; only the rows of the faulty ids are then looked up.
     """
-    per_id = acks.groupBy("id").agg(
-        F.min("ack_seq").alias("first_seq"), F.max("ack_seq").alias("last_seq")
+    both = acks.select("id", "ack_seq").unionByName(
+        delivered.select("id", F.lit(1).alias("known")), allowMissingColumns=True
     )
-    known = delivered.select("id").distinct().withColumn("known", F.lit(True))
-    judged = per_id.join(known, "id", "left")
-    faulty = settle(
-        judged.where(F.col("known").isNull() | (F.col("first_seq") < F.col("last_seq")))
+    judged = both.groupBy("id").agg(
+        F.max("known").alias("known"),
+        F.min("ack_seq").alias("first_seq"),
+        F.max("ack_seq").alias("last_seq"),
     )
+    strange = F.col("known").isNull()
+    faulty = settle(judged.where(strange | (F.col("first_seq") < F.col("last_seq"))))
     rows = lookup(acks.select("id", "ack_seq"), faulty.select("id", "known", "first_seq"), ["id"])
     text = F.concat(F.lit(UNKNOWN_ACK_HEAD), F.col("id"), F.lit(UNKNOWN_ACK_TAIL))
-    strange = F.col("known").isNull()
     return rows.where(strange | (F.col("ack_seq") > F.col("first_seq"))).select(
         "id",
         "ack_seq",
@@ -202,12 +247,9 @@ def resume_positions(
     delivered record; else at its configured start.
     """
     keys = ["part"]
-    sequence = digits.order(F.col("pos"))
-    now = checkpoints(delivered, acks, sequence, keys).select(
-        "part", F.col("checkpoint.digits").alias("checkpoint")
-    )
+    now = shard_checkpoints(delivered, acks)
     reached = merge_checkpoints(now, saved) if saved is not None else now
-    lowest = delivered.groupBy(*keys).agg(F.min(sequence)["digits"].alias("__lowest"))
+    lowest = delivered.groupBy(*keys).agg(F.min(sequence())["digits"].alias("__lowest"))
     out = shards.select("part").distinct().join(reached, keys, "left").join(lowest, keys, "left")
     start = default.columns()
     if overrides is not None:
@@ -234,7 +276,6 @@ def touched_at_cap(
     saved: DataFrame | None = None,
 ) -> DataFrame:
     """Kinesis cap: resume positions of the shards with outstanding rows only, closed ones too."""
-    sequence = digits.order(F.col("pos"))
-    state = partition_state(delivered, acks, sequence, ["part"])
+    state = partition_state(delivered, acks, sequence(), ["part"], sequence_of_id())
     outstanding = state.where(F.col("outstanding") > 0).select("part")
     return resume_positions(outstanding, delivered, acks, default, overrides, saved)

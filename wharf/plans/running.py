@@ -13,6 +13,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -100,8 +101,15 @@ def running(
         local = local.withColumn(
             name, _AGGREGATES[spec.kind](spec.value).over(frames[spec.exclusive])
         )
-    # Every row has its block in the carry, so an inner join loses nothing.
-    joined = local.join(carry, on=[*keys, _BLOCK])
+    # First blocks carry nothing. Without them the carry of many short groups is empty, and
+    # adaptive execution drops or broadcasts the join.
+    useful = [
+        F.coalesce(F.col(f"__carry_{name}") != 0, F.lit(False))
+        if spec.kind == "sum"
+        else F.col(f"__carry_{name}").isNotNull()
+        for name, spec in columns.items()
+    ]
+    joined = local.join(carry.where(reduce(Column.__or__, useful)), [*keys, _BLOCK], "left")
     for name, spec in columns.items():
         joined = joined.withColumn(
             name, _merge(spec.kind, F.col(f"__carry_{name}"), F.col(name))
@@ -124,7 +132,9 @@ def streaks(
     Keep ``df`` narrow: its one exchange feeds both the rows and the block totals.
     """
     keys = list(keys)
-    blocked = df.withColumn(_BLOCK, block_of(F.col(position), span))
+    # Spelled out on both sides of the join, so that they read the same exchange.
+    present = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
+    blocked = df.where(present).withColumn(_BLOCK, block_of(F.col(position), span))
     upto = (
         Window.partitionBy(*keys, _BLOCK)
         .orderBy(position)
@@ -143,8 +153,9 @@ def streaks(
         totals.withColumn("__sum0", F.coalesce(F.sum("__sum").over(earlier), F.lit(0)))
         .withColumn("__base0", F.max(F.col("__sum0") + F.col("__base")).over(earlier))
         .select(*keys, _BLOCK, "__sum0", "__base0")
+        .where((F.col("__sum0") != 0) | F.col("__base0").isNotNull())
     )
-    joined = local.join(carry, on=[*keys, _BLOCK])
+    joined = local.join(carry, [*keys, _BLOCK], "left").fillna({"__sum0": 0})
     # greatest() skips nulls; with no reset at all the sum counts from zero.
     base = F.coalesce(
         F.greatest(F.col("__sum0") + F.col("__base"), F.col("__base0")), F.lit(0)

@@ -43,3 +43,12 @@ def kafka_stream(
 
 def kafka_table(df: DataFrame, options: Mapping[str, str]) -> None:
     rows.kafka(df).write.format("kafka").options(**{**options, "includeHeaders": "true"}).save()
+
+
+def deployed_stream(
+    df: DataFrame, form: str, options: Mapping[str, str], checkpoint: str
+) -> DataStreamWriter:
+    """Any connector on the class path, by its format name; ``df`` in that broker's row shape."""
+    return (
+        df.writeStream.format(form).options(**options).option("checkpointLocation", checkpoint)
+    )

@@ -25,6 +25,11 @@ def _no_quotes(**values: str) -> None:
             raise ValueError(f"{name} must not contain a double-quote character")
 
 
+def merged(fixed: Mapping[str, str], extras: Mapping[str, str] | None = None) -> dict[str, str]:
+    """Options of any other connector: extras pass through, the named settings win."""
+    return {**(extras or {}), **fixed}
+
+
 def kafka(
     servers: str, group: str | None = None, extras: Mapping[str, str] | None = None
 ) -> dict[str, str]:
@@ -32,7 +37,7 @@ def kafka(
     fixed = {"bootstrap.servers": servers}
     if group is not None:
         fixed["group.id"] = group
-    return _prefixed({**(extras or {}), **fixed})
+    return _prefixed(merged(fixed, extras))
 
 
 def iam_login(

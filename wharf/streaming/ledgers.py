@@ -99,20 +99,16 @@ class AckLedger(_Ledger):
             "topic", "part", "off", "id", F.lit(None).cast("bigint").alias("ack_seq")
         )
         acks = batch.where("kind = 'ack'").select("id", "ack_seq")
-        # A message delivered again while open stays one row.
-        held = (
-            open_rows.unionByName(arrived)
+        # Per id the open row, repeated deliveries and all acks fold into one row.
+        open_ids = open_rows.withColumn("held", F.lit(1))
+        new_ids = arrived.withColumn("held", F.lit(1))
+        folded = (
+            open_ids.unionByName(new_ids)
+            .unionByName(acks, allowMissingColumns=True)
             .groupBy("id")
-            .agg(
-                *[F.min(c).alias(c) for c in ("topic", "part", "off")],
-                F.max("ack_seq").alias("earlier"),
-            )
-        )
-        ledger = settle(
-            held.join(delivery.first_acks(acks), "id", "left").select(
-                "topic", "part", "off", "id", F.coalesce("earlier", "ack_seq").alias("ack_seq")
-            )
+            .agg(*[F.min(c).alias(c) for c in ("topic", "part", "off", "ack_seq", "held")])
         )
+        ledger = settle(folded.where("held = 1").drop("held"))
         batches.put(
             delivery.with_prefix(ledger, self.span).select(*_LEDGER.fieldNames()),
             f"{self.folder}/ledger",

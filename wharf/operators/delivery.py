@@ -102,6 +102,13 @@ def checkpoints(
     has no row here.
     """
     state = settle(partition_state(delivered, acks, position, keys, by_id))
+    return checkpoints_of(state, delivered, position, keys)
+
+
+def checkpoints_of(
+    state: DataFrame, delivered: DataFrame, position: Column, keys: list[str] = PARTITION
+) -> DataFrame:
+    """The same from a settled :func:`partition_state`."""
     done = state.where(F.col("first_unacked").isNull()).select(
         *keys, F.col("last_pos").alias("checkpoint")
     )
@@ -127,9 +134,17 @@ def sequence_of_id() -> Column:
     return digits.order(F.substring_index("id", ":", -1))
 
 
-def shard_checkpoints(delivered: DataFrame, acks: DataFrame) -> DataFrame:
+def shard_state(delivered: DataFrame, acks: DataFrame) -> DataFrame:
+    """Settled :func:`partition_state` of Kinesis shards."""
+    return settle(partition_state(delivered, acks, sequence(), ["part"], sequence_of_id()))
+
+
+def shard_checkpoints(
+    delivered: DataFrame, acks: DataFrame, state: DataFrame | None = None
+) -> DataFrame:
     """Kinesis checkpoints ``part, checkpoint`` (digit string), ready to be saved."""
-    points = checkpoints(delivered, acks, sequence(), ["part"], sequence_of_id())
+    state = shard_state(delivered, acks) if state is None else state
+    points = checkpoints_of(state, delivered, sequence(), ["part"])
     return points.select("part", F.col("checkpoint.digits").alias("checkpoint"))
 
 
@@ -240,6 +255,7 @@ def resume_positions(
     default: Start,
     overrides: DataFrame | None = None,
     saved: DataFrame | None = None,
+    state: DataFrame | None = None,
 ) -> DataFrame:
     """Kinesis iterator expiry: where each shard of ``shards`` (``part``) goes on reading.
 
@@ -247,9 +263,11 @@ def resume_positions(
     delivered record; else at its configured start.
     """
     keys = ["part"]
-    now = shard_checkpoints(delivered, acks)
+    state = shard_state(delivered, acks) if state is None else state
+    now = shard_checkpoints(delivered, acks, state)
     reached = merge_checkpoints(now, saved) if saved is not None else now
-    lowest = delivered.groupBy(*keys).agg(F.min(sequence())["digits"].alias("__lowest"))
+    # Without a checkpoint nothing was drained, so the first delivered record is the lowest.
+    lowest = state.select("part", F.col("first_pos.digits").alias("__lowest"))
     out = shards.select("part").distinct().join(reached, keys, "left").join(lowest, keys, "left")
     start = default.columns()
     if overrides is not None:
@@ -276,6 +294,6 @@ def touched_at_cap(
     saved: DataFrame | None = None,
 ) -> DataFrame:
     """Kinesis cap: resume positions of the shards with outstanding rows only, closed ones too."""
-    state = partition_state(delivered, acks, sequence(), ["part"], sequence_of_id())
+    state = shard_state(delivered, acks)
     outstanding = state.where(F.col("outstanding") > 0).select("part")
-    return resume_positions(outstanding, delivered, acks, default, overrides, saved)
+    return resume_positions(outstanding, delivered, acks, default, overrides, saved, state)

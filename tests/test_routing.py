@@ -149,3 +149,31 @@ def test_layered_provenance(spark):
     ]
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert "BroadcastHashJoin" in plan and "Exchange hashpartitioning" not in plan
+
+
+def test_same_topic_name_in_two_sources(spark):
+    messages = spark.createDataFrame(
+        [("m1", "orders", b"", {}), ("m2", "orders", b"", {})], schemas.MESSAGE
+    ).selectExpr("*", "if(id = 'm1', 'shop', 'erp') AS source_id")
+    routes = bridge(spark, ("shop", "o", "orders", "shop.o"), ("erp", "o", "orders", "erp.o"))
+    got = routing.fan_in(messages, routes, source="source_id")
+    assert rows(got.select("id", "topic", "source_id")) == [
+        ("m1", "shop.o", "shop"),
+        ("m2", "erp.o", "erp"),
+    ]
+    assert routing.fan_in(messages, routes).count() == 4
+
+
+def test_long_route_tables_are_shuffled(spark, monkeypatch):
+    from wharf.plans import joins
+
+    messages = spark.range(300).selectExpr(
+        "string(id) AS id", "concat('t', id % 3) AS topic", "binary('x') AS payload",
+        "map('a', 'b') AS attributes",
+    )
+    routes = bridge(spark, *[("s", f"c{n}", f"t{n}", f"s.c{n}") for n in range(5)])
+    few = routing.fan_in(messages, routes).select("id", "topic")
+    monkeypatch.setattr(joins, "fits", lambda *_: False)
+    many = routing.fan_in(messages, routes).select("id", "topic")
+    assert "ResolvedHint" not in many._jdf.queryExecution().analyzed().toString()
+    assert rows(few) == rows(many)

@@ -256,3 +256,18 @@ def test_quarantine(spark, tmp_path):
     strict = ledgers.ContractLedger(spark, str(tmp_path / "strict"), table, fail=True)
     with pytest.raises(Exception, match="non-JSON payload"):
         routes.finish([strict.start(stream(), trigger)])
+
+
+def test_ledgers_are_empty_before_the_first_micro_batch(spark, tmp_path):
+    table = spark.createDataFrame([], "topic string, required_fields array<struct<name:string,type:string>>")
+    contract = ledgers.ContractLedger(spark, str(tmp_path / "c"), table)
+    acks = ledgers.AckLedger(spark, str(tmp_path / "a"))
+    breaker = ledgers.BreakerLedger(spark, str(tmp_path / "b"))
+    empty = [contract.valid(), contract.quarantine(), acks.commits(), acks.refused(), breaker.trips()]
+    assert [df.count() for df in empty] == [0] * 5
+    # A micro-batch without rows leaves the tables readable and empty.
+    contract.process(spark.createDataFrame([], schemas.MESSAGE), 0)
+    acks.process(spark.createDataFrame([], LOG), 0)
+    breaker.process(spark.createDataFrame([], OUTCOMES), 0)
+    empty = [contract.valid(), contract.quarantine(), acks.commits(), acks.refused(), breaker.trips()]
+    assert [df.count() for df in empty] == [0] * 5

@@ -381,7 +381,7 @@ def all_sql() -> dict[str, str]:
         FROM everything e JOIN subs USING (topic)),
       numbered AS (
         SELECT *, row_number() OVER (ORDER BY turn, rn) AS visit_no FROM ranked WHERE rn <= 21)
-      SELECT visit_no, topic, off, id FROM numbered WHERE visit_no <= 150""",
+      SELECT visit_no::INTEGER AS visit_no, topic, off, id FROM numbered WHERE visit_no <= 150""",
     )
     sql["read_budget_audit"] = """
       WITH f AS (
@@ -497,16 +497,16 @@ def all_sql() -> dict[str, str]:
       FROM backbone b JOIN relay r ON r.source_topic = b.topic WHERE r.refusal IS NULL GROUP BY ALL""",
     )
     sql["bridge_route_checks"] = _with(
-        _BRIDGE, select="SELECT reg_no, source_id, channel, target_topic, refusal FROM bridge"
+        _BRIDGE, select="SELECT reg_no::BIGINT AS reg_no, source_id, channel, target_topic, refusal FROM bridge"
     )
     sql["relay_route_checks"] = _with(
-        _RELAY, select="SELECT reg_no, destination_id, source_topic, refusal FROM relay"
+        _RELAY, select="SELECT reg_no::BIGINT AS reg_no, destination_id, source_topic, refusal FROM relay"
     )
     effective = """CASE WHEN partitions = 0 THEN 6 ELSE partitions END AS effective_partitions,
         CASE WHEN replication = 0 THEN 2 ELSE replication END AS effective_replication"""
     sql["topic_plan"] = _with(
         _BRIDGE,
-        select=f"""SELECT reg_no, {effective},
+        select=f"""SELECT reg_no::BIGINT AS reg_no, {effective},
         CASE WHEN partitions < 0 THEN 'partitions must be >= 0, got ' || partitions
              WHEN replication < 0 THEN 'replicationFactor must be >= 0, got ' || replication
         END AS option_refusal FROM bridge""",

@@ -207,14 +207,29 @@ def stamp_relay(
     )
 
 
-def fan_in(messages: DataFrame, routes: DataFrame) -> DataFrame:
-    """Route messages to the backbone by their source topic."""
+def fan_in(messages: DataFrame, routes: DataFrame, source: str | None = None) -> DataFrame:
+    """Route messages to the backbone by their source topic.
+
+    ``source`` names the column with the id of the source a message was read from, where
+    topics of different sources share a name. Without it every route of the topic applies.
+    """
     table = routes.select(
         F.col("source_topic").alias("topic"), "source_id", "channel", "target_topic"
     )
-    routed = lookup(messages, table, ["topic"])
+    keys = ["topic"]
+    if source is not None:
+        table = table.withColumn(source, F.col("source_id"))
+        keys.append(source)
+    # The route's own columns get names that no message column has.
+    named = {c: f"__{c}" for c in ("source_id", "channel", "target_topic")}
+    table = table.select(*keys, *[F.col(c).alias(n) for c, n in named.items()])
+    routed = lookup(messages, table, keys)
     stamped = stamp_bridge(
-        routed, F.col("source_id"), F.col("channel"), F.col("topic"), F.col("target_topic")
+        routed,
+        F.col("__source_id"),
+        F.col("__channel"),
+        F.col("topic"),
+        F.col("__target_topic"),
     )
     return stamped.select(*messages.columns)
 
@@ -222,11 +237,13 @@ def fan_in(messages: DataFrame, routes: DataFrame) -> DataFrame:
 def fan_out(backbone: DataFrame, routes: DataFrame) -> DataFrame:
     """Copy each backbone message to every destination subscribed to its topic."""
     table = routes.select(
-        F.col("source_topic").alias("topic"), "destination_id", "downstream_topic"
+        F.col("source_topic").alias("topic"),
+        F.col("destination_id").alias("__destination_id"),
+        F.col("downstream_topic").alias("__downstream_topic"),
     )
     routed = lookup(backbone, table, ["topic"])
     stamped = stamp_relay(
-        routed, F.col("destination_id"), F.col("topic"), F.col("downstream_topic")
+        routed, F.col("__destination_id"), F.col("topic"), F.col("__downstream_topic")
     )
     return stamped.select(*backbone.columns)
 

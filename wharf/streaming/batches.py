@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
@@ -20,5 +21,10 @@ def get(spark: SparkSession, base: str, batch_id: int, schema: StructType) -> Da
 
 
 def everything(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
-    """All micro-batches; folder names such as ``batch_id`` become columns."""
-    return spark.read.schema(schema).parquet(base)
+    """All micro-batches; nothing when none has run yet."""
+    try:
+        return spark.read.schema(schema).parquet(base)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)

@@ -217,7 +217,13 @@ class ContractLedger(_Ledger):
         batches.put(flagged, f"{self.folder}/checked", batch_id, ["refused"])
 
     def _checked(self, refused: int) -> DataFrame:
-        schema = T.StructType([*MESSAGE.fields, T.StructField("violation", _VIOLATION)])
+        schema = T.StructType(
+            [
+                *MESSAGE.fields,
+                T.StructField("violation", _VIOLATION),
+                T.StructField("refused", T.IntegerType()),
+            ]
+        )
         rows = batches.everything(self.spark, f"{self.folder}/checked", schema)
         return rows.where(F.col("refused") == refused)
 

@@ -432,7 +432,8 @@ def topic_plan(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def topics_to_create(spark: SparkSession, sf: str) -> DataFrame:
     plan = routing.topic_plan(_accepted_bridge(spark, sf), 6, 2)
-    existing = X.all_messages(spark, sf).select(F.replace("topic", F.lit("-"), F.lit(".")).alias("topic"))
+    topic = F.replace("topic", F.lit("-"), F.lit(".")).alias("topic")
+    existing = X.all_messages(spark, sf).select(topic)
     there = existing.where(F.col("topic").endswith("e") | F.col("topic").endswith("k"))
     return routing.to_create(plan, there).select(
         "target_topic", "effective_partitions", "effective_replication"
@@ -449,7 +450,8 @@ def _delivered(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 def _kinesis(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     events = X.table(spark, sf, "events")
-    return X.kinesis_delivered(events).select("id", "part", "pos", "arrived_at"), X.kinesis_acks(events)
+    delivered = X.kinesis_delivered(events).select("id", "part", "pos", "arrived_at")
+    return delivered, X.kinesis_acks(events)
 
 
 @query
@@ -648,7 +650,7 @@ def _checked(spark: SparkSession, sf: str) -> DataFrame:
     events = X.table(spark, sf, "events")
     return contracts.check(
         X.payload_cases(events).select("id", "topic", "payload", "attributes"),
-        X.payload_schemas(events),
+        settle(X.payload_schemas(events)),
     )
 
 
@@ -678,7 +680,7 @@ def contract_fail_policy(spark: SparkSession, sf: str) -> DataFrame:
     good = X.event_messages(events)
     fields = contracts.declare(("k", "NUMBER"))
     schemas = X.payload_schemas(events).withColumn("required_fields", fields)
-    return contracts.fail_on_invalid(contracts.check(good, schemas)).select("id", "topic")
+    return contracts.fail_on_invalid(contracts.check(good, settle(schemas))).select("id", "topic")
 
 
 @query
@@ -786,7 +788,7 @@ def stream_breaker(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_contracts(spark: SparkSession, sf: str) -> DataFrame:
-    schemas = X.payload_schemas(X.table(spark, sf, "events"))
+    schemas = settle(X.payload_schemas(X.table(spark, sf, "events")))
     stream = X.payload_cases(X.table_stream(spark, sf, "events")).select(
         "id", "topic", "payload", "attributes"
     )

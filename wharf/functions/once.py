@@ -21,5 +21,5 @@ def with_once(df: DataFrame, name: str, value: Column) -> DataFrame:
 
     A one-element explode never drops or adds rows, and nothing is pushed through it.
     """
-    others = [c for c in df.columns if c != name]
+    others = [F.col(f"`{c}`") for c in df.columns if c != name]
     return df.select(*others, F.explode(F.array(value)).alias(name))

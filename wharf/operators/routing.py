@@ -22,6 +22,18 @@ ID_PATTERN = "^[a-zA-Z0-9_-]+$"
 CHANNEL_PATTERN = "^[a-zA-Z0-9._-]+$"
 MAX_TOPIC_LENGTH = 249
 
+# The wording of refusals; the offending value or name is filled in.
+NON_BLANK = " must be non-blank"
+SOURCE_PATTERN = f"sourceId must match {ID_PATTERN}, got "
+CHANNEL_MISMATCH = f"channel must match {CHANNEL_PATTERN}, got "
+DESTINATION_PATTERN = f"destinationId must match {ID_PATTERN}, got "
+TOO_LONG = f'sourceId + "." + channel must be at most {MAX_TOPIC_LENGTH} characters, got '
+WRONG_TARGET = 'targetTopic must equal sourceId + "." + channel ('
+BRIDGE_REPEATED = "(sourceId, channel) already registered: "
+RELAY_REPEATED = "(destinationId, sourceTopic) already registered: "
+NOT_NEGATIVE = " must be >= 0, got "
+NOT_POSITIVE = " must be > 0, got "
+
 
 def _matches(c: Column, pattern: str) -> Column:
     # '$' would accept a final line break; the refusal text still shows the plain pattern.
@@ -35,7 +47,7 @@ def _first_reason(checks: list[tuple[Column, Column]]) -> Column:
 
 def _blank_checks(names: dict[str, str]) -> list[tuple[Column, Column]]:
     return [
-        (is_blank(F.col(column)), F.lit(f"{label} must be non-blank"))
+        (is_blank(F.col(column)), F.lit(label + NON_BLANK))
         for column, label in names.items()
     ]
 
@@ -60,23 +72,23 @@ def bridge_refusal() -> Column:
         + [
             (
                 ~_matches(F.col("source_id"), ID_PATTERN),
-                F.concat(F.lit(f"sourceId must match {ID_PATTERN}, got "), F.col("source_id")),
+                F.concat(F.lit(SOURCE_PATTERN), F.col("source_id")),
             ),
             (
                 ~_matches(F.col("channel"), CHANNEL_PATTERN),
-                F.concat(F.lit(f"channel must match {CHANNEL_PATTERN}, got "), F.col("channel")),
+                F.concat(F.lit(CHANNEL_MISMATCH), F.col("channel")),
             ),
             (
                 length > MAX_TOPIC_LENGTH,
                 F.concat(
-                    F.lit(f'sourceId + "." + channel must be at most {MAX_TOPIC_LENGTH} characters, got '),
+                    F.lit(TOO_LONG),
                     length.cast("string"),
                 ),
             ),
             (
                 F.col("target_topic") != target_topic(),
                 F.concat(
-                    F.lit('targetTopic must equal sourceId + "." + channel ('),
+                    F.lit(WRONG_TARGET),
                     target_topic(),
                     F.lit("), got "),
                     F.col("target_topic"),
@@ -100,7 +112,7 @@ def relay_refusal() -> Column:
             (
                 ~_matches(F.col("destination_id"), ID_PATTERN),
                 F.concat(
-                    F.lit(f"destinationId must match {ID_PATTERN}, got "),
+                    F.lit(DESTINATION_PATTERN),
                     F.col("destination_id"),
                 ),
             )
@@ -123,14 +135,14 @@ def _registered(routes: DataFrame, invalid: Column, keys: list[str], repeat: Col
 
 def check_bridge_routes(routes: DataFrame) -> DataFrame:
     """Register bridge routes in ``reg_no`` order; adds ``refusal`` (null = accepted)."""
-    repeat = F.concat(F.lit("(sourceId, channel) already registered: "), target_topic())
+    repeat = F.concat(F.lit(BRIDGE_REPEATED), target_topic())
     return _registered(routes, bridge_refusal(), ["source_id", "channel"], repeat)
 
 
 def check_relay_routes(routes: DataFrame) -> DataFrame:
     """Register relay routes in ``reg_no`` order; one topic may feed many destinations."""
     repeat = F.concat(
-        F.lit("(destinationId, sourceTopic) already registered: "),
+        F.lit(RELAY_REPEATED),
         F.col("destination_id"),
         F.lit(" / "),
         F.col("source_topic"),
@@ -150,16 +162,16 @@ def topic_plan(
     Adds ``effective_partitions``, ``effective_replication`` and ``option_refusal``.
     """
     if default_partitions <= 0:
-        raise ValueError(f"defaultPartitions must be > 0, got {default_partitions}")
+        raise ValueError(f"defaultPartitions{NOT_POSITIVE}{default_partitions}")
     if default_replication <= 0:
-        raise ValueError(f"defaultReplicationFactor must be > 0, got {default_replication}")
+        raise ValueError(f"defaultReplicationFactor{NOT_POSITIVE}{default_replication}")
 
     def effective(name: str, default: int) -> Column:
         return F.when(F.col(name) == 0, F.lit(default)).otherwise(F.col(name))
 
     def negative(name: str, label: str) -> tuple[Column, Column]:
         c = F.col(name)
-        return c < 0, F.concat(F.lit(f"{label} must be >= 0, got "), c.cast("string"))
+        return c < 0, F.concat(F.lit(label + NOT_NEGATIVE), c.cast("string"))
 
     return routes.withColumns(
         {
@@ -177,7 +189,7 @@ def topic_plan(
 
 def to_create(plan: DataFrame, existing: DataFrame) -> DataFrame:
     """Planned topics (``target_topic``) that do not exist yet (``topic``)."""
-    there = existing.select(F.col("topic").alias("target_topic"))
+    there = existing.select(F.col("topic").alias("target_topic")).distinct()
     return plan.where(F.col("option_refusal").isNull()).join(there, "target_topic", "left_anti")
 
 

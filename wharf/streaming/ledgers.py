@@ -117,8 +117,8 @@ class AckLedger(_Ledger):
         taken = open_rows.where(F.col("ack_seq").isNotNull()).select("id", "ack_seq")
         known = open_rows.select("id").unionByName(arrived.select("id"))
         refused = delivery.refused_acks(known, acks.unionByName(taken))
-        refused = refused.join(taken, ["id", "ack_seq"], "left_anti").select(*_REFUSED.fieldNames())
-        batches.put(refused, f"{self.folder}/refused", batch_id)
+        new = refused.join(taken, ["id", "ack_seq"], "left_anti")
+        batches.put(new.select(*_REFUSED.fieldNames()), f"{self.folder}/refused", batch_id)
 
     def commits(self) -> DataFrame:
         rows = batches.everything(self.spark, f"{self.folder}/ledger", _LEDGER)

@@ -80,4 +80,17 @@ SELECT doc_id, size, source_size, target,
 FROM p
 """
 
-SQL: dict[str, str] = {"op5_mixing": OP5, "op9_quality_rules": OP9}
+OP10 = """
+WITH v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)) AS w FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_dot_product(q.w, c.w)::BIGINT AS score
+  FROM v q JOIN v c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, (row_number() OVER best)::INT AS rank, vec_id, score FROM s
+WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
+QUALIFY row_number() OVER best <= 10
+"""
+
+SQL: dict[str, str] = {"op5_mixing": OP5, "op9_quality_rules": OP9, "op10_topk": OP10}

@@ -14,6 +14,7 @@ from wharf.llm import (
     quality_rules,
     sharding,
     simhash,
+    suffix_dedup,
     tokenizers,
     topk,
 )
@@ -82,6 +83,18 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes of every document that also start earlier as part of a 100-byte string."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.deduplicate(documents).select(
+        "doc_id",
+        "__cut.n_bytes",
+        "__cut.n_removed",
+        "__cut.n_spans",
+        F.sha2("__cut.kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fingerprint and component of every document."""
     documents = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -123,6 +136,7 @@ QUERIES: dict[str, Query] = {
         op4_chat_formatting,
         op5_mixing,
         op6_quality_classifier,
+        op7_suffix_dedup,
         op8_simhash,
         op9_quality_rules,
         op10_topk,

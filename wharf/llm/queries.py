@@ -10,6 +10,7 @@ from wharf.llm import (
     chat,
     html_extraction,
     mixing,
+    pieces,
     quality_model,
     quality_rules,
     sharding,
@@ -48,6 +49,21 @@ def op2_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Piece ids of every document, as count and digest, and the text decoded from them."""
+    model = tokenizers.read(tokenizers.PIECES)
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    decoded = pieces.decode(pieces.encode(documents, model), model)
+    spaces = F.replace(F.coalesce("text", F.lit("")), F.lit(pieces.SPACE), F.lit(" "))
+    return decoded.select(
+        "doc_id",
+        F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+        (F.col("decoded") == spaces).alias("round_trip"),
+    )
+
+
 def op4_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every conversation, and one that says control strings, formatted and read back."""
     said = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
@@ -133,6 +149,7 @@ QUERIES: dict[str, Query] = {
     for fn in (
         op1_html_extraction,
         op2_sharding,
+        op3_sentencepiece,
         op4_chat_formatting,
         op5_mixing,
         op6_quality_classifier,

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from wharf.llm.common import stored
+from wharf.plans.joins import lookup
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -16,7 +17,9 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     else:
         around = edges.select(F.col("a").alias("u"), F.col("b").alias("v"))
     least = around.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-    joined = around.join(least, "u")
+    # Settled, so that the join deals rows anew and can split the rows of a frequent root.
+    least = stored(least, "stars")
+    joined = lookup(around, least, ["u"])
     if large:
         pairs = joined.where(F.col("v") > F.col("u")).select(F.col("v").alias("a"), F.col("m").alias("b"))
     else:

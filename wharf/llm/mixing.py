@@ -95,7 +95,7 @@ def mix(
     )
     totals = stored(totals, "mix-sources")
     largest = totals.agg(F.coalesce(F.max("__n"), F.lit(0))).first()[0]
-    buckets = max(16, -(-largest // BLOCK_ROWS))
+    buckets = max(64, -(-largest // BLOCK_ROWS))
     goals = stored(targets(totals.drop("__n")), "mix-targets")
     # Grows with the key, so buckets keep the order of the keys.
     bucket = F.floor((1 - F.exp(-F.col("__key"))) * buckets).cast("int")

@@ -18,7 +18,7 @@ the input keep their names and must not be called ``shard`` or ``slot``.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from wharf.functions.once import once
 from wharf.llm.common import BLOCK_ROWS, exclusive_prefix, stored, uniform
@@ -103,9 +103,7 @@ def _shares(left: Column, size: Column, node: Column, seed: int) -> Column:
     )
 
 
-def communication_matrix(
-    spark: SparkSession, parts: DataFrame, sizes: list[int], seed: int
-) -> DataFrame:
+def communication_matrix(parts: DataFrame, sizes: list[int], seed: int) -> DataFrame:
     """Exact counts per partition and shard.
 
     ``parts`` has (part, n) with parts from 0; ``sizes`` are the shard sizes and add up to all
@@ -115,10 +113,8 @@ def communication_matrix(
     height = 1
     while FAN**height <= top:
         height += 1
-    nodes = spark.range(1).select(
-        F.lit(0).cast("bigint").alias("node"),
-        F.array(*[F.lit(s).cast("bigint") for s in sizes]).alias("counts"),
-    )
+    whole = F.array(*[F.lit(s).cast("bigint") for s in sizes])
+    nodes = None
     for level in range(height - 1, -1, -1):
         child = F.floor(F.col("part") / F.lit(FAN**level)).cast("bigint")
         kids = (
@@ -150,17 +146,14 @@ def communication_matrix(
             give,
             lambda acc: acc["out"],
         )
-        nodes = (
-            nodes.join(kids, "node")
-            .select(F.explode(split).alias("kid"))
-            .select("kid.node", "kid.counts")
-        )
+        # The top level is one node, which has all rows of every shard.
+        known = kids.withColumn("counts", whole) if nodes is None else nodes.join(kids, "node")
+        nodes = known.select(F.explode(split).alias("kid")).select("kid.node", "kid.counts")
     return nodes.withColumnRenamed("node", "part")
 
 
 def shard(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """``df`` with ``shard`` (0 to ``shards`` - 1) and ``slot``, gapless from 0 per shard."""
-    spark = df.sparkSession
     position = F.monotonically_increasing_id()
     permuted = (
         df.withColumn("__key", F.xxhash64(F.lit(seed), position))
@@ -176,7 +169,7 @@ def shard(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     parts = stored(local.groupBy("part").agg(F.count("*").alias("n")), "shard-parts")
     n = parts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
     sizes = [n * (j + 1) // shards - n * j // shards for j in range(shards)]
-    matrix = stored(communication_matrix(spark, parts, sizes, seed), "shard-matrix")
+    matrix = stored(communication_matrix(parts, sizes, seed), "shard-matrix")
     ends = F.transform(
         F.sequence(F.lit(1), F.lit(shards)),
         lambda j: F.aggregate(F.slice("counts", F.lit(1), j), _long(0), lambda a, x: a + x),

@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import pytest
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from wharf.catalog import all_queries as queries
+from wharf.comparison import all_sql as oracle_sql
 from compare import connect, difference
 
 SF = "/root/testdata/sf0.001"

@@ -204,3 +204,13 @@ def test_checkpoint_plan_has_no_window_and_no_python(spark):
     plan = delivery.checkpoints(delivered, acks, F.col("off"))._jdf.queryExecution().executedPlan()
     text = plan.toString()
     assert "Window" not in text and "Python" not in text and "CartesianProduct" not in text
+
+
+def test_rows_without_a_partition_stay(spark):
+    delivered = spark.createDataFrame([(f"m{o}", "t", None, o) for o in range(3)], DELIVERED)
+    acks = spark.createDataFrame([("m0", 0), ("m1", 1)], ACKS)
+    assert delivery.acked(delivered, acks).where("ack_seq IS NOT NULL").count() == 2
+    point = delivery.checkpoints(delivered, acks, F.col("off"))
+    assert rows(point) == [("t", None, 1)]
+    assert rows(delivery.redelivered(delivered, acks).select("id")) == [("m2",)]
+    assert rows(delivery.commits(delivery.acked(delivered, acks)).select("at_ack", "commit_offset")) == [(0, 1), (1, 2)]

@@ -102,3 +102,19 @@ def test_with_once_keeps_rows_and_is_not_inlined(spark):
     plan = df.where("x is not null")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.index("Filter isnotnull(x") < plan.index("Generate")
     assert [r.x for r in df.orderBy("id").collect()] == [None, None, None, 30, 40]
+
+
+def test_nesting_is_limited_by_the_text_alone(spark):
+    texts = ["[" * n + "]" * n for n in (999, 1000, 1001)]
+    texts += ['{"a":' * 1000 + "1" + "}" * 1000 + " ", "[" * 1000 + "]" * 1000 + " [1]", '["]",' + "[" * 999 + "]" * 1000]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "n int, t string")
+    doc = J.document(F.col("t"))
+    got = df.select("n", doc["root"].isNotNull().alias("one"), doc["has_trailing"].alias("more")).orderBy("n")
+    assert [(r.one, r.more) for r in got.collect()] == [
+        (True, False),
+        (True, False),
+        (False, False),
+        (True, False),
+        (False, True),
+        (True, False),
+    ]

@@ -23,6 +23,8 @@ def trips_fold(batches: list[tuple[str, int, list[bool]]], threshold: int) -> li
     count, out = {}, []
     for reg, n, oks in sorted(batches):
         c = count.get(reg, 0)
+        if not all(oks):
+            oks = oks[: oks.index(False) + 1]  # nothing is attempted after a failure
         if any(oks):
             c = 0
         if not all(oks):
@@ -34,6 +36,16 @@ def trips_fold(batches: list[tuple[str, int, list[bool]]], threshold: int) -> li
     return out
 
 
+def test_successes_after_a_failure_were_never_attempted(spark):
+    got = outcomes.breaker_trips(log(spark, [("r", n, [False, True]) for n in range(4)]), 3)
+    assert rows(got) == [("r", 2, 3), ("r", 3, 4)]
+
+
+def test_a_registration_without_a_name_trips_too(spark):
+    got = outcomes.breaker_trips(log(spark, [(None, n, [False]) for n in range(4)]), 3)
+    assert rows(got) == [(None, 2, 3), (None, 3, 4)]
+
+
 def test_batch_results(spark):
     got = outcomes.batch_results(
         log(spark, [("r", 1, [True, False, True, False]), ("r", 2, [True]), ("r", 3, [False])])

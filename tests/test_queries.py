@@ -37,3 +37,8 @@ def test_plans_avoid_python_and_cross_joins(spark, name):
     plan = queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
     for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "EvalPython", "MapInPandas"):
         assert operator not in plan
+
+
+@pytest.mark.parametrize("name", ["breaker_trips", "stream_breaker"])
+def test_breaker_queries_have_rows(spark, name):
+    assert queries()[name](spark, "/root/testdata/sf0.01").count() == 27

@@ -129,3 +129,9 @@ def test_backbone_has_a_folder_per_topic(spark, tmp_path):
     # Each topic was gathered before writing, not scattered over every task.
     assert all(len(list(p.glob("*.parquet"))) == 1 for p in path.glob("topic=*"))
     assert spark.read.parquet(str(path)).where("topic = 't1'").count() == 33
+
+
+@pytest.mark.parametrize("size", [0, 501])
+def test_requests_beyond_the_limits_are_refused(spark, size):
+    with pytest.raises(ValueError, match="1 to 500"):
+        batches.chunks(spark.range(1), ["id"], "id", size)

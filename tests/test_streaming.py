@@ -237,6 +237,16 @@ def test_live_breaker_equals_batch_by_batch_fold(spark, tmp_path, seed):
     assert sorted(tuple(r) for r in live.collect()) == [t for t in want if t[1] < 23]
 
 
+def test_rows_of_a_closed_batch_come_too_late(spark, tmp_path):
+    ledger = ledgers.BreakerLedger(spark, str(tmp_path / "ledger"), 2)
+    part = [("a", 1, 1, "a1-1", False, "e"), ("a", 2, 0, "a2-0", False, "e"), (None, 1, 0, "n", False, "e")]
+    ledger.process(spark.createDataFrame(part, OUTCOMES), 0)
+    rest = [("a", 1, 0, "a1-0", True, None), ("a", 3, 0, "a3-0", False, "e"), (None, 2, 0, "n2", False, "e")]
+    ledger.process(spark.createDataFrame(rest, OUTCOMES), 1)
+    assert rows(ledger.late().select("reg", "batch_no", "idx")) == [("a", 1, 0)]
+    assert rows(ledger.trips(final=True)) == [("a", 2, 2), ("a", 3, 3), (None, 2, 2)]
+
+
 def test_quarantine(spark, tmp_path):
     land, stream, trigger = landing(spark, tmp_path / "in", schemas.MESSAGE)
     land([("m0", "t", b'{"id":"x"}', {"k": "v"}), ("m1", "t", b"nope", {})])

@@ -666,11 +666,9 @@ def contract_report(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def quarantine_split(spark: SparkSession, sf: str) -> DataFrame:
-    checked = _checked(spark, sf)
-    kept = contracts.skip_invalid(checked).select("id", F.lit("valid").alias("side"))
-    return kept.unionByName(
-        contracts.violations(checked).select("id", F.lit("quarantine").alias("side"))
-    )
+    """Where each message goes; one pass decides both sides."""
+    side = F.when(F.col("violation").isNull(), "valid").otherwise("quarantine")
+    return _checked(spark, sf).select("id", side.alias("side"))
 
 
 @query

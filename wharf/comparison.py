@@ -648,9 +648,12 @@ def all_sql() -> dict[str, str]:
              WHEN idx = first_fail THEN 'failed' ELSE 'not_attempted' END AS state FROM c""",
     )
     trips = """
-      , b AS (
+      , f AS (
+        SELECT *, min(CASE WHEN NOT ok THEN idx END) OVER (PARTITION BY reg, batch_no) AS first_fail
+        FROM outcomes),
+      b AS (
         SELECT reg, batch_no, bool_or(ok) AS any_ok, bool_or(NOT ok) AS failed
-        FROM outcomes GROUP BY ALL),
+        FROM f WHERE first_fail IS NULL OR idx <= first_fail GROUP BY ALL),
       s AS (
         SELECT *, sum(any_ok::INT) OVER (PARTITION BY reg ORDER BY batch_no) AS grp FROM b),
       t AS (

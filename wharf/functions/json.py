@@ -2,7 +2,8 @@
 
 ``try_parse_json`` ignores whatever follows the first value. Wrapping the text once as an
 array element and once as an object value closes that gap: trailing text would have to
-continue an array and an object at the same time, which no text can.
+continue an array and an object at the same time, which no text can. The wrapping costs one
+level of nesting, so a text at the parser's limit is judged by its brackets instead.
 """
 
 from __future__ import annotations
@@ -15,6 +16,27 @@ from wharf.functions.once import once
 FIELD_TYPES = ("STRING", "NUMBER", "BOOLEAN", "OBJECT", "ARRAY")
 
 
+def _closes_at_end(text: Column) -> Column:
+    """Whether the first bracket of a text is closed by its last character."""
+    trimmed = F.regexp_replace(text, r"\A[ \t\r\n]+|[ \t\r\n]+\z", "")
+    bare = F.regexp_replace(trimmed, r'"(?:[^"\\]|\\.)*+"', "")
+    brackets = F.regexp_replace(bare, r"[^\[\]{}]+", "")
+    start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("closed"))
+    ended = F.aggregate(
+        F.split(brackets, ""),
+        start,
+        lambda acc, c: once(
+            acc["depth"] + F.when(c.isin("[", "{"), 1).when(c.isin("]", "}"), -1).otherwise(0),
+            lambda depth: F.struct(
+                depth.alias("depth"),
+                (acc["closed"] + F.when((c != "") & (depth <= 0), 1).otherwise(0)).alias("closed"),
+            ),
+        ),
+    )
+    outer = trimmed.rlike(r"(?s)\A[\[{].*[\]}]\z")
+    return F.when(outer, (ended["depth"] == 0) & (ended["closed"] == 1)).otherwise(F.lit(False))
+
+
 def document(text: Column) -> Column:
     """What one JSON text holds, as a struct.
 
@@ -38,6 +60,17 @@ def document(text: Column) -> Column:
             ),
         )
 
+    def deepest(v: Column) -> Column:
+        """A text that only the wrapping made too deep is a single document after all."""
+        whole = F.when(v["first"].isNotNull(), _closes_at_end(text)).otherwise(F.lit(False))
+        return once(
+            whole,
+            lambda single: F.struct(
+                F.when(single, v["first"]).otherwise(v["root"]).alias("root"),
+                F.when(~single, v["first"]).alias("first"),
+            ),
+        )
+
     def described(v: Column) -> Column:
         return F.struct(
             v["root"].alias("root"),
@@ -48,7 +81,10 @@ def document(text: Column) -> Column:
             F.coalesce(text.rlike(r"\A[ \t\r\n]*\z"), F.lit(False)).alias("is_void"),
         )
 
-    return once(in_array, lambda array: once(values(array), described))
+    return once(
+        in_array,
+        lambda array: once(values(array), lambda v: once(deepest(v), described)),
+    )
 
 
 # How the variant type names of JSON values start, and their tags.

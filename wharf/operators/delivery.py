@@ -47,7 +47,7 @@ def ledger(
     """
     carried = [position.alias("pos")] if by_id is None else []
     placed = lookup(
-        delivered.select("id", *keys, *carried), parts.select(*keys, "number"), keys
+        delivered.select("id", *keys, *carried), parts.select(*keys, "number"), keys, null_safe=True
     ).drop(*keys)
     both = placed.unionByName(
         acks.select("id", F.col("ack_seq").cast("bigint").alias("ack_seq")),
@@ -116,7 +116,7 @@ def checkpoints_of(
     held = state.where(F.col("first_pos") < F.col("first_unacked")).select(*keys, "first_unacked")
     rows = delivered.select(*keys, position.alias("__pos"))
     partial = (
-        lookup(rows, held, keys)
+        lookup(rows, held, keys, null_safe=True)
         .where(F.col("__pos") < F.col("first_unacked"))
         .groupBy(*keys)
         .agg(F.max("__pos").alias("checkpoint"))
@@ -245,7 +245,7 @@ def seek_positions(delivered: DataFrame, acks: DataFrame) -> DataFrame:
 def redelivered(delivered: DataFrame, acks: DataFrame) -> DataFrame:
     """Rows that come again after the seek: acks beyond the prefix are forgotten."""
     seeks = settle(seek_positions(delivered, acks))
-    return lookup(delivered, seeks, PARTITION).where(F.col("off") >= F.col("seek_to"))
+    return lookup(delivered, seeks, PARTITION, null_safe=True).where(F.col("off") >= F.col("seek_to"))
 
 
 def resume_positions(

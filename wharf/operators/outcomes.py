@@ -66,14 +66,25 @@ def batch_cut(outcomes: DataFrame, span: int = SPAN) -> DataFrame:
     return rows.withColumn("state", state).drop("__stopped")
 
 
-def batch_flags(outcomes: DataFrame) -> DataFrame:
-    """Per batch whether any publish succeeded and whether one failed (0 or 1)."""
+def batch_minima(outcomes: DataFrame) -> DataFrame:
+    """Per batch the first success and the first failure; both combine across parts of a batch."""
     return outcomes.groupBy(*BATCH).agg(
-        F.max(F.col("ok").cast("int")).alias("any_ok"),
-        F.max((~F.col("ok")).cast("int")).alias("fails"),
+        F.min(F.when(F.col("ok"), F.col("idx"))).cast("bigint").alias("first_ok"),
+        F.min(F.when(~F.col("ok"), F.col("idx"))).cast("bigint").alias("first_fail"),
     )
 
 
+def batch_flags(minima: DataFrame) -> DataFrame:
+    """Per batch whether a publish succeeded and whether one failed (0 or 1).
+
+    A batch stops at its first failure: what comes after it was never attempted and counts for
+    nothing, so a success counts only before it.
+    """
+    fails = F.col("first_fail").isNotNull()
+    before = F.col("first_ok").isNotNull() & (~fails | (F.col("first_ok") < F.col("first_fail")))
+    return minima.withColumns({"any_ok": before.cast("int"), "fails": fails.cast("int")})
+
+
 def failure_streaks(flags: DataFrame, span: int = SPAN) -> DataFrame:
     """Add ``streak``: failed batches in a row, a success in a batch counting first."""
     narrow = flags.withColumn("__reset", F.col("any_ok") == 1)
@@ -90,7 +101,7 @@ def breaker_trips(
     """
     if threshold <= 0:
         raise ValueError(f"publishFailureThreshold must be > 0, got {threshold}")
-    rows = failure_streaks(batch_flags(outcomes), span)
+    rows = failure_streaks(batch_flags(batch_minima(outcomes)), span)
     tripped = (F.col("fails") == 1) & (F.col("streak") >= threshold)
     return rows.where(tripped).select(*BATCH, "streak")
 

@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
@@ -27,6 +28,7 @@ def lookup(
     on: Sequence[str],
     how: str = "inner",
     rows: int = BROADCAST_ROWS,
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join ``df`` to a lookup table.
 
@@ -34,6 +36,12 @@ def lookup(
     one is shuffled, and adaptive execution splits the hot keys of ``df`` (both inputs
     reach the join straight from their exchange, which that split needs). Pass computed
     summaries through ``session.settle`` first, so that the check does not compute them twice.
+    With ``null_safe`` null keys meet each other; else they meet nothing.
     """
+    if null_safe:
+        small = small.withColumnsRenamed({k: f"__of_{k}" for k in on})
     side = F.broadcast(small) if fits(small, rows) else small
-    return df.join(side, on=list(on), how=how)
+    if not null_safe:
+        return df.join(side, on=list(on), how=how)
+    same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in on]
+    return df.join(side, on=reduce(Column.__and__, same), how=how).drop(*[f"__of_{k}" for k in on])

@@ -54,6 +54,14 @@ def _merge(kind: str, carry: Column, local: Column) -> Column:
     return F.when(carry.isNull(), local).when(local.isNull(), carry).otherwise(pick(carry, local))
 
 
+_KEY = "__key"
+
+
+def _keyed(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Add the keys as one struct, which is never null: rows with null keys are a key of their own."""
+    return df.withColumn(_KEY, F.struct(*[F.col(f"`{k}`") for k in keys]))
+
+
 def running(
     df: DataFrame,
     keys: Sequence[str],
@@ -64,10 +72,20 @@ def running(
 ) -> DataFrame:
     """Add running aggregates per ``keys`` in ``position`` order.
 
-    ``position`` is a BIGINT that is unique per key; keys are not null. With ``levels`` above
-    one the block totals are cut into blocks as well, for very sparse positions.
+    ``position`` is a BIGINT that is unique per key; rows with null keys form keys as well. With
+    ``levels`` above one the block totals are cut into blocks too, for very sparse positions.
     """
-    keys = list(keys)
+    return _running(_keyed(df, keys), [_KEY], position, columns, span, levels).drop(_KEY)
+
+
+def _running(
+    df: DataFrame,
+    keys: list[str],
+    position: str,
+    columns: Mapping[str, Running],
+    span: int,
+    levels: int,
+) -> DataFrame:
     blocked = df.withColumn(_BLOCK, block_of(F.col(position), span))
     totals = blocked.groupBy(*keys, _BLOCK).agg(
         *[_AGGREGATES[spec.kind](spec.value).alias(name) for name, spec in columns.items()]
@@ -76,7 +94,7 @@ def running(
     if levels > 1:
         renamed = totals.withColumnRenamed(_BLOCK, "__outer")
         before = {f"__carry_{name}": spec for name, spec in before.items()}
-        carry = running(renamed, keys, "__outer", before, span, levels - 1)
+        carry = _running(renamed, keys, "__outer", before, span, levels - 1)
         carry = carry.withColumnRenamed("__outer", _BLOCK).drop(*columns)
     else:
         earlier = (
@@ -129,12 +147,11 @@ def streaks(
     """Add the sum of ``add`` since the last row with ``reset``, that row included.
 
     ``add`` is a count (0 or more). A row that resets and adds counts from its own addition.
-    Keep ``df`` narrow: its one exchange feeds both the rows and the block totals.
+    Rows with null keys form keys as well. Keep ``df`` narrow: its one exchange feeds both the
+    rows and the block totals.
     """
-    keys = list(keys)
-    # Spelled out on both sides of the join, so that they read the same exchange.
-    present = reduce(Column.__and__, [F.col(k).isNotNull() for k in keys])
-    blocked = df.where(present).withColumn(_BLOCK, block_of(F.col(position), span))
+    blocked = _keyed(df, keys).withColumn(_BLOCK, block_of(F.col(position), span))
+    keys = [_KEY]
     upto = (
         Window.partitionBy(*keys, _BLOCK)
         .orderBy(position)
@@ -161,5 +178,5 @@ def streaks(
         F.greatest(F.col("__sum0") + F.col("__base"), F.col("__base0")), F.lit(0)
     )
     return joined.withColumn(name, F.col("__sum0") + F.col("__sum") - base).drop(
-        _BLOCK, "__sum", "__base", "__sum0", "__base0"
+        _KEY, _BLOCK, "__sum", "__base", "__sum0", "__base0"
     )

@@ -32,6 +32,8 @@ def chunks(
 
     Adds ``chunk_no`` and ``entry_no``, both from 0.
     """
+    if not 0 < size <= MAX_RECORDS_PER_PUT:
+        raise ValueError(f"a request takes 1 to {MAX_RECORDS_PER_PUT} records, got {size}")
     before = Running("sum", F.lit(1).cast("bigint"), exclusive=True)
     ranked = running(df, keys, position, {"__before": before}, span)
     step = F.lit(size).cast("bigint")

@@ -20,6 +20,8 @@ def capped(df: DataFrame, keys: list[str], position: str, cap: int) -> DataFrame
 
     Every map task keeps at most ``cap`` rows per key before the shuffle.
     """
+    if not 0 < cap <= MAX_RECORDS_PER_FETCH:
+        raise ValueError(f"a pull takes 1 to {MAX_RECORDS_PER_FETCH} records, got {cap}")
     rank = F.row_number().over(Window.partitionBy(*keys).orderBy(position))
     return df.withColumn("__rank", rank).where(F.col("__rank") <= cap).drop("__rank")
 
@@ -32,6 +34,8 @@ def fair_share(
     Each of n topics yields at most max(1, budget / n) rows and all together at most
     ``budget``. Visiting starts at topic ``pull_no mod n``; an unused share stays unused.
     """
+    if budget <= 0 or not topics:
+        raise ValueError(f"a pull needs topics and a budget over 0, got {topics} and {budget}")
     topics = list(dict.fromkeys(topics))
     share = max(1, budget // len(topics))
     first = pull_no % len(topics)

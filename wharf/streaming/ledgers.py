@@ -45,6 +45,8 @@ _STREAKS = T.StructType(
     [
         T.StructField("reg", T.StringType()),
         T.StructField("batch_no", T.LongType()),
+        T.StructField("first_ok", T.LongType()),
+        T.StructField("first_fail", T.LongType()),
         T.StructField("any_ok", T.IntegerType()),
         T.StructField("fails", T.LongType()),
         T.StructField("carried", T.IntegerType()),
@@ -54,6 +56,17 @@ _STREAKS = T.StructType(
 )
 
 
+_LATE = T.StructType(
+    [
+        T.StructField("reg", T.StringType()),
+        T.StructField("batch_no", T.LongType()),
+        T.StructField("idx", T.LongType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("ok", T.BooleanType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
+
 _VIOLATION = T.StructType(
     [T.StructField("field_name", T.StringType()), T.StructField("reason", T.StringType())]
 )
@@ -132,8 +145,9 @@ class AckLedger(_Ledger):
 class BreakerLedger(_Ledger):
     """Breaker trips per registration from a stream of publish outcomes.
 
-    Batches of a registration arrive in order; the newest one stays open until a later one
-    is seen, because more of its rows may follow. ``trips(final=True)`` closes those too.
+    The newest batch of a registration stays open until a later one is seen, because more of
+    its rows may follow. ``trips(final=True)`` closes those too. Rows of a batch that is closed
+    come too late to count and are kept apart, in ``late()``.
     """
 
     def __init__(
@@ -149,48 +163,52 @@ class BreakerLedger(_Ledger):
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
         base = f"{self.folder}/streaks"
-        carried = self._carry(batches.get(batch.sparkSession, base, batch_id - 1, _STREAKS))
-        fresh = outcomes.batch_flags(batch).withColumn("carried", F.lit(0))
-        flags = settle(
-            fresh.unionByName(carried)
-            .groupBy(*outcomes.BATCH)
-            .agg(
-                F.max("any_ok").alias("any_ok"),
-                F.max("fails").alias("fails"),
-                F.max("carried").alias("carried"),
-            )
+        state = batches.get(batch.sparkSession, base, batch_id - 1, _STREAKS)
+        # The streak of each registration, at the last batch that is closed.
+        reached = settle(
+            state.where("closed")
+            .groupBy("reg")
+            .agg(F.max("batch_no").alias("batch_no"), F.max_by("streak", "batch_no").alias("fails"))
         )
+        known = reached.select("reg", F.col("batch_no").alias("__closed"))
+        seen = lookup(batch, known, ["reg"], "left", null_safe=True)
+        is_late = F.coalesce(F.col("batch_no") <= F.col("__closed"), F.lit(False))
+        late = seen.where(is_late).select(*[F.col(f.name).cast(f.dataType) for f in _LATE])
+        batches.put(late, f"{self.folder}/late", batch_id)
+
+        still_open = state.where(~F.col("closed")).select(*outcomes.BATCH, "first_ok", "first_fail")
+        fresh = outcomes.batch_minima(seen.where(~is_late)).unionByName(still_open)
+        minima = fresh.groupBy(*outcomes.BATCH).agg(
+            F.min("first_ok").alias("first_ok"), F.min("first_fail").alias("first_fail")
+        )
+        flags = outcomes.batch_flags(minima).withColumn("carried", F.lit(0))
+        carried = reached.withColumns({"any_ok": F.lit(0), "carried": F.lit(1)})
+        flags = settle(flags.unionByName(carried, allowMissingColumns=True))
         newest = settle(flags.groupBy("reg").agg(F.max("batch_no").alias("newest")))
         rows = outcomes.failure_streaks(flags, self.span)
         closed = (F.col("batch_no") < F.col("newest")) | (F.col("carried") == 1)
-        marked = lookup(rows, newest, ["reg"]).withColumn("closed", closed)
+        marked = lookup(rows, newest, ["reg"], null_safe=True).withColumn("closed", closed)
         batches.put(marked.select(*_STREAKS.fieldNames()), base, batch_id)
 
-    @staticmethod
-    def _carry(rows: DataFrame) -> DataFrame:
-        """Open batches as they are, plus one row per registration that holds its streak."""
-        still_open = rows.where(~F.col("closed")).select(
-            "reg", "batch_no", "any_ok", "fails", F.lit(0).alias("carried")
-        )
-        streak = (
-            rows.where("closed")
-            .groupBy("reg")
-            .agg(F.max("batch_no").alias("batch_no"), F.max_by("streak", "batch_no").alias("fails"))
-            .select("reg", "batch_no", F.lit(0).alias("any_ok"), "fails", F.lit(1).alias("carried"))
-        )
-        return still_open.unionByName(streak)
+    def late(self) -> DataFrame:
+        """Outcomes of batches that were closed already; they count for nothing."""
+        return batches.everything(self.spark, f"{self.folder}/late", _LATE).drop("batch_id")
 
     def trips(self, final: bool = False) -> DataFrame:
         rows = batches.everything(self.spark, f"{self.folder}/streaks", _STREAKS)
+        if "batch_id" not in rows.columns:  # nothing was processed yet
+            return rows.select(*outcomes.BATCH, "streak")
         tripped = (F.col("carried") == 0) & (F.col("fails") == 1)
         hits = rows.where(tripped & (F.col("streak") >= self.threshold))
         if not final:
             hits = hits.where("closed")
         # A batch that was open in several micro-batches counts as its last state.
-        real = rows.where("carried = 0")
-        last = real.groupBy(*outcomes.BATCH).agg(F.max("any_ok").alias("any_ok"))
-        same = hits.join(last, [*outcomes.BATCH, "any_ok"], "left_semi")
-        return same.groupBy(*outcomes.BATCH).agg(F.min("streak").alias("streak"))
+        last = rows.where("carried = 0").groupBy(*outcomes.BATCH).agg(
+            F.max("batch_id").alias("batch_id")
+        )
+        found = hits.withColumn("__b", F.struct(*outcomes.BATCH, "batch_id"))
+        ends = last.select(F.struct(*outcomes.BATCH, "batch_id").alias("__b"))
+        return found.join(ends, "__b", "left_semi").select(*outcomes.BATCH, "streak")
 
 
 class ContractLedger(_Ledger):

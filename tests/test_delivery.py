@@ -214,3 +214,59 @@ def test_rows_without_a_partition_stay(spark):
     assert rows(point) == [("t", None, 1)]
     assert rows(delivery.redelivered(delivered, acks).select("id")) == [("m2",)]
     assert rows(delivery.commits(delivery.acked(delivered, acks)).select("at_ack", "commit_offset")) == [(0, 1), (1, 2)]
+
+
+def sessions_fold(log: list[tuple[str, int]]) -> int | None:
+    """Last committed offset as deliveries, acks and resets come in one by one."""
+    open_, got, last = [], set(), None
+    for kind, offset in log:
+        if kind == "reset":
+            open_, got = [], set()
+        elif kind == "deliver":
+            open_.append(offset)
+        elif offset in open_:
+            got.add(offset)
+            while open_ and min(open_) in got:
+                last = min(open_)
+                open_.remove(last)
+    return last
+
+
+def session_tables(spark, log: list[tuple[str, int]]):
+    session, delivered, acks = 0, [], []
+    for n, (kind, offset) in enumerate(log):
+        session += kind == "reset"
+        if kind == "deliver":
+            delivered.append((f"m{offset}", "t", "0", offset, session))
+        elif kind == "ack":
+            acks.append((f"m{offset}", n, session))
+    return (
+        spark.createDataFrame(delivered, f"{DELIVERED}, session int"),
+        spark.createDataFrame(acks, f"{ACKS}, session int"),
+    )
+
+
+def test_acks_beyond_the_prefix_are_forgotten_at_a_reset(spark):
+    log = [("deliver", i) for i in range(3)] + [("ack", 1), ("ack", 2), ("reset", 0)]
+    log += [("deliver", i) for i in range(3)] + [("ack", 0)]
+    delivered, acks = session_tables(spark, log)
+    assert rows(delivery.session_checkpoints(delivered, acks, F.col("off"))) == [("t", "0", 0)]
+    assert delivery.refused_acks(delivered, acks, "session").count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sessions_equal_an_ack_by_ack_fold(spark, seed):
+    rng = random.Random(seed)
+    log, begin = [], 0
+    for _ in range(4):
+        end = begin + rng.randint(3, 12)
+        part = [("deliver", i) for i in range(begin, end)]
+        acks = [("ack", i) for i in range(begin, end) if rng.random() < 0.8]
+        rng.shuffle(acks)
+        log += [*part, *acks, ("reset", 0)]
+        done = sessions_fold(log[:-1])
+        begin = 0 if done is None else done + 1
+    delivered, acks = session_tables(spark, log)
+    want = sessions_fold(log)
+    got = delivery.session_checkpoints(delivered, acks, F.col("off")).collect()
+    assert [r.checkpoint for r in got] == ([] if want is None else [want])

@@ -460,6 +460,26 @@ def ack_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("commit_offset", F.col("checkpoint") + 1)
 
 
+def _sessions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    events = X.table(spark, sf, "events")
+    delivered = X.event_messages(events).select("id", "topic", "part", "off", "event_id")
+    again = settle(delivery.redelivered(delivered, X.acks(events)).select(*delivered.columns))
+    return X.two_sessions(delivered, again, X.noisy_acks(events))
+
+
+@query
+def redelivered_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
+    """Checkpoints after a reset: acks beyond the first session's prefix are forgotten."""
+    return delivery.session_checkpoints(*_sessions(spark, sf), F.col("off"))
+
+
+@query
+def refused_session_acks(spark: SparkSession, sf: str) -> DataFrame:
+    return delivery.refused_acks(*_sessions(spark, sf), "session").select(
+        "id", "session", "ack_seq", "cause", "message"
+    )
+
+
 @query
 def kinesis_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
     return delivery.shard_checkpoints(*_kinesis(spark, sf))

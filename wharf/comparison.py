@@ -528,6 +528,37 @@ def all_sql() -> dict[str, str]:
       SELECT topic, part, max(off) AS checkpoint, max(off) + 1 AS commit_offset
       FROM msg JOIN state USING (topic, part) WHERE fu IS NULL OR off < fu GROUP BY ALL""",
     )
+    again = """
+      , again AS (
+        SELECT *, event_id % 5 <> 0 AS acked_again FROM msg JOIN state USING (topic, part)
+        WHERE fu IS NOT NULL AND off >= fu)"""
+    sql["redelivered_checkpoint"] = _with(
+        _EVENTS,
+        select=f"""{held}{again}
+      , next AS (
+        SELECT topic, part, min(off) FILTER (NOT acked_again) AS fu FROM again GROUP BY ALL),
+      points AS (
+        SELECT topic, part, off FROM msg JOIN state USING (topic, part) WHERE fu IS NULL OR off < fu
+        UNION ALL
+        SELECT topic, part, off FROM again JOIN next USING (topic, part)
+        WHERE next.fu IS NULL OR off < next.fu)
+      SELECT topic, part, max(off) AS checkpoint FROM points GROUP BY ALL""",
+    )
+    sql["refused_session_acks"] = _with(
+        _EVENTS,
+        select=f"""{held}{again}
+      , bad AS (
+        SELECT 'lost-' || id AS id, 0 AS session, ack_seq, 'never delivered' AS cause
+        FROM msg WHERE acked AND event_id % 17 = 0
+        UNION ALL
+        SELECT id, 0, ack_seq + 100003, 'already acknowledged'
+        FROM msg WHERE acked AND event_id % 13 = 0
+        UNION ALL
+        SELECT id, 1, event_id + 200006, 'of an earlier session'
+        FROM msg WHERE event_id % 29 = 0 AND id NOT IN (SELECT id FROM again))
+      SELECT *, 'Unknown message: ' || id
+        || '. Only messages returned by poll() can be acknowledged.' AS message FROM bad""",
+    )
     sql["kinesis_checkpoint"] = _with(
         _KINESIS,
         select="""SELECT c.part, p.pos AS checkpoint

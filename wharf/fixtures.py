@@ -120,6 +120,25 @@ def noisy_acks(events: DataFrame) -> DataFrame:
     return log.unionByName(again).unionByName(strange).select("id", "ack_seq")
 
 
+def two_sessions(delivered: DataFrame, again: DataFrame, noisy: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Deliveries and acks before and after a reset.
+
+    ``again`` is what comes a second time. The second session acks four of five of those, and
+    some rows that it was never given.
+    """
+    n = F.col("event_id")
+    given = delivered.withColumn("session", F.lit(0)).unionByName(
+        again.withColumn("session", F.lit(1))
+    )
+    second = again.where(n % 5 != 0).select("id", (n + 2 * ACK_RANGE).alias("ack_seq"))
+    kept = delivered.join(again, "id", "left_anti").where(n % 29 == 0)
+    stale = kept.select("id", (n + 2 * ACK_RANGE).alias("ack_seq"))
+    acks_ = noisy.withColumn("session", F.lit(0)).unionByName(
+        second.unionByName(stale).withColumn("session", F.lit(1))
+    )
+    return given, acks_
+
+
 def kinesis_delivered(events: DataFrame) -> DataFrame:
     """Event messages as read from 16 shards, sequence numbers of mixed width."""
     shard = F.concat(F.lit("shard-"), (F.col("user_id") % 16).cast("string"))

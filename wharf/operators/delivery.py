@@ -168,28 +168,52 @@ def in_flight(delivered: DataFrame, acks: DataFrame, cap: int, keys: list[str])
     return counted.withColumn("cap_reached", hit)
 
 
-def refused_acks(delivered: DataFrame, acks: DataFrame) -> DataFrame:
+def session_checkpoints(
+    delivered: DataFrame, acks: DataFrame, position: Column, keys: list[str] = PARTITION
+) -> DataFrame:
+    """Checkpoints over several sessions (integer column ``session`` on both sides).
+
+    A reset ends a session: acks beyond its prefix are forgotten, and what was not committed is
+    delivered again in the next one. So each session stands for itself, an ack counts only in
+    the session that made it, and the furthest session checkpoint holds.
+    """
+    own = F.concat_ws("#", "session", "id")
+    points = checkpoints(
+        delivered.withColumn("id", own), acks.withColumn("id", own), position, [*keys, "session"]
+    )
+    return points.groupBy(*keys).agg(F.max("checkpoint").alias("checkpoint"))
+
+
+def refused_acks(delivered: DataFrame, acks: DataFrame, session: str | None = None) -> DataFrame:
     """Acks of ids that were never delivered, and every ack after the first of an id.
 
-    Ids are judged first, one row each; only the rows of the faulty ids are then looked up.
+    With a ``session`` column on both sides, ids are in flight within their session only: an
+    ack of an id that only an earlier session delivered is refused as well. Ids are judged
+    first, one row each; only the rows of the faulty ids are then looked up.
     """
-    both = acks.select("id", "ack_seq").unionByName(
-        delivered.select("id", F.lit(1).alias("known")), allowMissingColumns=True
+    keys = ["id"] if session is None else ["id", session]
+    both = acks.select(*keys, "ack_seq").unionByName(
+        delivered.select(*keys, F.lit(1).alias("known")), allowMissingColumns=True
     )
-    judged = both.groupBy("id").agg(
+    judged = both.groupBy(*keys).agg(
         F.max("known").alias("known"),
         F.min("ack_seq").alias("first_seq"),
         F.max("ack_seq").alias("last_seq"),
     )
     strange = F.col("known").isNull()
     faulty = settle(judged.where(strange | (F.col("first_seq") < F.col("last_seq"))))
-    rows = lookup(acks.select("id", "ack_seq"), faulty.select("id", "known", "first_seq"), ["id"])
+    rows = lookup(acks.select(*keys, "ack_seq"), faulty.select(*keys, "known", "first_seq"), keys)
+    cause = F.when(strange, "never delivered").otherwise("already acknowledged")
+    if session is not None:
+        unknown = faulty.where(strange).select("id").distinct()
+        before = lookup(delivered.select("id", session), unknown, ["id"])
+        first = settle(before.groupBy("id").agg(F.min(session).alias("__first")))
+        rows = lookup(rows, first, ["id"], "left")
+        earlier = strange & (F.col("__first") < F.col(session))
+        cause = F.when(earlier, "of an earlier session").otherwise(cause)
     text = F.concat(F.lit(UNKNOWN_ACK_HEAD), F.col("id"), F.lit(UNKNOWN_ACK_TAIL))
     return rows.where(strange | (F.col("ack_seq") > F.col("first_seq"))).select(
-        "id",
-        "ack_seq",
-        F.when(strange, "never delivered").otherwise("already acknowledged").alias("cause"),
-        text.alias("message"),
+        *keys, "ack_seq", cause.alias("cause"), text.alias("message")
     )
 
 

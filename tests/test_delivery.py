@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import datetime
+import itertools
 import random
 
 import pytest
@@ -270,3 +271,36 @@ def test_sessions_equal_an_ack_by_ack_fold(spark, seed):
     want = sessions_fold(log)
     got = delivery.session_checkpoints(delivered, acks, F.col("off")).collect()
     assert [r.checkpoint for r in got] == ([] if want is None else [want])
+
+
+def attempts_fold(offsets, order, fails):
+    """Ack by ack: a commit is tried while the acked prefix of what is left is not empty."""
+    left, acked, out = sorted(offsets), set(), []
+    for n, off in enumerate(order):
+        acked.add(off)
+        prefix = list(itertools.takewhile(lambda o: o in acked, left))
+        if prefix:
+            out.append((n, prefix[-1] + 1, n not in fails))
+            if n not in fails:
+                left = left[len(prefix) :]
+    return out
+
+
+@pytest.mark.parametrize("span", [3, 1 << 20])
+def test_failed_commits_equal_the_fold(spark, span):
+    rng = random.Random(span)
+    data, want = [], []
+    for part in ("0", "1", None):
+        offsets = sorted(rng.sample(range(80), 25))
+        order = rng.sample(offsets, 22)
+        fails = set(rng.sample(range(22), 9))
+        seq = {o: n for n, o in enumerate(order)}
+        data += [("t", part, o, seq.get(o), seq[o] not in fails if o in seq else None) for o in offsets]
+        want += [("t", part, *a) for a in attempts_fold(offsets, order, fails)]
+    log = spark.createDataFrame(
+        data, "topic string, part string, off bigint, ack_seq bigint, commit_ok boolean"
+    )
+    assert rows(delivery.commit_attempts(log, span)) == sorted(want, key=repr)
+    literal = [("t", "0", 100, 0, False), ("t", "0", 101, 1, True)]
+    log = spark.createDataFrame(literal, log.schema)
+    assert rows(delivery.commit_attempts(log)) == [("t", "0", 0, 101, False), ("t", "0", 1, 102, True)]

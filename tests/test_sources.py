@@ -260,6 +260,18 @@ def test_pull_caps_are_applied_before_the_shuffle(spark):
     assert rows(got) == [(0, 0), (0, 2), (0, 4), (1, 1), (1, 3), (1, 5)]
 
 
+@pytest.mark.parametrize("span", [7, 1 << 20])
+def test_caps_of_a_hot_key_are_cut_by_blocks(spark, span):
+    """Nearly all rows in one key; the blocks beyond the cut are never ranked."""
+    data = [("hot", n * 3) for n in range(400)] + [(None, 5), (None, -9), ("cold", 0)]
+    df = spark.createDataFrame(data, "k string, n bigint").repartition(5)
+    got = intake.capped(df, ["k"], "n", 50, span)
+    want = [("hot", n * 3) for n in range(50)] + data[400:]
+    assert rows(got) == sorted(want, key=repr)
+    turns = intake.fair_share(df.withColumnRenamed("k", "topic"), ["cold", "hot"], 60, 0, "n", span)
+    assert sorted(r.visit_no for r in turns.collect()) == list(range(1, 32))
+
+
 def test_read_nanos_rounds_up(spark):
     df = spark.createDataFrame([(0,), (1,), (2 * 1024 * 1024,), (3_000_000,)], "b bigint")
     got = [r[0] for r in df.select(intake.read_nanos(F.col("b"))).collect()]

@@ -206,6 +206,30 @@ def test_replayed_micro_batch_replaces_its_output(spark, tmp_path):
     assert rows(ledger.commits()) == [("t", "0", 7, 2)]
 
 
+def test_a_stuck_row_does_not_grow_the_ack_state(spark, tmp_path):
+    """Row 0 stays unacked over several micro-batches: two state rows, whatever else is acked."""
+    base = str(tmp_path / "ledger")
+    ledger = ledgers.AckLedger(spark, base)
+    sizes = []
+    for n in range(4):
+        offs = range(n * 50, n * 50 + 50)
+        data = [("delivered", f"m{o}", "t", "0", o, None) for o in offs]
+        data += [("ack", f"m{o}", None, None, None, o) for o in offs if o]
+        ledger.process(spark.createDataFrame(data, LOG), n)
+        sizes.append(spark.read.parquet(f"{base}/open/batch_id={n}").count())
+    assert sizes == [2, 2, 2, 2]
+    assert sorted(p.name for p in (tmp_path / "ledger" / "open").iterdir()) == [
+        "batch_id=2",
+        "batch_id=3",
+    ]
+    assert ledger.commits().count() == 0
+    late = [("ack", "m0", None, None, None, 999), ("ack", "m7", None, None, None, 1000)]
+    ledger.process(spark.createDataFrame(late, LOG), 4)
+    assert rows(ledger.commits()) == [("t", "0", 999, 200)]
+    assert rows(ledger.refused().select("id", "ack_seq")) == [("m7", 1000)]
+    assert spark.read.parquet(f"{base}/open/batch_id=4").count() == 0
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_live_breaker_equals_batch_by_batch_fold(spark, tmp_path, seed):
     rng = random.Random(seed)

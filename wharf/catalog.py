@@ -5,7 +5,7 @@ Each takes (spark, sf_dir) and returns a DataFrame of integer and text columns.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 from wharf import fixtures as X
 from wharf.functions import attributes as A
 from wharf.operators import contracts, delivery, outcomes, routing
+from wharf.schemas import MESSAGE, MESSAGE_COLUMNS
 from wharf.session import configure, settle, work_folder
 from wharf.sinks import batches, results, rows, writers
 from wharf.sources import intake, positions, records
@@ -147,10 +148,10 @@ def multi_topic_scan(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def start_overrides(region: DataFrame) -> DataFrame:
-    """One override per region row; shard 3 has none, one shard does not exist."""
+    """One override per region row; shard 3 has none, two shards do not exist."""
     key = F.col("r_regionkey")
-    number = F.when(key == 4, F.lit(999)).otherwise(key)
-    return region.where(key != 3).select(
+    number = F.when(key == 3, F.lit(998)).when(key == 4, F.lit(999)).otherwise(key)
+    return region.select(
         F.concat(F.lit("shard-"), number.cast("string")).alias("part"),
         F.when(key == 0, positions.AT_SEQUENCE_NUMBER)
         .when(key == 1, positions.AFTER_SEQUENCE_NUMBER)
@@ -432,9 +433,11 @@ def topic_plan(spark: SparkSession, sf: str) -> DataFrame:
 @query
 def topics_to_create(spark: SparkSession, sf: str) -> DataFrame:
     plan = routing.topic_plan(_accepted_bridge(spark, sf), 6, 2)
-    topic = F.replace("topic", F.lit("-"), F.lit(".")).alias("topic")
-    existing = X.all_messages(spark, sf).select(topic)
-    there = existing.where(F.col("topic").endswith("e") | F.col("topic").endswith("k"))
+    topic = F.replace("topic", F.lit("-"), F.lit("."))
+    made = F.col("topic").endswith("e") | F.col("topic").endswith("k")
+    there = X.all_messages(spark, sf).select(
+        F.when(made, topic).otherwise(F.concat(F.lit("old."), topic)).alias("topic")
+    )
     return routing.to_create(plan, there).select(
         "target_topic", "effective_partitions", "effective_replication"
     )
@@ -507,6 +510,18 @@ def commit_history(spark: SparkSession, sf: str) -> DataFrame:
     return delivery.commits(late_ledger(X.table(spark, sf, "events")))
 
 
+@query
+def commit_attempts(spark: SparkSession, sf: str) -> DataFrame:
+    """The same history when every commit of a third of the acks fails."""
+    ledger = late_ledger(X.table(spark, sf, "events")).withColumn(
+        "commit_ok", F.col("ack_seq") % 3 != 0
+    )
+    tried = delivery.commit_attempts(ledger)
+    return tried.select(
+        "topic", "part", "ack_seq", "commit_offset", _flag(F.col("commit_ok"), "commit_ok")
+    )
+
+
 @query
 def inflight(spark: SparkSession, sf: str) -> DataFrame:
     out = delivery.in_flight(*_delivered(spark, sf), cap=180, keys=["topic"])
@@ -524,11 +539,11 @@ def bad_acks(spark: SparkSession, sf: str) -> DataFrame:
 
 def saved_checkpoints(events: DataFrame) -> DataFrame:
     """Checkpoints of an earlier session: ahead of the new ones on some shards."""
-    shard = (F.col("user_id") % 16).cast("string")
+    n, shard = F.col("event_id"), (F.col("user_id") % 16).cast("string")
+    saved = n % 16 < F.col("user_id") % 16
     return (
-        events.where(F.col("event_id") % 16 < F.col("user_id") % 16)
-        .groupBy(F.concat(F.lit("shard-"), shard).alias("part"))
-        .agg(F.min("event_id").alias("n"))
+        events.groupBy(F.concat(F.lit("shard-"), shard).alias("part"))
+        .agg(F.coalesce(F.min(F.when(saved, n)), F.max(n)).alias("n"))
         .select("part", F.concat(F.lit("00"), F.col("n").cast("string")).alias("checkpoint"))
     )
 
@@ -729,90 +744,153 @@ def schema_decode(spark: SparkSession, sf: str) -> DataFrame:
 
 # --- streams ----------------------------------------------------------------
 
+#: Steps in which a stream's table arrives; the stream is stopped and started again for each.
+STEPS = 3
 
-def _event_stream(spark: SparkSession, sf: str) -> DataFrame:
-    return X.event_messages(X.table_stream(spark, sf, "events")).select(
-        "id", "topic", "payload", "attributes"
-    )
+
+def _arrive(spark: SparkSession, sf: str, name: str, position: str) -> Iterator[DataFrame]:
+    """The whole table as a file stream, by ``position`` in STEPS steps: one stream per step."""
+    whole = X.table(spark, sf, name)
+    low, high = whole.agg(F.min(position), F.max(position)).first()
+    low, high = low or 0, high or 0
+    step = F.call_function("div", (F.col(position) - low) * STEPS, F.lit(high - low + 1))
+    folder = work_folder(spark, f"arriving-{name}")
+    for n in range(STEPS):
+        rows = whole.where(F.coalesce(step, F.lit(0)) == n)
+        rows.write.mode("append").parquet(folder)
+        yield spark.readStream.schema(whole.schema).parquet(folder)
+
+
+def _messages(events: DataFrame) -> DataFrame:
+    return X.event_messages(events).select("id", "topic", "payload", "attributes")
+
+
+def _published(df: DataFrame) -> DataFrame:
+    return df.select("id", "topic", F.md5("payload").alias("payload_md5"), _attributes())
+
+
+def _landing(folder: str) -> route_streams.Sink:
+    return lambda df, checkpoint: writers.land_stream(df, folder, checkpoint)
 
 
 @query
 def stream_bridge(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark, "bridge")
-    stream = _event_stream(spark, sf)
+    sink, routes = _landing(f"{folder}/backbone"), _accepted_bridge(spark, sf)
+    _, trigger = route_streams.intake()
+    for events in _arrive(spark, sf, "events", "event_id"):
+        stream = _messages(events)
+        running = route_streams.bridge_together(stream, routes, sink, f"{folder}/offsets", trigger)
+        route_streams.finish([running])
+    return _published(spark.read.schema(MESSAGE).parquet(f"{folder}/backbone"))
 
-    def sink(df: DataFrame, checkpoint: str):
-        return writers.land_stream(df, f"{folder}/backbone", checkpoint)
 
+@query
+def stream_bridge_each(spark: SparkSession, sf: str) -> DataFrame:
+    """One query per route, each with a landing folder of its own."""
+    folder = work_folder(spark, "bridge-each")
+    routes = _accepted_bridge(spark, sf).collect()  # configuration, one query each
     _, trigger = route_streams.intake()
-    routes = _accepted_bridge(spark, sf)
-    running = route_streams.bridge_together(stream, routes, sink, f"{folder}/offsets", trigger)
+    for events in _arrive(spark, sf, "events", "event_id"):
+        stream = _messages(events)
+        started = [
+            route_streams.bridge_each(
+                lambda topic: stream.where(F.col("topic") == topic),
+                [route],
+                _landing(f"{folder}/out/{route.target_topic}"),
+                f"{folder}/offsets",
+                trigger,
+            )
+            for route in routes
+        ]
+        route_streams.finish(q for queries in started for q in queries)
+    outs = [spark.read.schema(MESSAGE).parquet(f"{folder}/out/{r.target_topic}") for r in routes]
+    return _published(reduce(DataFrame.unionByName, [o.select(*MESSAGE_COLUMNS) for o in outs]))
+
+
+@query
+def stream_bounded_intake(spark: SparkSession, sf: str) -> DataFrame:
+    """The bridge over a landed table, at most one file per micro-batch."""
+    folder = work_folder(spark, "intake")
+    options, trigger = route_streams.intake(max_files=1)
+    X.table(spark, sf, "events").repartition(STEPS, "event_id").write.parquet(f"{folder}/in")
+    schema = X.table(spark, sf, "events").schema
+    stream = _messages(spark.readStream.schema(schema).options(**options).parquet(f"{folder}/in"))
+    running = route_streams.bridge_together(
+        stream,
+        _accepted_bridge(spark, sf),
+        _landing(f"{folder}/backbone"),
+        f"{folder}/offsets",
+        trigger,
+    )
     route_streams.finish([running])
-    back = spark.read.schema(stream.schema).parquet(f"{folder}/backbone")
-    return back.select("id", "topic", F.md5("payload").alias("payload_md5"), _attributes())
+    return _published(spark.read.schema(MESSAGE).parquet(f"{folder}/backbone"))
 
 
 @query
 def stream_relay(spark: SparkSession, sf: str) -> DataFrame:
+    """Bridge once into the backbone; each destination then reads its own topic folder there."""
     folder = work_folder(spark, "relay")
-    stream = _event_stream(spark, sf)
-    bridged = routing.fan_in(stream, _accepted_bridge(spark, sf))
+    backbone = f"{folder}/backbone"
+    bridges = _accepted_bridge(spark, sf)
 
     def source(topic: str) -> DataFrame:
-        return bridged.where(F.col("topic") == topic)
+        landed = spark.readStream.schema(MESSAGE).parquet(backbone)
+        return landed.where(F.col("topic") == topic).select(*MESSAGE_COLUMNS)
 
     def target(route) -> str:
         return f"{folder}/out/{route.destination_id}/{route.downstream_topic}"
 
-    def sink(route):
-        return lambda df, checkpoint: writers.land_stream(df, target(route), checkpoint)
-
     # Routes are configuration: one query each, so their number is what a cluster can run.
     routes = _accepted_relay(spark, sf).collect()
     _, trigger = route_streams.intake()
-    route_streams.finish(
-        route_streams.relay_each(source, routes, sink, f"{folder}/offsets", trigger)
-    )
-    outs = [spark.read.schema(stream.schema).parquet(target(route)) for route in routes]
-    back = reduce(DataFrame.unionByName, outs)
-    return back.select("id", "topic", F.md5("payload").alias("payload_md5"), _attributes())
+    for events in _arrive(spark, sf, "events", "event_id"):
+        bridged = route_streams.bridge_together(
+            _messages(events), bridges, _landing(backbone), f"{folder}/bridged", trigger
+        )
+        route_streams.finish([bridged])
+        route_streams.finish(
+            route_streams.relay_each(
+                source, routes, lambda r: _landing(target(r)), f"{folder}/offsets", trigger
+            )
+        )
+    outs = [spark.read.schema(MESSAGE).parquet(target(route)) for route in routes]
+    return _published(reduce(DataFrame.unionByName, [o.select(*MESSAGE_COLUMNS) for o in outs]))
 
 
 @query
 def stream_ack(spark: SparkSession, sf: str) -> DataFrame:
-    events = X.table_stream(spark, sf, "events")
-    messages = X.event_messages(events)
     open_row = F.col("event_id") % 4999 == 4998
     both = F.when(~open_row, F.array(F.lit("delivered"), F.lit("ack"))).otherwise(
         F.array(F.lit("delivered"))
     )
-    log = messages.select(
-        F.explode(both).alias("kind"), "id", "topic", "part", "off", X.ack_seq().alias("ack_seq")
-    )
     ledger = ledgers.AckLedger(spark, work_folder(spark, "acks"))
     _, trigger = route_streams.intake()
-    route_streams.finish([ledger.start(log, trigger)])
+    for events in _arrive(spark, sf, "events", "event_id"):
+        log = X.event_messages(events).select(
+            F.explode(both).alias("kind"), "id", "topic", "part", "off", X.ack_seq().alias("ack_seq")
+        )
+        route_streams.finish([ledger.start(log, trigger)])
     return ledger.commits()
 
 
 @query
 def stream_breaker(spark: SparkSession, sf: str) -> DataFrame:
-    log = X.outcomes(X.table_stream(spark, sf, "events"))
     ledger = ledgers.BreakerLedger(spark, work_folder(spark, "breaker"), 3)
     _, trigger = route_streams.intake()
-    route_streams.finish([ledger.start(log, trigger)])
+    for events in _arrive(spark, sf, "events", "event_id"):
+        route_streams.finish([ledger.start(X.outcomes(events), trigger)])
     return ledger.trips(final=True)
 
 
 @query
 def stream_contracts(spark: SparkSession, sf: str) -> DataFrame:
     schemas = settle(X.payload_schemas(X.table(spark, sf, "events")))
-    stream = X.payload_cases(X.table_stream(spark, sf, "events")).select(
-        "id", "topic", "payload", "attributes"
-    )
     ledger = ledgers.ContractLedger(spark, work_folder(spark, "contracts"), schemas)
     _, trigger = route_streams.intake()
-    route_streams.finish([ledger.start(stream, trigger)])
+    for events in _arrive(spark, sf, "events", "event_id"):
+        stream = X.payload_cases(events).select("id", "topic", "payload", "attributes")
+        route_streams.finish([ledger.start(stream, trigger)])
     kept = ledger.valid().select("id", F.lit("valid").alias("side"))
     return kept.unionByName(
         ledger.quarantine().select("id", F.lit("quarantine").alias("side"))

@@ -45,12 +45,12 @@ shardpos AS (SELECT DISTINCT part, event_id, pos FROM shardrows)"""
 
 _STARTS = """
 starts AS (
-  SELECT 'shard-' || CASE WHEN r_regionkey = 4 THEN 999 ELSE r_regionkey END AS part,
+  SELECT 'shard-' || CASE r_regionkey WHEN 3 THEN 998 WHEN 4 THEN 999 ELSE r_regionkey END AS part,
          CASE r_regionkey WHEN 0 THEN 'AT_SEQUENCE_NUMBER' WHEN 1 THEN 'AFTER_SEQUENCE_NUMBER'
               WHEN 2 THEN 'AT_TIMESTAMP' ELSE 'LATEST' END AS kind,
          CASE WHEN r_regionkey = 2 THEN '2024-01-15 00:00:00' END AS ts,
          CASE WHEN r_regionkey < 2 THEN '4959033827' || lpad('500', 46, '0') END AS seq
-  FROM region WHERE r_regionkey <> 3)"""
+  FROM region)"""
 
 _OUTCOMES = """
 outcomes AS (
@@ -516,7 +516,8 @@ def all_sql() -> dict[str, str]:
         _BRIDGE,
         select=f"""SELECT target_topic, {effective} FROM bridge
         WHERE refusal IS NULL AND partitions >= 0 AND replication >= 0 AND target_topic NOT IN (
-          SELECT replace(topic, '-', '.') FROM everything WHERE topic LIKE '%e' OR topic LIKE '%k')""",
+          SELECT CASE WHEN topic LIKE '%e' OR topic LIKE '%k' THEN '' ELSE 'old.' END
+                 || replace(topic, '-', '.') FROM everything)""",
     )
 
     held = """
@@ -571,6 +572,26 @@ def all_sql() -> dict[str, str]:
     history = """SELECT topic, part, at_ack, max(off) + 1 AS commit_offset
         FROM prefix WHERE whole GROUP BY ALL"""
     sql["commit_history"] = _with(_LATE, select=history)
+    sql["commit_attempts"] = _with(
+        _LATE,
+        select=f"""
+      , advance AS ({history}),
+      log AS (
+        SELECT p.topic, p.part, p.seq AS ack_seq, p.seq % 3 <> 0 AS ok, a.commit_offset
+        FROM prefix p LEFT JOIN advance a
+          ON a.topic = p.topic AND a.part = p.part AND a.at_ack = p.seq
+        WHERE p.seq IS NOT NULL),
+      seen AS (
+        SELECT topic, part, ack_seq, ok, max(commit_offset) OVER upto AS commit_offset,
+               max(CASE WHEN commit_offset IS NOT NULL THEN ack_seq END) OVER upto AS advanced,
+               max(CASE WHEN ok THEN ack_seq END) OVER earlier AS swept
+        FROM log
+        WINDOW upto AS (PARTITION BY topic, part ORDER BY ack_seq),
+               earlier AS (PARTITION BY topic, part ORDER BY ack_seq
+                           ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING))
+      SELECT topic, part, ack_seq, commit_offset, ok::INT AS commit_ok FROM seen
+      WHERE commit_offset IS NOT NULL AND (swept IS NULL OR swept < advanced)""",
+    )
     sql["inflight"] = _with(
         _EVENTS,
         select="""SELECT topic, count(*) FILTER (NOT acked) AS in_flight,
@@ -596,8 +617,8 @@ def all_sql() -> dict[str, str]:
         SELECT c.part, p.pos AS digits
         FROM shardckpt c JOIN shardpos p ON c.part = p.part AND c.n = p.event_id
         UNION ALL
-        SELECT 'shard-' || (user_id % 16), min(event_id)::VARCHAR
-        FROM events WHERE event_id % 16 < user_id % 16 GROUP BY 1)
+        SELECT 'shard-' || (user_id % 16), coalesce(min(event_id) FILTER (event_id % 16 < user_id % 16), max(event_id))::VARCHAR
+        FROM events GROUP BY 1)
       SELECT part, digits AS checkpoint FROM snapshots
       QUALIFY row_number() OVER (PARTITION BY part ORDER BY length(digits) DESC, digits DESC) = 1""",
     )
@@ -753,6 +774,7 @@ def all_sql() -> dict[str, str]:
     sql["stream_bridge"] = _with(
         _EVENTS, from_events, _BRIDGE, _BACKBONE, select=f"SELECT {fan_in} FROM backbone"
     )
+    sql["stream_bridge_each"] = sql["stream_bounded_intake"] = sql["stream_bridge"]
     sql["stream_relay"] = _with(_EVENTS, from_events, _BRIDGE, _BACKBONE, _RELAY, select=fan_out)
     sql["stream_ack"] = _with(_LATE, select=history)
     sql["stream_breaker"] = _with(_OUTCOMES, select=trips)

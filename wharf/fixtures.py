@@ -24,12 +24,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def table_stream(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """The table as a file stream; the name is a glob so that one file or a folder works."""
-    schema = table(spark, sf_dir, name).schema
-    return spark.readStream.schema(schema).parquet(f"{sf_dir}/{{{name}}}.parquet")
-
-
 def _message(
     df: DataFrame, topic: Column, part: Column, off: Column, payload: Column, key: Column
 ) -> DataFrame:

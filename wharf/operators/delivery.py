@@ -6,6 +6,8 @@ A ``delivered`` table has ``id, topic, part`` and a position; an ``acks`` table
 
 from __future__ import annotations
 
+from collections.abc import Mapping
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from wharf.functions import digits
@@ -232,8 +234,13 @@ def commits(ledger: DataFrame, span: int = SPAN) -> DataFrame:
     return commits_of(with_prefix(ledger, span))
 
 
-def with_prefix(ledger: DataFrame, span: int = SPAN) -> DataFrame:
-    """Add ``in_prefix`` and ``at_ack``, the ack that brought the row into the prefix."""
+def with_prefix(
+    ledger: DataFrame, span: int = SPAN, more: Mapping[str, Running] | None = None
+) -> DataFrame:
+    """Add ``in_prefix`` and ``at_ack``, the ack that brought the row into the prefix.
+
+    ``more`` are further running columns to make in the same pass.
+    """
     rows = running(
         ledger,
         PARTITION,
@@ -241,6 +248,7 @@ def with_prefix(ledger: DataFrame, span: int = SPAN) -> DataFrame:
         {
             "__whole": Running("min", F.col("ack_seq").isNotNull().cast("int")),
             "at_ack": Running("max", F.col("ack_seq")),
+            **(more or {}),
         },
         span,
     )
@@ -255,6 +263,37 @@ def commits_of(rows: DataFrame) -> DataFrame:
     )
 
 
+def commit_attempts(ledger: DataFrame, span: int = SPAN) -> DataFrame:
+    """Every commit that was tried over a ledger with ``commit_ok``, the outcome of a commit
+    made at that ack: ``topic, part, ack_seq, commit_offset, commit_ok``.
+
+    A failed commit leaves its prefix as it is, so the next ack of the partition tries again,
+    wherever its own row is, and the first success sweeps all of it. An ack thus tries when
+    no success of an earlier ack could have taken in the last advance of the prefix.
+    """
+    advances = commits(ledger, span).withColumnRenamed("at_ack", "ack_seq")
+    made = ledger.where(F.col("ack_seq").isNotNull()).select(*PARTITION, "ack_seq", "commit_ok")
+    log = settle(
+        made.unionByName(advances, allowMissingColumns=True)
+        .groupBy(*PARTITION, "ack_seq")
+        .agg(F.max("commit_ok").alias("commit_ok"), F.max("commit_offset").alias("__advance"))
+    )
+    ack = F.col("ack_seq")
+    seen = running(
+        log,
+        PARTITION,
+        "ack_seq",
+        {
+            "commit_offset": Running("max", F.col("__advance")),
+            "__advanced": Running("max", F.when(F.col("__advance").isNotNull(), ack)),
+            "__swept": Running("max", F.when(F.col("commit_ok"), ack), exclusive=True),
+        },
+        span,
+    )
+    pending = F.col("__advanced") > F.coalesce("__swept", F.col("__advanced") - 1)
+    return seen.where(pending).select(*PARTITION, "ack_seq", "commit_offset", "commit_ok")
+
+
 def seek_positions(delivered: DataFrame, acks: DataFrame) -> DataFrame:
     """Kafka restart or cap: seek to the first delivered offset that is not committed.
 

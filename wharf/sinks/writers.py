@@ -20,13 +20,16 @@ def land(df: DataFrame, path: str, mode: str = "append") -> None:
 
 
 def land_stream(df: DataFrame, path: str, checkpoint: str) -> DataStreamWriter:
-    return (
-        df.writeStream.format("parquet")
-        .partitionBy("topic")
-        .option("path", path)
-        .option("checkpointLocation", checkpoint)
-        .outputMode("append")
-    )
+    """The same for a stream; ``path`` belongs to this one query.
+
+    Each micro-batch has a folder of its own there (``batch_id``, read as a column), so a
+    replayed one replaces what it wrote.
+    """
+
+    def put(batch: DataFrame, batch_id: int) -> None:
+        land(batch, f"{path}/batch_id={batch_id}", "overwrite")
+
+    return df.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint)
 
 
 def kafka_stream(

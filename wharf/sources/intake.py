@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from itertools import accumulate
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from wharf.plans.running import Running, running
+from wharf.plans.joins import lookup
+from wharf.plans.running import SPAN, Running, block_of, running
+from wharf.session import settle
 
 # Fetch and pull limits.
 MAX_RECORDS_PER_FETCH = 10_000
@@ -15,19 +19,48 @@ READ_BYTES_PER_SECOND = 2 * 1024 * 1024
 HOUR_NANOS = 3_600_000_000_000
 
 
-def capped(df: DataFrame, keys: list[str], position: str, cap: int) -> DataFrame:
-    """The first ``cap`` rows of each partition: one pull of each.
+def _first(df: DataFrame, keys: list[str], position: str, count: int, span: int) -> DataFrame:
+    """The first ``count`` rows of each key in ``position`` order, with their ``__rank``.
 
-    Every map task keeps at most ``cap`` rows per key before the shuffle.
+    Keys are cut into blocks of positions. The row counts of the blocks tell where each key's
+    cut lies, so only the blocks before it are ranked, each on its own.
     """
+    blocked = df.withColumn("__block", block_of(F.col(position), span))
+    sizes = blocked.groupBy(*keys, "__block").agg(F.count("*").alias("__n"))
+    earlier = Window.partitionBy(*keys).orderBy("__block").rowsBetween(
+        Window.unboundedPreceding, -1
+    )
+    before = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+    needed = settle(
+        sizes.select(*keys, "__block", before.alias("__before")).where(F.col("__before") < count)
+    )
+    rows = lookup(blocked, needed, [*keys, "__block"], null_safe=True)
+    in_block = F.row_number().over(Window.partitionBy(*keys, "__block").orderBy(position))
+    # The plain limit on the rank lets every map task cut its own rows before the shuffle.
+    ranked = rows.withColumn("__at", in_block).where(F.col("__at") <= count)
+    return (
+        ranked.withColumn("__rank", F.col("__before") + F.col("__at"))
+        .where(F.col("__rank") <= count)
+        .drop("__block", "__before", "__at")
+    )
+
+
+def capped(
+    df: DataFrame, keys: list[str], position: str, cap: int, span: int = SPAN
+) -> DataFrame:
+    """The first ``cap`` rows of each partition: one pull of each. ``position`` is a BIGINT."""
     if not 0 < cap <= MAX_RECORDS_PER_FETCH:
         raise ValueError(f"a pull takes 1 to {MAX_RECORDS_PER_FETCH} records, got {cap}")
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(position))
-    return df.withColumn("__rank", rank).where(F.col("__rank") <= cap).drop("__rank")
+    return _first(df, keys, position, cap, span).drop("__rank")
 
 
 def fair_share(
-    df: DataFrame, topics: list[str], budget: int, pull_no: int, position: str = "pos_num"
+    df: DataFrame,
+    topics: list[str],
+    budget: int,
+    pull_no: int,
+    position: str = "pos_num",
+    span: int = SPAN,
 ) -> DataFrame:
     """One pull over several topics, in visiting order (column ``visit_no``, from 1).
 
@@ -40,19 +73,14 @@ def fair_share(
     share = max(1, budget // len(topics))
     first = pull_no % len(topics)
     order = topics[first:] + topics[:first]
+    taken = settle(_first(df.where(F.col("topic").isin(order)), ["topic"], position, share, span))
+    # One count per topic of the list: rows of earlier turns come before a topic's own.
+    counts = {r["topic"]: r["n"] for r in taken.groupBy("topic").agg(F.count("*").alias("n")).collect()}
+    starts = [0, *accumulate(counts.get(t, 0) for t in order)]
     turn = F.array_position(F.array(*[F.lit(t) for t in order]), F.col("topic"))
-    rank = F.row_number().over(Window.partitionBy("topic").orderBy(position))
-    taken = (
-        df.where(F.col("topic").isin(order))
-        .withColumn("__rank", rank)
-        .where(F.col("__rank") <= share)
-        .withColumn("__turn", turn)
-        .orderBy("__turn", "__rank")
-        .limit(budget)
-    )
-    # Everything before this topic's first row came from earlier turns; at most budget rows.
-    visit = F.row_number().over(Window.orderBy("__turn", "__rank"))
-    return taken.withColumn("visit_no", visit).drop("__turn", "__rank")
+    start = F.element_at(F.array(*[F.lit(s) for s in starts]), turn.cast("int"))
+    visit = (start + F.col("__rank")).cast("int")
+    return taken.withColumn("visit_no", visit).where(F.col("visit_no") <= budget).drop("__rank")
 
 
 def read_nanos(size: Column) -> Column:

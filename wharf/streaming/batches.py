@@ -20,6 +20,15 @@ def get(spark: SparkSession, base: str, batch_id: int, schema: StructType) -> Da
     return spark.read.schema(schema).parquet(f"{base}/batch_id={batch_id}")
 
 
+def forget(spark: SparkSession, base: str, batch_id: int) -> None:
+    """Remove what micro-batch ``batch_id`` wrote below ``base``, if it is there."""
+    if batch_id < 0:
+        return
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/batch_id={batch_id}")
+    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    files.delete(path, True)
+
+
 def everything(spark: SparkSession, base: str, schema: StructType) -> DataFrame:
     """All micro-batches; nothing when none has run yet."""
     try:

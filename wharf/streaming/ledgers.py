@@ -2,7 +2,7 @@
 
 Each works in ``foreachBatch`` with the batch operators. What is still open at the end of a
 micro-batch (unacked rows, the running streak) is a table in the shared folder, which the
-next micro-batch reads. So the work of a hot partition or registration spreads over the
+next micro-batch reads; older ones are removed. So the work of a hot partition or registration spreads over the
 cluster, where a keyed state processor would run it in one task, and a replayed micro-batch
 starts from the same table and overwrites what it wrote.
 """
@@ -16,20 +16,27 @@ from pyspark.sql.streaming import StreamingQuery
 
 from wharf.operators import contracts, delivery, outcomes
 from wharf.plans.joins import lookup
-from wharf.plans.running import SPAN
+from wharf.plans.running import SPAN, Running
 from wharf.schemas import MESSAGE, MESSAGE_COLUMNS
 from wharf.session import settle
 from wharf.streaming import batches
 
-_LEDGER = T.StructType(
+_OPEN = T.StructType(
     [
         T.StructField("topic", T.StringType()),
         T.StructField("part", T.StringType()),
         T.StructField("off", T.LongType()),
         T.StructField("id", T.StringType()),
         T.StructField("ack_seq", T.LongType()),
-        T.StructField("in_prefix", T.BooleanType()),
+    ]
+)
+
+_COMMITS = T.StructType(
+    [
+        T.StructField("topic", T.StringType()),
+        T.StructField("part", T.StringType()),
         T.StructField("at_ack", T.LongType()),
+        T.StructField("commit_offset", T.LongType()),
     ]
 )
 
@@ -95,7 +102,13 @@ class AckLedger(_Ledger):
     """Commits each acked prefix as soon as it is whole.
 
     The stream has ``kind`` (delivered or ack), ``id, topic, part, off, ack_seq``. A message
-    is delivered before it is acked; both may come in the same micro-batch.
+    is delivered before it is acked; both may come in the same micro-batch. Acks come in the
+    order of ``ack_seq``.
+
+    The state is what is in flight: unacked rows, and one row without id for each run of acked
+    rows that an unacked one holds up. A run is released by an ack later than all of its own,
+    so its last offset and latest ack are all that counts. What a micro-batch writes thus
+    grows with its own rows and the rows in flight, however long a row stays unacked.
     """
 
     def __init__(self, spark: SparkSession, folder: str, span: int = SPAN) -> None:
@@ -103,42 +116,63 @@ class AckLedger(_Ledger):
         self.span = span
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        before = batches.get(spark, f"{self.folder}/ledger", batch_id - 1, _LEDGER)
-        open_rows = before.where(~F.col("in_prefix")).select(
-            "topic", "part", "off", "id", "ack_seq"
-        )
+        batch = batch.persist()  # read by the fold and by the refusals
+        try:
+            self._process(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    def _process(self, batch: DataFrame, batch_id: int) -> None:
+        spark, base = batch.sparkSession, f"{self.folder}/open"
+        before = batches.get(spark, base, batch_id - 1, _OPEN)
+        runs = before.where(F.col("id").isNull())
+        waiting = before.where(F.col("id").isNotNull())
         arrived = batch.where("kind = 'delivered'").select(
             "topic", "part", "off", "id", F.lit(None).cast("bigint").alias("ack_seq")
         )
         acks = batch.where("kind = 'ack'").select("id", "ack_seq")
         # Per id the open row, repeated deliveries and all acks fold into one row.
-        open_ids = open_rows.withColumn("held", F.lit(1))
-        new_ids = arrived.withColumn("held", F.lit(1))
         folded = (
-            open_ids.unionByName(new_ids)
+            waiting.unionByName(arrived)
+            .withColumn("held", F.lit(1))
             .unionByName(acks, allowMissingColumns=True)
             .groupBy("id")
             .agg(*[F.min(c).alias(c) for c in ("topic", "part", "off", "ack_seq", "held")])
         )
-        ledger = settle(folded.where("held = 1").drop("held"))
+        ledger = settle(folded.where("held = 1").drop("held").unionByName(runs))
+        # Rows between the same unacked ones share a gap number.
+        gap = Running("sum", F.col("ack_seq").isNull().cast("int"))
+        rows = settle(delivery.with_prefix(ledger, self.span, {"gap": gap}))
         batches.put(
-            delivery.with_prefix(ledger, self.span).select(*_LEDGER.fieldNames()),
-            f"{self.folder}/ledger",
+            delivery.commits_of(rows).select(*_COMMITS.fieldNames()),
+            f"{self.folder}/commits",
             batch_id,
         )
-        taken = open_rows.where(F.col("ack_seq").isNotNull()).select("id", "ack_seq")
-        known = open_rows.select("id").unionByName(arrived.select("id"))
-        refused = delivery.refused_acks(known, acks.unionByName(taken))
-        new = refused.join(taken, ["id", "ack_seq"], "left_anti")
-        batches.put(new.select(*_REFUSED.fieldNames()), f"{self.folder}/refused", batch_id)
+        held_up = rows.where(~F.col("in_prefix"))
+        run = (
+            held_up.where(F.col("ack_seq").isNotNull())
+            .groupBy(*delivery.PARTITION, "gap")
+            .agg(F.max("off").alias("off"), F.max("ack_seq").alias("ack_seq"))
+            .withColumn("id", F.lit(None).cast("string"))
+        )
+        names = _OPEN.fieldNames()
+        unacked = held_up.where(F.col("ack_seq").isNull())
+        batches.put(unacked.select(*names).unionByName(run.select(*names)), base, batch_id)
+
+        known = waiting.select("id").unionByName(arrived.select("id"))
+        refused = delivery.refused_acks(known, acks)
+        batches.put(refused.select(*_REFUSED.fieldNames()), f"{self.folder}/refused", batch_id)
+        # A replay of this micro-batch starts from the last state; older ones are done with.
+        batches.forget(spark, base, batch_id - 2)
 
     def commits(self) -> DataFrame:
-        rows = batches.everything(self.spark, f"{self.folder}/ledger", _LEDGER)
-        return delivery.commits_of(rows)
+        rows = batches.everything(self.spark, f"{self.folder}/commits", _COMMITS)
+        return rows.groupBy(*delivery.PARTITION, "at_ack").agg(
+            F.max("commit_offset").alias("commit_offset")
+        )
 
     def refused(self) -> DataFrame:
-        """Acks of ids that were not in flight, or were acked before."""
+        """Acks of ids that were not in flight, acked before or never delivered."""
         return batches.everything(self.spark, f"{self.folder}/refused", _REFUSED).drop("batch_id")
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import DataFrame, Row, functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from wharf.operators import routing
+from wharf.session import settle
 
 # A sink makes a writer from (messages, checkpoint folder).
 Sink = Callable[[DataFrame, str], DataStreamWriter]
@@ -50,8 +51,12 @@ def bridge_together(
     trigger: Mapping[str, object],
     name: str = "bridge",
 ) -> StreamingQuery:
-    """All bridge routes of one source in one query (stream-static join)."""
-    return _start(routing.fan_in(messages, routes), sink, checkpoint, name, trigger)
+    """All bridge routes of one source in one query (stream-static join).
+
+    The routes are settled at the start, so no micro-batch plans their checks again; a changed
+    route takes effect when the query is started again.
+    """
+    return _start(routing.fan_in(messages, settle(routes)), sink, checkpoint, name, trigger)
 
 
 def bridge_each(

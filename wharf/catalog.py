@@ -748,9 +748,9 @@ def schema_decode(spark: SparkSession, sf: str) -> DataFrame:
 STEPS = 3
 
 
-def _arrive(spark: SparkSession, sf: str, name: str, position: str) -> Iterator[DataFrame]:
-    """The whole table as a file stream, by ``position`` in STEPS steps: one stream per step."""
-    whole = X.table(spark, sf, name)
+def _arrive(whole: DataFrame, name: str, position: str = "event_id") -> Iterator[DataFrame]:
+    """``whole`` as a file stream, by ``position`` in STEPS steps: one stream per step."""
+    spark = whole.sparkSession
     low, high = whole.agg(F.min(position), F.max(position)).first()
     low, high = low or 0, high or 0
     step = F.call_function("div", (F.col(position) - low) * STEPS, F.lit(high - low + 1))
@@ -778,7 +778,7 @@ def stream_bridge(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark, "bridge")
     sink, routes = _landing(f"{folder}/backbone"), _accepted_bridge(spark, sf)
     _, trigger = route_streams.intake()
-    for events in _arrive(spark, sf, "events", "event_id"):
+    for events in _arrive(X.table(spark, sf, "events"), "events"):
         stream = _messages(events)
         running = route_streams.bridge_together(stream, routes, sink, f"{folder}/offsets", trigger)
         route_streams.finish([running])
@@ -791,7 +791,7 @@ def stream_bridge_each(spark: SparkSession, sf: str) -> DataFrame:
     folder = work_folder(spark, "bridge-each")
     routes = _accepted_bridge(spark, sf).collect()  # configuration, one query each
     _, trigger = route_streams.intake()
-    for events in _arrive(spark, sf, "events", "event_id"):
+    for events in _arrive(X.table(spark, sf, "events"), "events"):
         stream = _messages(events)
         started = [
             route_streams.bridge_each(
@@ -844,7 +844,7 @@ def stream_relay(spark: SparkSession, sf: str) -> DataFrame:
     # Routes are configuration: one query each, so their number is what a cluster can run.
     routes = _accepted_relay(spark, sf).collect()
     _, trigger = route_streams.intake()
-    for events in _arrive(spark, sf, "events", "event_id"):
+    for events in _arrive(X.table(spark, sf, "events"), "events"):
         bridged = route_streams.bridge_together(
             _messages(events), bridges, _landing(backbone), f"{folder}/bridged", trigger
         )
@@ -860,17 +860,20 @@ def stream_relay(spark: SparkSession, sf: str) -> DataFrame:
 
 @query
 def stream_ack(spark: SparkSession, sf: str) -> DataFrame:
+    """Deliveries come first, then the acks in their order."""
+    delivered = F.struct(F.lit("delivered").alias("kind"), F.lit(0).cast("bigint").alias("at"))
+    ack = F.struct(F.lit("ack").alias("kind"), X.ack_seq().cast("bigint").alias("at"))
     open_row = F.col("event_id") % 4999 == 4998
-    both = F.when(~open_row, F.array(F.lit("delivered"), F.lit("ack"))).otherwise(
-        F.array(F.lit("delivered"))
+    both = F.when(~open_row, F.array(delivered, ack)).otherwise(F.array(delivered))
+    log = (
+        X.event_messages(X.table(spark, sf, "events"))
+        .select("id", "topic", "part", "off", F.explode(both).alias("entry"))
+        .select("entry.kind", "id", "topic", "part", "off", F.col("entry.at").alias("ack_seq"))
     )
     ledger = ledgers.AckLedger(spark, work_folder(spark, "acks"))
     _, trigger = route_streams.intake()
-    for events in _arrive(spark, sf, "events", "event_id"):
-        log = X.event_messages(events).select(
-            F.explode(both).alias("kind"), "id", "topic", "part", "off", X.ack_seq().alias("ack_seq")
-        )
-        route_streams.finish([ledger.start(log, trigger)])
+    for entries in _arrive(log, "log", "ack_seq"):
+        route_streams.finish([ledger.start(entries, trigger)])
     return ledger.commits()
 
 
@@ -878,7 +881,7 @@ def stream_ack(spark: SparkSession, sf: str) -> DataFrame:
 def stream_breaker(spark: SparkSession, sf: str) -> DataFrame:
     ledger = ledgers.BreakerLedger(spark, work_folder(spark, "breaker"), 3)
     _, trigger = route_streams.intake()
-    for events in _arrive(spark, sf, "events", "event_id"):
+    for events in _arrive(X.table(spark, sf, "events"), "events"):
         route_streams.finish([ledger.start(X.outcomes(events), trigger)])
     return ledger.trips(final=True)
 
@@ -888,7 +891,7 @@ def stream_contracts(spark: SparkSession, sf: str) -> DataFrame:
     schemas = settle(X.payload_schemas(X.table(spark, sf, "events")))
     ledger = ledgers.ContractLedger(spark, work_folder(spark, "contracts"), schemas)
     _, trigger = route_streams.intake()
-    for events in _arrive(spark, sf, "events", "event_id"):
+    for events in _arrive(X.table(spark, sf, "events"), "events"):
         stream = X.payload_cases(events).select("id", "topic", "payload", "attributes")
         route_streams.finish([ledger.start(stream, trigger)])
     kept = ledger.valid().select("id", F.lit("valid").alias("side"))

@@ -31,32 +31,45 @@ from wharf.plans.joins import lookup
 SHINGLE = 4
 SEED = 42
 MOST_BITS = 4
+#: Words of a text that are taken apart at once.
+WORDS_AT_ONCE = 1 << 15
+_SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 #: Low bit and width of the three segments.
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Key rows that one task compares (16 bytes each).
 KEYS_PER_TASK = 1_000_000
 
 
+def word_blocks(text: bytes, size: int) -> Iterator[list[bytes]]:
+    """Words of ``text`` in blocks; each ends with the ``size - 1`` words that follow it.
+
+    So every shingle lies in exactly one block, and only one block of words is held at a time.
+    """
+    space = _SPACE[np.frombuffer(text, np.uint8)]
+    first = ~space
+    first[1:] &= space[:-1]
+    starts = np.flatnonzero(first)
+    for at in range(0, max(len(starts) - size + 1, 1), WORDS_AT_ONCE):
+        after = at + WORDS_AT_ONCE + size - 1
+        low = starts[at] if len(starts) else len(text)
+        yield text[low : starts[after] if after < len(starts) else len(text)].split()
+
+
 def fingerprint(text: str | None, size: int = SHINGLE) -> int:
     """Unsigned SimHash of one text over word shingles."""
-    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not words:
-        return 0
-    joined = b" ".join(words)
-    ends = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1) - 1
-    starts = np.concatenate([[0], ends[:-1] + 1])
-    if len(words) > size:
-        first, last = starts[: len(words) - size + 1].tolist(), ends[size - 1 :].tolist()
-    else:
-        first, last = [0], [len(joined)]
     digest = xxhash.xxh64_intdigest
-    hashes = np.array([digest(joined[a:b], SEED) for a, b in zip(first, last)], np.uint64)
-    total = np.zeros(64, np.int64)
-    for at in range(0, len(hashes), 1 << 16):
-        bits = np.unpackbits(hashes[at : at + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
+    total, n = np.zeros(64, np.int64), 0
+    for words in word_blocks((text or "").encode("utf-8", "surrogatepass").lower(), size):
+        if not words:
+            return 0
+        last = max(len(words) - size + 1, 1)
+        hashes = np.fromiter(
+            (digest(b" ".join(words[i : i + size]), SEED) for i in range(last)), np.uint64, last
+        )
+        bits = np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
         total += bits.sum(0, dtype=np.int64)
-    chosen = np.flatnonzero(2 * total > len(hashes))
-    return sum(1 << int(b) for b in chosen)
+        n += last
+    return sum(1 << int(b) for b in np.flatnonzero(2 * total > n))
 
 
 @F.pandas_udf(T.LongType())

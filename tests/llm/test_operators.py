@@ -447,3 +447,13 @@ def test_top_k_is_exact(spark, pivots, block):
 
 def test_crc_law_of_the_query():
     assert zlib.crc32(b"") == 0
+
+
+def test_fingerprint_does_not_depend_on_the_word_blocks(monkeypatch):
+    rng = random.Random(5)
+    parts = ["a", "B", " ", "\n", "\t", "\x0b", "\x1c", "é", " ", "word"]
+    texts = ["".join(rng.choice(parts) for _ in range(rng.randint(0, 90))) for _ in range(300)]
+    whole = [simhash.fingerprint(t) for t in texts]
+    for size in (1, 2, 7):
+        monkeypatch.setattr(simhash, "WORDS_AT_ONCE", size)
+        assert [simhash.fingerprint(t) for t in texts] == whole

@@ -203,8 +203,28 @@ def test_positions_are_checked():
         positions.Start(positions.AT_TIMESTAMP)
     with pytest.raises(ValueError):
         positions.Start(positions.AT_SEQUENCE_NUMBER)
-    text = positions.kafka_starting_offsets({"t": {0: 5, 1: 7}})
-    assert json.loads(text) == {"t": {"0": 5, "1": 7}}
+
+
+STARTS = "topic string, part string, start_kind string, start_ts timestamp_ntz, start_seq string"
+
+
+def test_kafka_start_options_from_a_table(spark):
+    data = [
+        ("t", "0", positions.AT_SEQUENCE_NUMBER, None, "5"),
+        ("t", "1", positions.AFTER_SEQUENCE_NUMBER, None, "6"),
+        ("u", "0", positions.LATEST, None, None),
+        ("u", "1", positions.TRIM_HORIZON, None, None),
+    ]
+    got = positions.kafka_start_options(spark.createDataFrame(data, STARTS))
+    assert {k: json.loads(v) for k, v in got.items()} == {
+        "startingOffsets": {"t": {"0": 5, "1": 7}, "u": {"0": -1, "1": -2}}
+    }
+    timed = [("t", "0", positions.AT_TIMESTAMP, datetime.datetime(2024, 1, 15, 12, 0, 1, 250999), None)]
+    got = positions.kafka_start_options(spark.createDataFrame(timed, STARTS))
+    assert got == {"startingOffsetsByTimestamp": '{"t": {"0": 1705320001250}}'}
+    with pytest.raises(ValueError):
+        positions.kafka_start_options(spark.createDataFrame(data + timed, STARTS))
+    assert positions.kafka_start_options(spark.createDataFrame([], STARTS)) == {}
 
 
 def test_shards_that_cannot_hold_anything_are_dropped(spark):

@@ -230,6 +230,37 @@ def test_a_stuck_row_does_not_grow_the_ack_state(spark, tmp_path):
     assert spark.read.parquet(f"{base}/open/batch_id=4").count() == 0
 
 
+SHARD_LOG = "kind string, id string, part string, pos string, ack_seq bigint"
+
+
+def test_live_shard_checkpoints_equal_ack_by_ack_fold(spark, tmp_path):
+    """Digit strings of several widths, acks in three micro-batches, one row stuck for two."""
+    rng = random.Random(5)
+    numbers = sorted([*range(7, 12), *range(98, 103), 10**25, 10**25 + 3])
+    ledger = ledgers.ShardLedger(spark, str(tmp_path / "ledger"), span=3)
+    acked = {p: rng.sample(numbers, len(numbers)) for p in ("a", "b")}
+    acked["a"].remove(98)
+    acked["a"].append(98)
+
+    def entry(kind, p, n, at=None):
+        return (kind, f"{p}:{n}", p, str(n), at)
+
+    data = [[entry("delivered", p, n) for p in acked for n in numbers], [], []]
+    for p, order in acked.items():
+        for at, n in enumerate(order):
+            data[at // 4].append(entry("ack", p, n, at))
+    for n, batch in enumerate(data):
+        ledger.process(spark.createDataFrame(batch, SHARD_LOG), n)
+    want = {(p, at, str(c - 1)) for p, order in acked.items() for at, c in commits_fold(numbers, order)}
+    assert {tuple(r) for r in ledger.commits().collect()} == want
+    assert rows(ledger.checkpoints()) == [("a", str(10**25 + 3)), ("b", str(10**25 + 3))]
+    # The rows come again, as after a seek: the checkpoint stays.
+    again = [entry("delivered", "a", 7), entry("ack", "a", 7, 90), ("ack", "a:8", None, None, 91)]
+    ledger.process(spark.createDataFrame(again, SHARD_LOG), 3)
+    assert ("a", str(10**25 + 3)) in rows(ledger.checkpoints())
+    assert rows(ledger.refused().select("id")) == [("a:8",)]
+
+
 @pytest.mark.parametrize("seed", range(2))
 def test_live_breaker_equals_batch_by_batch_fold(spark, tmp_path, seed):
     rng = random.Random(seed)

@@ -463,6 +463,13 @@ def ack_checkpoint(spark: SparkSession, sf: str) -> DataFrame:
     return out.withColumn("commit_offset", F.col("checkpoint") + 1)
 
 
+@query
+def kafka_start_options(spark: SparkSession, sf: str) -> DataFrame:
+    """Each topic's next scan goes on after the checkpoints."""
+    reached = delivery.checkpoints(*_delivered(spark, sf), F.col("off"))
+    return positions.kafka_start_texts(positions.kafka_restored(reached))
+
+
 def _sessions(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     events = X.table(spark, sf, "events")
     delivered = X.event_messages(events).select("id", "topic", "part", "off", "event_id")
@@ -858,21 +865,36 @@ def stream_relay(spark: SparkSession, sf: str) -> DataFrame:
     return _published(reduce(DataFrame.unionByName, [o.select(*MESSAGE_COLUMNS) for o in outs]))
 
 
-@query
-def stream_ack(spark: SparkSession, sf: str) -> DataFrame:
+def _ack_log(messages: DataFrame, *place: str) -> DataFrame:
     """Deliveries come first, then the acks in their order."""
     delivered = F.struct(F.lit("delivered").alias("kind"), F.lit(0).cast("bigint").alias("at"))
     ack = F.struct(F.lit("ack").alias("kind"), X.ack_seq().cast("bigint").alias("at"))
     open_row = F.col("event_id") % 4999 == 4998
     both = F.when(~open_row, F.array(delivered, ack)).otherwise(F.array(delivered))
-    log = (
-        X.event_messages(X.table(spark, sf, "events"))
-        .select("id", "topic", "part", "off", F.explode(both).alias("entry"))
-        .select("entry.kind", "id", "topic", "part", "off", F.col("entry.at").alias("ack_seq"))
+    return (
+        messages.withColumn("entry", F.explode(both))
+        .withColumns({"kind": F.col("entry.kind"), "ack_seq": F.col("entry.at")})
+        .select("kind", "id", *place, "ack_seq")
     )
+
+
+@query
+def stream_ack(spark: SparkSession, sf: str) -> DataFrame:
+    messages = X.event_messages(X.table(spark, sf, "events"))
     ledger = ledgers.AckLedger(spark, work_folder(spark, "acks"))
     _, trigger = route_streams.intake()
-    for entries in _arrive(log, "log", "ack_seq"):
+    for entries in _arrive(_ack_log(messages, "topic", "part", "off"), "log", "ack_seq"):
+        route_streams.finish([ledger.start(entries, trigger)])
+    return ledger.commits()
+
+
+@query
+def stream_kinesis_ack(spark: SparkSession, sf: str) -> DataFrame:
+    """The same from shards with digit-string positions."""
+    messages = X.kinesis_delivered(X.table(spark, sf, "events"))
+    ledger = ledgers.ShardLedger(spark, work_folder(spark, "shard-acks"))
+    _, trigger = route_streams.intake()
+    for entries in _arrive(_ack_log(messages, "part", "pos"), "shard-log", "ack_seq"):
         route_streams.finish([ledger.start(entries, trigger)])
     return ledger.commits()
 

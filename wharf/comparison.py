@@ -529,6 +529,16 @@ def all_sql() -> dict[str, str]:
       SELECT topic, part, max(off) AS checkpoint, max(off) + 1 AS commit_offset
       FROM msg JOIN state USING (topic, part) WHERE fu IS NULL OR off < fu GROUP BY ALL""",
     )
+    sql["kafka_start_options"] = _with(
+        _EVENTS,
+        select=f"""{held}
+      , points AS (
+        SELECT topic, part, max(off) + 1 AS next
+        FROM msg JOIN state USING (topic, part) WHERE fu IS NULL OR off < fu GROUP BY ALL)
+      SELECT topic, 'startingOffsets' AS option,
+             '{{' || string_agg('"' || part || '":' || next, ',' ORDER BY part) || '}}' AS partitions
+      FROM points GROUP BY topic""",
+    )
     again = """
       , again AS (
         SELECT *, event_id % 5 <> 0 AS acked_again FROM msg JOIN state USING (topic, part)
@@ -777,6 +787,18 @@ def all_sql() -> dict[str, str]:
     sql["stream_bridge_each"] = sql["stream_bounded_intake"] = sql["stream_bridge"]
     sql["stream_relay"] = _with(_EVENTS, from_events, _BRIDGE, _BACKBONE, _RELAY, select=fan_out)
     sql["stream_ack"] = _with(_LATE, select=history)
+    sql["stream_kinesis_ack"] = _with(
+        _KINESIS,
+        select="""
+      , late AS (
+        SELECT part, event_id, pos,
+               CASE WHEN event_id % 4999 <> 4998 THEN (event_id * 7919) % 100003 END AS seq
+        FROM shardrows),
+      prefix AS (
+        SELECT *, bool_and(seq IS NOT NULL) OVER w AS whole, max(seq) OVER w AS at_ack
+        FROM late WINDOW w AS (PARTITION BY part ORDER BY event_id))
+      SELECT part, at_ack, arg_max(pos, event_id) AS checkpoint FROM prefix WHERE whole GROUP BY ALL""",
+    )
     sql["stream_breaker"] = _with(_OUTCOMES, select=trips)
     sql["stream_contracts"] = _with(_EVENTS, _PAYLOADS, select=sides)
     return sql

@@ -235,7 +235,10 @@ def commits(ledger: DataFrame, span: int = SPAN) -> DataFrame:
 
 
 def with_prefix(
-    ledger: DataFrame, span: int = SPAN, more: Mapping[str, Running] | None = None
+    ledger: DataFrame,
+    span: int = SPAN,
+    more: Mapping[str, Running] | None = None,
+    keys: list[str] = PARTITION,
 ) -> DataFrame:
     """Add ``in_prefix`` and ``at_ack``, the ack that brought the row into the prefix.
 
@@ -243,7 +246,7 @@ def with_prefix(
     """
     rows = running(
         ledger,
-        PARTITION,
+        keys,
         "off",
         {
             "__whole": Running("min", F.col("ack_seq").isNotNull().cast("int")),

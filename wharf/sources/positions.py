@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -89,9 +88,50 @@ def restored(checkpoints: DataFrame) -> DataFrame:
     )
 
 
-def kafka_starting_offsets(next_offsets: Mapping[str, Mapping[int, int]]) -> str:
-    """The ``startingOffsets`` option text of a Kafka scan, topic -> partition -> offset."""
-    return json.dumps(
-        {t: {str(p): int(o) for p, o in parts.items()} for t, parts in next_offsets.items()},
-        sort_keys=True,
+# Option names of a Kafka scan, and the offsets that stand for its two ends.
+OFFSETS, TIMESTAMPS = "startingOffsets", "startingOffsetsByTimestamp"
+LATEST_OFFSET, EARLIEST_OFFSET = -1, -2
+
+
+def kafka_start_texts(starts: DataFrame) -> DataFrame:
+    """Where a Kafka scan begins, one row per topic and option: ``topic, option, partitions``.
+
+    ``starts`` has ``topic, part, start_kind, start_ts, start_seq``, one row per partition (see
+    :func:`kafka_restored`); ``partitions`` is the JSON text from partition to offset, or to
+    milliseconds for AT_TIMESTAMP (the timestamp is UTC).
+    """
+    kind, seq = F.col("start_kind"), F.col("start_seq").cast("bigint")
+    ts = F.col("start_ts")
+    minutes = (F.unix_date(F.to_date(ts)) * F.lit(24) + F.hour(ts)) * F.lit(60) + F.minute(ts)
+    within = F.floor(F.date_part(F.lit("SECOND"), ts) * 1000)
+    millis = minutes.cast("bigint") * 60_000 + within
+    value = (
+        F.when(kind == LATEST, F.lit(LATEST_OFFSET))
+        .when(kind == TRIM_HORIZON, F.lit(EARLIEST_OFFSET))
+        .when(kind == AT_SEQUENCE_NUMBER, seq)
+        .when(kind == AFTER_SEQUENCE_NUMBER, seq + 1)
+        .when(kind == AT_TIMESTAMP, millis)
+    )
+    option = F.when(kind == AT_TIMESTAMP, TIMESTAMPS).otherwise(OFFSETS)
+    entry = F.struct(F.col("part").cast("string").alias("part"), value.alias("value"))
+    # A topic's partitions are few: broker metadata, not records.
+    return starts.groupBy("topic", option.alias("option")).agg(
+        F.to_json(F.map_from_entries(F.array_sort(F.collect_list(entry)))).alias("partitions")
+    )
+
+
+def kafka_start_options(starts: DataFrame) -> dict[str, str]:
+    """The options of one Kafka scan; a scan takes offsets or timestamps, not both."""
+    texts: dict[str, dict] = {}
+    for row in kafka_start_texts(starts).orderBy("topic").toLocalIterator():
+        texts.setdefault(row.option, {})[row.topic] = json.loads(row.partitions)
+    if len(texts) > 1:
+        raise ValueError("scan the partitions with a timestamp apart from those with an offset")
+    return {option: json.dumps(topics, sort_keys=True) for option, topics in texts.items()}
+
+
+def kafka_restored(checkpoints: DataFrame) -> DataFrame:
+    """Starts that continue after Kafka checkpoints (``topic, part, checkpoint``)."""
+    return restored(checkpoints.withColumn("part", F.struct("topic", "part"))).select(
+        "part.topic", "part.part", "start_kind", "start_ts", F.col("start_seq").cast("string")
     )

@@ -14,6 +14,7 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 from pyspark.sql.streaming import StreamingQuery
 
+from wharf.functions import digits
 from wharf.operators import contracts, delivery, outcomes
 from wharf.plans.joins import lookup
 from wharf.plans.running import SPAN, Running
@@ -40,6 +41,23 @@ _COMMITS = T.StructType(
     ]
 )
 
+_OPEN_SHARDS = T.StructType(
+    [
+        T.StructField("part", T.StringType()),
+        T.StructField("pos", T.StringType()),
+        T.StructField("id", T.StringType()),
+        T.StructField("ack_seq", T.LongType()),
+    ]
+)
+
+_WATERMARKS = T.StructType(
+    [
+        T.StructField("part", T.StringType()),
+        T.StructField("at_ack", T.LongType()),
+        T.StructField("checkpoint", T.StringType()),
+    ]
+)
+
 _REFUSED = T.StructType(
     [
         T.StructField("id", T.StringType()),
@@ -111,6 +129,10 @@ class AckLedger(_Ledger):
     grows with its own rows and the rows in flight, however long a row stays unacked.
     """
 
+    keys = delivery.PARTITION
+    position = "off"
+    open_rows, released = _OPEN, _COMMITS
+
     def __init__(self, spark: SparkSession, folder: str, span: int = SPAN) -> None:
         super().__init__(spark, folder)
         self.span = span
@@ -124,11 +146,12 @@ class AckLedger(_Ledger):
 
     def _process(self, batch: DataFrame, batch_id: int) -> None:
         spark, base = batch.sparkSession, f"{self.folder}/open"
-        before = batches.get(spark, base, batch_id - 1, _OPEN)
+        place = [*self.keys, self.position]
+        before = batches.get(spark, base, batch_id - 1, self.open_rows)
         runs = before.where(F.col("id").isNull())
         waiting = before.where(F.col("id").isNotNull())
         arrived = batch.where("kind = 'delivered'").select(
-            "topic", "part", "off", "id", F.lit(None).cast("bigint").alias("ack_seq")
+            *place, "id", F.lit(None).cast("bigint").alias("ack_seq")
         )
         acks = batch.where("kind = 'ack'").select("id", "ack_seq")
         # Per id the open row, repeated deliveries and all acks fold into one row.
@@ -137,25 +160,25 @@ class AckLedger(_Ledger):
             .withColumn("held", F.lit(1))
             .unionByName(acks, allowMissingColumns=True)
             .groupBy("id")
-            .agg(*[F.min(c).alias(c) for c in ("topic", "part", "off", "ack_seq", "held")])
+            .agg(*[F.min(c).alias(c) for c in (*place, "ack_seq", "held")])
         )
-        ledger = settle(folded.where("held = 1").drop("held").unionByName(runs))
+        ledger = settle(self.numbered(folded.where("held = 1").drop("held").unionByName(runs)))
         # Rows between the same unacked ones share a gap number.
         gap = Running("sum", F.col("ack_seq").isNull().cast("int"))
-        rows = settle(delivery.with_prefix(ledger, self.span, {"gap": gap}))
-        batches.put(
-            delivery.commits_of(rows).select(*_COMMITS.fieldNames()),
-            f"{self.folder}/commits",
-            batch_id,
-        )
+        rows = settle(delivery.with_prefix(ledger, self.span, {"gap": gap}, self.keys))
+        freed = self.commits_of(rows).select(*self.released.fieldNames())
+        batches.put(freed, f"{self.folder}/commits", batch_id)
         held_up = rows.where(~F.col("in_prefix"))
         run = (
             held_up.where(F.col("ack_seq").isNotNull())
-            .groupBy(*delivery.PARTITION, "gap")
-            .agg(F.max("off").alias("off"), F.max("ack_seq").alias("ack_seq"))
+            .groupBy(*self.keys, "gap")
+            .agg(
+                F.max_by(self.position, "off").alias(self.position),
+                F.max("ack_seq").alias("ack_seq"),
+            )
             .withColumn("id", F.lit(None).cast("string"))
         )
-        names = _OPEN.fieldNames()
+        names = self.open_rows.fieldNames()
         unacked = held_up.where(F.col("ack_seq").isNull())
         batches.put(unacked.select(*names).unionByName(run.select(*names)), base, batch_id)
 
@@ -165,6 +188,13 @@ class AckLedger(_Ledger):
         # A replay of this micro-batch starts from the last state; older ones are done with.
         batches.forget(spark, base, batch_id - 2)
 
+    def numbered(self, ledger: DataFrame) -> DataFrame:
+        """The ledger with ``off``, a BIGINT in the order of the positions."""
+        return ledger
+
+    def commits_of(self, rows: DataFrame) -> DataFrame:
+        return delivery.commits_of(rows)
+
     def commits(self) -> DataFrame:
         rows = batches.everything(self.spark, f"{self.folder}/commits", _COMMITS)
         return rows.groupBy(*delivery.PARTITION, "at_ack").agg(
@@ -176,6 +206,46 @@ class AckLedger(_Ledger):
         return batches.everything(self.spark, f"{self.folder}/refused", _REFUSED).drop("batch_id")
 
 
+class ShardLedger(AckLedger):
+    """The same for Kinesis: moves a shard's checkpoint as soon as an acked prefix is whole.
+
+    The stream has ``kind, id, part, pos, ack_seq``; ``pos`` is a digit string of any width. Open
+    rows are dealt out by ranges of (shard, position) and numbered in that order, so a hot shard
+    is sorted by many tasks.
+    """
+
+    keys = ["part"]
+    position = "pos"
+    open_rows, released = _OPEN_SHARDS, _WATERMARKS
+
+    def numbered(self, ledger: DataFrame) -> DataFrame:
+        order = ["part", "__pos"]
+        ranged = ledger.withColumn("__pos", digits.order(F.col("pos"))).repartitionByRange(*order)
+        placed = ranged.sortWithinPartitions(*order).drop("__pos")
+        return placed.withColumn("off", F.monotonically_increasing_id())
+
+    def commits_of(self, rows: DataFrame) -> DataFrame:
+        return (
+            rows.where("in_prefix")
+            .groupBy(*self.keys, "at_ack")
+            .agg(F.max_by("pos", "off").alias("checkpoint"))
+        )
+
+    def commits(self) -> DataFrame:
+        """Every move of a checkpoint: ``part, at_ack, checkpoint``.
+
+        An ack moves its shard once per micro-batch that it is read in; the furthest one counts.
+        """
+        rows = batches.everything(self.spark, f"{self.folder}/commits", _WATERMARKS)
+        return rows.groupBy(*self.keys, "at_ack").agg(
+            F.max(digits.order(F.col("checkpoint")))["digits"].alias("checkpoint")
+        )
+
+    def checkpoints(self) -> DataFrame:
+        """The checkpoint of every shard that has one; rows delivered again never move it back."""
+        return delivery.merge_checkpoints(self.commits().select("part", "checkpoint"))
+
+
 class BreakerLedger(_Ledger):
     """Breaker trips per registration from a stream of publish outcomes.
 

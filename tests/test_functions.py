@@ -118,3 +118,29 @@ def test_nesting_is_limited_by_the_text_alone(spark):
         (False, True),
         (True, False),
     ]
+
+
+def test_texts_without_closing_bracket_are_one_value_or_trailing(spark):
+    cases = {
+        '{"a":1}': (True, False),
+        " 7 ": (True, False),
+        '{"a":1},{"b":2}': (False, True),
+        # A number ends at white space only, so these are not even a first value.
+        "1,2": (False, False),
+        "1,": (False, False),
+        "1,null": (False, False),
+        "1 ,2": (False, True),
+        "true,null": (False, True),
+        '{"a":1}{"b":2}': (False, True),
+        "[1": (False, False),
+        ",1": (False, False),
+        " \n": (False, False),
+        '{"a":"]"}': (True, False),
+        "1],[2": (False, False),
+        "{}],[{}": (False, True),
+    }
+    df = spark.createDataFrame([(t,) for t in cases], "t string")
+    got = df.select("t", J.document(F.col("t")).alias("d")).select(
+        "t", F.col("d.root").isNotNull(), "d.has_trailing"
+    )
+    assert {r[0]: (r[1], r[2]) for r in got.collect()} == cases

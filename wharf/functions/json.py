@@ -2,8 +2,10 @@
 
 ``try_parse_json`` ignores whatever follows the first value. Wrapping the text once as an
 array element and once as an object value closes that gap: trailing text would have to
-continue an array and an object at the same time, which no text can. The wrapping costs one
-level of nesting, so a text at the parser's limit is judged by its brackets instead.
+continue an array and an object at the same time, which no text can. A text without ``]`` cannot
+end the array early, so for it the array alone decides: it is one value if the array has one
+element. The wrapping costs one level of nesting, so a text at the parser's limit is judged by
+its brackets instead.
 """
 
 from __future__ import annotations
@@ -50,7 +52,12 @@ def document(text: Column) -> Column:
 
     def values(array: Column) -> Column:
         # A failed parse is the costly one, so the second try needs the first to succeed.
-        fits = F.when(array.isNotNull(), in_object.isNotNull()).otherwise(F.lit(False))
+        # Nothing but white space gives an array without elements, whose root is null as well.
+        fits = (
+            F.when(array.isNull(), F.lit(False))
+            .when(F.contains(text, F.lit("]")), in_object.isNotNull())
+            .otherwise(F.variant_get(array, "$[1]", "variant").isNull())
+        )
         return once(
             fits,
             lambda single: F.struct(
@@ -72,13 +79,15 @@ def document(text: Column) -> Column:
         )
 
     def described(v: Column) -> Column:
+        nothing = v["root"].isNull() & v["first"].isNull()
+        void = F.when(nothing, text.rlike(r"\A[ \t\r\n]*\z"))
         return F.struct(
             v["root"].alias("root"),
             F.coalesce(F.is_variant_null(F.coalesce(v["root"], v["first"])), F.lit(False)).alias(
                 "starts_null"
             ),
             v["first"].isNotNull().alias("has_trailing"),
-            F.coalesce(text.rlike(r"\A[ \t\r\n]*\z"), F.lit(False)).alias("is_void"),
+            F.coalesce(void, F.lit(False)).alias("is_void"),
         )
 
     return once(

@@ -345,6 +345,18 @@ def test_repeated_substrings_leave(docs, rows, hot_rows, odd_ids):
         assert "�" not in (cut.text or "")
 
 
+@pytest.mark.parametrize("hot_rows", [suffix_dedup.HOT_ROWS, 1])
+def test_a_document_listed_twice_keeps_its_text(spark, hot_rows):
+    prepare(spark)
+    alone = " ".join(f"only{i} here" for i in range(40))
+    listed = [(1, alone), (1, alone), (2, "x" + alone[:150]), (3, "too short")]
+    want = _removed(listed)
+    assert want[1, alone][1] == 0
+    for r in suffix_dedup.deduplicate(spark.createDataFrame(listed, "doc_id bigint, text string"), hot_rows=hot_rows).collect():
+        cut = r["__cut"]
+        assert (cut.n_bytes, cut.n_removed, cut.n_spans, hashlib.sha256(cut.kept).hexdigest()) == want[r.doc_id, r.text]
+
+
 def test_no_documents_to_deduplicate(empty):
     assert suffix_dedup.deduplicate(empty).count() == 0
 

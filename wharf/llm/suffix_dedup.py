@@ -368,12 +368,12 @@ def _hot_spans(rows: DataFrame) -> DataFrame:
     return whole.unionByName(later.select("k", "s", (F.col("s") + LENGTH).alias("e")))
 
 
-def _keyed(df: DataFrame, row_id: str, text: str) -> DataFrame:
-    """``df`` with ``__k``: a number per document in document order."""
+def _keyed(df: DataFrame, row_id: str, text: str) -> tuple[DataFrame, bool]:
+    """``df`` with ``__k``: a number per document in document order; whether rows can share one."""
     ids = F.col(f"`{row_id}`").cast("bigint")
     odd = df.groupBy(ids.alias("i")).agg(F.count("*").alias("n")).where("n > 1 OR i IS NULL")
     if odd.isEmpty():
-        return df.withColumn("__k", ids)
+        return df.withColumn("__k", ids), False
     # Ids that repeat or are missing: number the distinct (id, text digest) pairs in order.
     digest = F.md5(F.coalesce(F.col(f"`{text}`"), F.lit("")))
     pairs = df.select(ids.alias("__i"), digest.alias("__d")).distinct()
@@ -384,7 +384,7 @@ def _keyed(df: DataFrame, row_id: str, text: str) -> DataFrame:
     with_digest = df.withColumn("__d", digest).withColumn("__i", ids)
     named = numbered.withColumnsRenamed({"__i": "__i2", "__d": "__d2"})
     match = (F.col("__d") == F.col("__d2")) & F.col("__i").eqNullSafe(F.col("__i2"))
-    return with_digest.join(named, match).drop("__d", "__i", "__d2", "__i2")
+    return with_digest.join(named, match).drop("__d", "__i", "__d2", "__i2"), True
 
 
 def removed_spans(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
@@ -474,8 +474,11 @@ def deduplicate(
     df: DataFrame, row_id: str = "doc_id", text: str = "text", hot_rows: int = HOT_ROWS
 ) -> DataFrame:
     """``df`` with ``__cut``: kept bytes, kept text (whole characters), and counts."""
-    keyed = _keyed(df, row_id, text)
+    keyed, shared = _keyed(df, row_id, text)
     docs = keyed.select(F.col("__k").alias("k"), F.col(f"`{text}`").alias("text"))
+    if shared:
+        # A document listed several times is no repetition of itself.
+        docs = stored(docs.dropDuplicates(["k"]), "suffix-documents")
     spans = removed_spans(docs, hot_rows)
     listed = spans.groupBy(F.col("k").alias("__k")).agg(F.collect_list(F.struct("s", "e")).alias("__spans"))
     joined = keyed.join(listed, "__k", "left")

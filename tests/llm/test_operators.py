@@ -107,6 +107,36 @@ def test_pages_without_an_article_element():
     assert html_extraction.main_text(page) == "Long, enough, text.\nMore of it."
 
 
+LONG = "<p>First, a paragraph of the article, long enough to score.</p><p>Second, and more, of it.</p>"
+
+
+@pytest.mark.parametrize(
+    "open_tag",
+    [
+        "<div class='content has-sidebar'>",
+        "<div id='page' class='no-sidebar'>",
+        "<div class='entry social-share'>",
+        "<article class='post has-comments'>",
+        "<section id='related-work'>",
+        "<div class=sidebar><article>",
+        "<div id=discussion>",
+    ],
+)
+def test_names_do_not_cost_the_article(open_tag):
+    page = f"<body><div class='menu-top'>Menu, a, b</div>{open_tag}{LONG}"
+    want = ["First, a paragraph of the article, long enough to score.", "Second, and more, of it."]
+    assert html_extraction.main_text(page).split("\n") == want
+
+
+def test_names_still_mark_what_is_around():
+    around = "<div class='sidebar-left'>Links, and, more</div><div class='page__cookie-notice'>We, use, cookies</div>"
+    cards = "<div class=related><article><p>Another, story</p></article></div>"
+    talk = "<div id=comments>" + "<article class=comment-body><p>No, no, no, and, no.</p></article>" * 9 + "</div>"
+    page = f"<body>{around}<article>{LONG}<h2 id=discussion>Discussion</h2><p>Why, and how.</p></article>{cards}{talk}"
+    got = html_extraction.main_text(page).split("\n")
+    assert len(got) == 4 and got[2:] == ["Discussion", "Why, and how."]
+
+
 def test_broken_pages(spark):
     prepare(spark)
     cases = [(1, None), (2, ""), (3, "<p>cut <b>of"), (4, "plain &am"), (4, "plain &am"), (5, "<a href='x>y"), (6, "<!-- open")]

@@ -5,6 +5,11 @@ commas, discounted by its share of link text; it passes them to its parent, half
 grandparent, and less further up. The best container is kept, together with siblings that
 score well themselves. Pages are independent rows, so the work is one narrow pass.
 
+Names (class, id, role) only mark an element when the marking word is the head of a whole name:
+``cookie-notice`` and ``sidebar-left`` do, ``has-sidebar`` and ``related-work`` do not. A marked
+element stays if it holds the article, or most of the page's points where no article or main
+element lies elsewhere; if nothing is left otherwise, the page is scored without marks.
+
 Defined cases: null, empty or text-free html gives the empty string; broken, unclosed or cut
 markup is read as far as it goes; repeated pages give repeated rows; other columns of the
 input do not matter.
@@ -59,63 +64,152 @@ BOILERPLATE = set(
     "recommendations widget pagination pager toolbar skip paywall form".split()
 )
 COMMENTS = set("comment comments commentlist commentary disqus reply replies respond discussion".split())
+# Parts after the head of a compound name, and parts that say what a page has or lacks.
+NEUTRAL = set(
+    "left right top bottom upper lower primary secondary wrapper wrap container inner outer area list item "
+    "items block box section bar group body holder panel slot unit row col column links".split()
+)
+LACKING = set("has have no not non with without".split())
+UNMARKED = set("html body main h1 h2 h3 h4 h5 h6".split())
 
 
 class _Node:
-    __slots__ = ("name", "parent", "dropped", "score", "chars", "links")
+    __slots__ = ("name", "parent", "dropped", "mark", "marked", "score", "chars", "links")
 
-    def __init__(self, name: str, parent: _Node | None, dropped: bool):
-        self.name, self.parent, self.dropped = name, parent, dropped
+    def __init__(self, name: str, parent: _Node | None, dropped: bool, mark: str = ""):
+        self.name, self.parent, self.dropped, self.mark = name, parent, dropped, mark
+        #: The nearest marked element around, itself included.
+        self.marked: _Node | None = self if mark else parent.marked if parent else None
         self.score, self.chars, self.links = 0.0, 0, 0
 
 
-def _boilerplate(name: str, attrs: str, in_article: bool) -> bool:
+def _heads(value: str) -> set[str]:
+    """The word that each name of a class, id or role value is headed by."""
+    out = set()
+    for name in value.split():
+        parts = [p for p in _WORDS.split(name) if p]
+        while len(parts) > 1 and (parts[-1] in NEUTRAL or not parts[-1].isalpha()):
+            parts.pop()
+        if parts and not LACKING & set(parts[:-1]):
+            out.add(parts[-1])
+    return out
+
+
+def _boilerplate(name: str, attrs: str, in_article: bool) -> tuple[bool, str]:
+    """Whether an element goes in any case, and the mark that its names give it."""
     if name in DROPPED:
-        return True
+        return True, ""
     if name == "header" and not in_article:
-        return True
+        return True, ""
     if not attrs or name in ("html", "body", "main"):
-        return False
+        return False, ""
     words: set[str] = set()
     for key, value in _ATTR.findall(attrs):
         key, value = key.lower(), value.strip("\"'").lower()
         if key in ("class", "id", "role"):
-            words.update(_WORDS.split(value))
+            words |= _heads(value)
         elif key == "hidden" or key == "aria-hidden" and value == "true":
-            return True
+            return True, ""
         elif key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True
+            return True, ""
+    if name in UNMARKED:
+        return False, ""
     if words & COMMENTS:
-        return True
+        return False, "comments"
     if name == "article":
-        return False
-    return bool(words & BOILERPLATE) or ("header" in words and not in_article)
+        return False, ""
+    marked = bool(words & BOILERPLATE) or ("header" in words and not in_article)
+    return False, "around" if marked else ""
+
+
+#: A text block as it is read: owning element, and pieces (text, element, whether in a link).
+_Raw = tuple[_Node, list[tuple[str, _Node, bool]]]
+
+
+def _texts(raw: list[_Raw], gone: set[_Node]) -> list[tuple[_Node, str, int]]:
+    """Blocks (owner, text, characters inside links) without what lies in a node of ``gone``."""
+    found = []
+    for owner, pieces in raw:
+        if gone:
+            pieces = [p for p in pieces if not any(m in gone for m in _marks(p[1]))]
+        text = " ".join(_html.unescape("".join(p[0] for p in pieces)).split())
+        if text:
+            inside = len(" ".join(_html.unescape("".join(p[0] for p in pieces if p[2])).split()))
+            found.append((owner, text, min(inside, len(text))))
+    return found
+
+
+def _marks(node: _Node) -> list[_Node]:
+    """The marked elements around ``node``, itself included."""
+    out = []
+    at = node.marked
+    while at is not None:
+        out.append(at)
+        at = at.parent.marked if at.parent else None
+    return out
+
+
+def _points(text: str, links: int) -> float:
+    return (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - links / len(text))
+
+
+def _surroundings(raw: list[_Raw]) -> set[_Node]:
+    """The marked elements that hold neither the article nor most of the page."""
+    marked = {m for _, pieces in raw for p in pieces for m in _marks(p[1])}
+    if not marked:
+        return marked
+    total = said = clear = 0.0
+    sums: dict[_Node, float] = {}
+    paragraphs: dict[_Node, float] = {}
+    articles: set[_Node] = set()
+    for owner, text, links in _texts(raw, set()):
+        points, around = _points(text, links), _marks(owner)
+        own = points if owner.name in PARAGRAPHS else 0.0
+        total += points
+        if not any(m.mark == "comments" for m in around):
+            said += own
+        if not around:
+            clear += points
+        for node in _ancestors(owner):
+            sums[node] = sums.get(node, 0.0) + points
+            paragraphs[node] = paragraphs.get(node, 0.0) + own
+            if node.name in ("article", "main") and not node.mark:
+                articles.add(node)
+    holds = {m for a in articles if a.name == "main" or sums[a] >= clear for m in _marks(a)}
+    outside = any(not _marks(a) for a in articles)
+    gone = set()
+    for m in marked:
+        # Long comments must not outweigh the paragraphs of a short article.
+        most = 2 * paragraphs.get(m, 0.0) > said or 2 * sums.get(m, 0.0) > total
+        if m not in holds and not (most and m.mark == "around" and not outside):
+            gone.add(m)
+    return gone
 
 
 def _blocks(source: str) -> list[tuple[_Node, str, int]]:
     """The kept text blocks in page order: owning element, text, characters inside links."""
+    raw = _read(source)
+    return _texts(raw, _surroundings(raw)) or _texts(raw, set())
+
+
+def _read(source: str) -> list[_Raw]:
+    """The text blocks in page order, but for elements that go in any case."""
     root = _Node("#", None, False)
     stack = [root]
-    found: list[tuple[_Node, str, int]] = []
-    pieces: list[str] = []
-    linked: list[str] = []
+    found: list[_Raw] = []
+    pieces: list[tuple[str, _Node, bool]] = []
     depth_links = 0
 
     def flush() -> None:
+        nonlocal pieces
         if pieces:
-            text = " ".join(_html.unescape("".join(pieces)).split())
-            if text:
-                inside = len(" ".join(_html.unescape("".join(linked)).split()))
-                owner = next(n for n in reversed(stack) if n.name in BLOCKS or n is root)
-                found.append((owner, text, min(inside, len(text))))
-            pieces.clear()
-            linked.clear()
+            owner = next(n for n in reversed(stack) if n.name in BLOCKS or n is root)
+            found.append((owner, pieces))
+            pieces = []
 
     def add(text: str) -> None:
         if text and not stack[-1].dropped:
-            pieces.append(text)
-            if depth_links:
-                linked.append(text)
+            pieces.append((text, stack[-1], depth_links > 0))
 
     def pop_to(index: int) -> None:
         nonlocal depth_links
@@ -174,8 +268,8 @@ def _blocks(source: str) -> list[tuple[_Node, str, int]]:
             continue
         parent = stack[-1]
         inside = any(n.name in ("article", "main") for n in stack)
-        dropped = parent.dropped or _boilerplate(name, match["attrs"], inside)
-        stack.append(_Node(name, parent, dropped))
+        dropped, mark = _boilerplate(name, match["attrs"], inside)
+        stack.append(_Node(name, parent, parent.dropped or dropped, mark))
         depth_links += name == "a"
     flush()
     return found
@@ -196,7 +290,7 @@ def main_text(source: str | None) -> str:
         return ""
     candidates: dict[int, _Node] = {}
     for owner, text, links in blocks:
-        points = (1 + text.count(",") + min(len(text) / 100, 3)) * (1 - links / len(text))
+        points = _points(text, links)
         for node in _ancestors(owner):
             node.chars += len(text)
             node.links += links

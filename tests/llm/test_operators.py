@@ -13,6 +13,7 @@ import sentencepiece
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from wharf.llm import (
     chat,
     golay,
@@ -22,6 +23,7 @@ from wharf.llm import (
     quality_model,
     quality_rules,
     sharding,
+    shingles,
     simhash,
     suffix_dedup,
     tokenizers,
@@ -461,6 +463,60 @@ def test_components_of_a_long_path(spark):
     assert {(r.node, r.root) for r in got} == {(i, 0) for i in range(1, 201)} | {(600, 500)}
 
 
+def _copies(rnd: random.Random) -> list[tuple]:
+    """Near copies from few to many changes, a common passage, and rows that are hard to handle."""
+    words = [f"w{i}" for i in range(500)]
+    passage = rnd.choices(words, k=30)
+    made = []
+    for g in range(8):
+        base = rnd.choices(words, k=90)
+        for n in range(30 if g == 0 else 4):
+            text = list(base)
+            for _ in range(rnd.randint(0, 4)):
+                text[rnd.randrange(len(text))] = rnd.choice(words)
+            made.append(" ".join(text[rnd.randint(0, 12) :]))
+    made += [" ".join(passage + rnd.choices(words, k=k)) for k in (0, 2, 5, 9, 40, 60, 60, 60)]
+    made += [made[0].upper().replace(" ", "\n"), made[40], None, "", " ", "one two", "one  two", "one two three four five"]
+    rnd.shuffle(made)
+    return [(i, t) for i, t in enumerate(made)] + [(None, made[3]), (None, "no id " * 30), (7, made[7]), (9, "other text " * 9)]
+
+
+@pytest.mark.parametrize("block, near", [(shingles.BLOCK, shingles.NEAR), (5, 1)])
+def test_near_duplicates_by_similarity(spark, empty, block, near, monkeypatch):
+    prepare(spark)
+    monkeypatch.setattr(shingles, "COMMON", 12)
+    listed = _copies(random.Random(8))
+    sets = []
+    for _, text in listed:
+        w = (text or "").encode().lower().split()
+        sets.append({tuple(w[j : j + 5]) for j in range(max(1, len(w) - 4))})
+    root = list(range(len(listed)))
+    for a in range(len(listed)):
+        for b in range(a):
+            if 5 * len(sets[a] & sets[b]) >= 4 * len(sets[a] | sets[b]):
+                old, new = root[a], root[b]
+                root = [new if r == old else r for r in root]
+    want = []
+    for g in set(root):
+        ids = [listed[j][0] for j in range(len(listed)) if root[j] == g]
+        want.append(min((i for i in ids if i is not None), default=None))
+    df = spark.createDataFrame([(*r, "clash") for r in listed], "doc_id bigint, text string, v string").repartition(3)
+    kept = shingles.keep_one(df, block=block, near=near)
+    assert kept.columns == df.columns
+    assert Counter(r.doc_id for r in kept.collect()) == Counter(want)
+    assert shingles.keep_one(empty).count() == 0
+
+
+def test_the_pipeline_drops_copies_that_fingerprints_keep(spark):
+    rnd = random.Random(4)
+    base = [f"w{rnd.randrange(900)}" for _ in range(200)]
+    texts = [" ".join("new" if j in spots else w for j, w in enumerate(base)) for spots in ((), (30, 90, 150), (50, 110, 180))]
+    bits = [(simhash.fingerprint(texts[0]) ^ simhash.fingerprint(t)).bit_count() for t in texts[1:]]
+    assert min(bits) > simhash.MOST_BITS
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    assert [r.doc_id for r in corpus_pipeline.near_duplicates(spark, df, "").collect()] == [0]
+
+
 # --- top-k ----------------------------------------------------------------------------
 
 

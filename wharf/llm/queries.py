@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from wharf.llm import (
     chat,
+    filter_audit,
     html_extraction,
     mixing,
     pieces,
@@ -144,6 +145,15 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.search(vectors, F.col("vec_id") % 100 == 0, 10)
 
 
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What five filters remove at every step of all their orders, by language."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality", "toxic")
+    rows = filter_audit.masks(documents, labels)
+    lost = {"good_lost": F.col("good"), "toxic_lost": F.col("toxic")}
+    return filter_audit.audit(rows, "ABCDE", lost)
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -157,5 +167,6 @@ QUERIES: dict[str, Query] = {
         op8_simhash,
         op9_quality_rules,
         op10_topk,
+        op11_filter_audit,
     )
 }

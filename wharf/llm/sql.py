@@ -93,4 +93,45 @@ WINDOW best AS (PARTITION BY query_id ORDER BY score DESC, vec_id)
 QUALIFY row_number() OVER best <= 10
 """
 
-SQL: dict[str, str] = {"op5_mixing": OP5, "op9_quality_rules": OP9, "op10_topk": OP10}
+OP11 = rf"""
+WITH f AS (SELECT unnest(['A', 'B', 'C', 'D', 'E']) AS f), orders AS (
+  SELECT a.f || b.f || c.f || d.f || e.f AS filter_order FROM f a
+  JOIN f b ON b.f <> a.f JOIN f c ON c.f NOT IN (a.f, b.f)
+  JOIN f d ON d.f NOT IN (a.f, b.f, c.f) JOIN f e ON e.f NOT IN (a.f, b.f, c.f, d.f)
+), l AS (
+  SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id
+), t AS (
+  SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text, {_WORDS} AS w FROM documents
+), m AS (
+  SELECT part, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic,
+    CASE WHEN len(w) < 200 THEN 'A' ELSE '' END
+    || CASE WHEN 100 * len(list_distinct(w)) < 50 * len(w) THEN 'B' ELSE '' END
+    || CASE WHEN 100 * len(regexp_extract_all(text, '[A-Z]')) > 3 * length(text) THEN 'C' ELSE '' END
+    || CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 'D' ELSE '' END
+    || CASE WHEN t.doc_id > min(t.doc_id) OVER (PARTITION BY text) THEN 'E' ELSE '' END AS fails
+  FROM t LEFT JOIN l ON l.doc_id = t.doc_id
+), c AS (
+  SELECT part, fails, count(*) AS n, sum(good) AS good, sum(toxic) AS toxic FROM m GROUP BY part, fails
+), s AS (
+  SELECT part, fails, n, good, toxic, filter_order, step, substr(filter_order, step, 1) AS f,
+    len(regexp_extract_all(substr(filter_order, 1, step - 1), '[' || fails || '-]')) > 0 AS gone
+  FROM c, orders, (SELECT unnest(range(1, 6))::INT AS step)
+), r AS (
+  SELECT part, filter_order, step, f, sum(n) FILTER (NOT gone AND NOT contains(fails, f)) AS kept,
+    sum(n) FILTER (NOT gone AND contains(fails, f)) AS removed, sum(n) FILTER (gone AND contains(fails, f)) AS redundant,
+    sum(n) FILTER (fails = f) AS unique_fails, sum(good) FILTER (NOT gone AND contains(fails, f)) AS good_lost,
+    sum(toxic) FILTER (NOT gone AND contains(fails, f)) AS toxic_lost FROM s GROUP BY ALL
+)
+SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(removed, 0)::BIGINT AS removed,
+  coalesce(redundant, 0)::BIGINT AS redundant, coalesce(unique_fails, 0)::BIGINT AS unique_fails,
+  coalesce(good_lost, 0)::BIGINT AS good_lost, coalesce(toxic_lost, 0)::BIGINT AS toxic_lost,
+  (coalesce(sum(removed) OVER (PARTITION BY part, f), 0))::BIGINT AS shapley
+FROM r
+"""
+
+SQL: dict[str, str] = {
+    "op5_mixing": OP5,
+    "op9_quality_rules": OP9,
+    "op10_topk": OP10,
+    "op11_filter_audit": OP11,
+}

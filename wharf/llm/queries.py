@@ -16,6 +16,7 @@ from wharf.llm import (
     quality_rules,
     sharding,
     simhash,
+    substring_dedup,
     suffix_dedup,
     tokenizers,
     topk,
@@ -154,6 +155,14 @@ def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return filter_audit.audit(rows, "ABCDE", lost)
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that are part of a 13-word window of a smaller id."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return substring_dedup.deduplicate(documents).select(
+        "row.doc_id", "cut.n_words", "cut.n_removed", F.sha2("cut.kept", 256).alias("kept_sha256")
+    )
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -168,5 +177,6 @@ QUERIES: dict[str, Query] = {
         op9_quality_rules,
         op10_topk,
         op11_filter_audit,
+        op12_substring_dedup,
     )
 }

@@ -129,9 +129,29 @@ SELECT part, filter_order, step, coalesce(kept, 0)::BIGINT AS kept, coalesce(rem
 FROM r
 """
 
+OP12 = rf"""
+WITH d AS (
+  SELECT row_number() OVER () AS r, doc_id, coalesce(doc_id, 9223372036854775807) AS rank, {_WORDS} AS w FROM documents
+), windows AS (
+  SELECT r, rank, i, array_to_string(w[i:i + 12], ' ') AS g
+  FROM (SELECT r, rank, w, unnest(range(1, greatest(len(w) - 11, 1))) AS i FROM d)
+), found AS (
+  SELECT r, i FROM windows QUALIFY rank > min(rank) OVER (PARTITION BY g)
+), gone AS (
+  SELECT DISTINCT r, unnest(range(i, i + 13)) AS p FROM found
+), words AS (
+  SELECT r, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM d
+), kept AS (
+  SELECT r, count(*) AS n, string_agg(word, ' ' ORDER BY p) AS text FROM words ANTI JOIN gone USING (r, p) GROUP BY r
+)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(text, '')) AS kept_sha256
+FROM d LEFT JOIN kept USING (r)
+"""
+
 SQL: dict[str, str] = {
     "op5_mixing": OP5,
     "op9_quality_rules": OP9,
     "op10_topk": OP10,
     "op11_filter_audit": OP11,
+    "op12_substring_dedup": OP12,
 }

@@ -16,6 +16,7 @@ from wharf.llm import (
     quality_rules,
     sharding,
     simhash,
+    spelling,
     substring_dedup,
     suffix_dedup,
     tokenizers,
@@ -163,6 +164,12 @@ def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spelling variants among the frequent words of all documents."""
+    documents = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return spelling.variants(spelling.vocabulary(documents))
+
+
 QUERIES: dict[str, Query] = {
     fn.__name__: fn
     for fn in (
@@ -178,5 +185,6 @@ QUERIES: dict[str, Query] = {
         op10_topk,
         op11_filter_audit,
         op12_substring_dedup,
+        op13_spelling_variants,
     )
 }

@@ -19,7 +19,7 @@ SF = "/root/testdata/sf0.001"
 def test_all_are_registered():
     assert set(QUERIES) | {"pipeline"} <= set(queries())
     assert set(SQL) <= set(oracle_sql())
-    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 11)}
+    assert {name.split("_")[0] for name in QUERIES} == {f"op{n}" for n in range(1, 14)}
 
 
 @pytest.mark.parametrize("name", sorted(SQL))

@@ -32,11 +32,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared work folder once and read it back: lineage ends there."""
+def stored(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+    """Write ``df`` to the shared work folder once and read it back: lineage ends there.
+
+    Spark removes shuffle files once the plan that made them is garbage; with ``free`` the driver
+    collects it now, so that the files of a large step are gone before the next one starts.
+    """
     spark = df.sparkSession
     path = work_folder(spark, name)
     df.write.option("compression", "zstd").parquet(path)
+    if free:
+        spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -3,15 +3,15 @@
 A window is 13 consecutive words of one document. Every word of a window whose word sequence also
 starts in a document with a smaller id is removed.
 
-*Copies.* Documents with equal word sequences are folded first: the one with the least id stands
-for all, the others lose every word (if they have a window at all).
+*Copies.* Documents with equal texts are folded first: the one with the least id stands for all,
+the others lose every word (if they have a window at all). Texts are known by a 128-bit digest.
 
-*Sampled suffixes.* Of the eight 6-word strings in a window the one with the least hash is its
+*Sampled suffixes.* Of the six 8-word strings in a window the one with the least hash is its
 anchor. Equal windows have the same anchor at the same place, so trees over the suffixes that
 start at anchors (and the words before them) find all equal windows.
 
 *Prefixes.* Suffixes are partitioned by their prefix. One exchange of (prefix, document) drops the
-prefixes that one document alone has; a prefix met twice in a batch is known to repeat before it,
+prefixes that one text alone has; a prefix met twice in a batch is known to repeat before it,
 so a frequent one reaches its task as one row per batch. What is left is dealt out by prefix, in
 as many tasks as its number asks for.
 
@@ -33,7 +33,6 @@ texts under 13 words stay; an empty table stays empty; further columns may have
 
 from __future__ import annotations
 
-import hashlib
 import re
 from collections.abc import Callable, Iterator
 
@@ -47,15 +46,15 @@ from wharf.llm.common import stored
 from wharf.plans.joins import lookup
 
 WINDOW = 13
-PREFIX = 6
+PREFIX = 8
 #: Most words of a window before its anchor.
 REACH = WINDOW - PREFIX
 #: Suffixes of one prefix that may meet in one task.
 HOT_ROWS = 50_000
 #: Suffixes that one task holds with their words (about 130 bytes each).
 ROWS_PER_TASK = 60_000
-#: (Prefix, document) rows that one task compares (16 bytes each).
-PREFIXES_PER_TASK = 2_000_000
+#: Bytes of text for each task that compares prefixes (about one of 24 bytes for 14 of them).
+BYTES_PER_TASK = 32 << 20
 #: Bytes of a text that are split into words at once, and windows that are looked at together.
 BLOCK = 1 << 20
 _SPACE = re.compile(rb"[\x20\x09-\x0D]")
@@ -87,9 +86,12 @@ def word_hashes(data: bytes) -> np.ndarray:
 
 
 def _sliding(values: np.ndarray, pick: Callable) -> np.ndarray:
-    """Least or greatest of each eight neighbours (REACH + 1 is eight)."""
-    for step in (1, 2, 4):
+    """Least or greatest of each REACH + 1 neighbours."""
+    held = 1
+    while held <= REACH:
+        step = min(held, REACH + 1 - held)
         values = pick(values[:-step], values[step:])
+        held += step
     return values
 
 
@@ -122,21 +124,6 @@ def anchors(hashes: np.ndarray, inside: np.ndarray | None = None) -> tuple[np.nd
     return position, np.concatenate(prefixes)[first]
 
 
-def _words_of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(row, rank, digest of the word sequence, number of words)."""
-    for batch in batches:
-        digests, sizes = [], []
-        for value in batch.column(2):
-            digest, n = hashlib.blake2b(digest_size=16), 0
-            for words in blocks(value.as_py() or b""):
-                digest.update(b" ".join(words) + b" ")
-                n += len(words)
-            digests.append(digest.digest())
-            sizes.append(n)
-        columns = [*batch.columns[:2], pa.array(digests, pa.binary()), pa.array(sizes, pa.int64())]
-        yield pa.RecordBatch.from_arrays(columns, ["at", "r", "digest", "n"])
-
-
 def _groups(batch: pa.RecordBatch) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(documents, sizes, word hashes) of a batch, a few megabytes of text at a time."""
     ks, sizes, hashes, held = [], [], [], 0
@@ -158,7 +145,7 @@ _PREFIX_ROW = "h bigint, k bigint, m bigint, known boolean"
 
 
 def _prefix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(prefix, document, suffixes of it there); ``known`` if two documents of the batch have it.
+    """(prefix, text, suffixes of it there); ``known`` if two texts of the batch have it.
 
     One row of each known prefix is also sent as not known, to meet those of other batches.
     """
@@ -171,14 +158,14 @@ def _prefix_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             position, prefix = anchors(hashes, inside)
             if not len(position):
                 continue
-            doc = of[position]
+            doc = k[of[position]]
             order = np.lexsort((doc, prefix))
             prefix, doc = prefix[order], doc[order]
             first = np.flatnonzero(
                 np.concatenate([[True], (prefix[1:] != prefix[:-1]) | (doc[1:] != doc[:-1])])
             )
             m = np.diff(np.append(first, len(prefix)))
-            prefix, doc = prefix[first], k[doc[first]]
+            prefix, doc = prefix[first], doc[first]
             same = np.zeros(len(prefix) + 1, bool)
             same[1:-1] = prefix[1:] == prefix[:-1]
             known = same[:-1] | same[1:]
@@ -198,7 +185,7 @@ _SHARED_ROW = "h bigint, k bigint, m bigint"
 
 
 def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The rows whose prefix at least two documents have."""
+    """The rows whose prefix at least two texts have."""
     held = []
     for batch in batches:
         known = batch.column(3).to_numpy(zero_copy_only=False)
@@ -210,8 +197,11 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         return
     h, k, m = (np.concatenate(c) for c in zip(*held))
     held.clear()
-    order = np.argsort(h, kind="stable")
+    order = np.lexsort((m, k, h))
     h, k, m = h[order], k[order], m[order]
+    # A text listed several times counts once.
+    last = np.append((h[1:] != h[:-1]) | (k[1:] != k[:-1]), True)
+    h, k, m = h[last], k[last], m[last]
     same = np.zeros(len(h) + 1, bool)
     same[1:-1] = h[1:] == h[:-1]
     # Rows that only stand for known ones (m = 0) have been passed on already.
@@ -220,7 +210,7 @@ def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([pa.array(c[keep]) for c in (h, k, m)], ["h", "k", "m"])
 
 
-_SUFFIX_ROW = "h bigint, k bigint, r bigint, at binary, before int, words binary"
+_SUFFIX_ROW = "h bigint, d binary, r bigint, at binary, before int, words binary"
 
 
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -229,7 +219,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rows: list[tuple] = []
         size = 0
         for i in range(batch.num_rows):
-            k, r = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
+            d, r = batch.column(0)[i].as_py(), batch.column(1)[i].as_py()
             data = batch.column(2)[i].as_py() or b""
             wanted = np.sort(batch.column(3)[i].values.to_numpy().view(np.uint64))
             position, prefix = anchors(word_hashes(data))
@@ -243,7 +233,7 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 around = b" ".join(data[starts[low] : ends[high - 1]].split())
                 folded.setdefault((h, at - low, around), []).append(at)
             for (h, before, around), at in folded.items():
-                rows.append((h, k, r, np.array(at, np.int64).tobytes(), before, around))
+                rows.append((h, d, r, np.array(at, np.int64).tobytes(), before, around))
                 size += len(around) + 8 * len(at)
                 if size >= 1 << 23:
                     yield _suffix_batch(rows)
@@ -253,13 +243,13 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _suffix_batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.int64(), pa.int64(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
+    kinds = [pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int32(), pa.binary()]
     columns = [pa.array(c, t) for c, t in zip(zip(*rows), kinds)]
-    return pa.RecordBatch.from_arrays(columns, ["h", "k", "r", "at", "before", "words"])
+    return pa.RecordBatch.from_arrays(columns, ["h", "d", "r", "at", "before", "words"])
 
 
 def numbered(before: list[int], words: list[bytes]) -> np.ndarray:
-    """One row of word numbers for each suffix: seven words before its start, 13 from it on.
+    """One row of word numbers for each suffix: REACH words before its start, 13 from it on.
 
     Words that are not there are -1. Numbers hold within the call.
     """
@@ -304,20 +294,20 @@ def repeated_windows(tokens: np.ndarray, rank: np.ndarray) -> np.ndarray:
     return bits
 
 
-_FOUND_ROW = "k bigint, at bigint, bits bigint"
+_FOUND_ROW = "d binary, at bigint, bits bigint"
 
 
-def _found(k: np.ndarray, at: list[bytes], bits: np.ndarray) -> pa.RecordBatch:
+def _found(d: list[bytes], at: list[bytes], bits: np.ndarray) -> pa.RecordBatch:
     hit = np.flatnonzero(bits)
     positions = [np.frombuffer(at[i], np.int64) for i in hit]
     sizes = [len(p) for p in positions]
     return pa.RecordBatch.from_arrays(
         [
-            pa.array(np.repeat(k[hit], sizes)),
+            pa.array([d[i] for i, size in zip(hit, sizes) for _ in range(size)], pa.binary()),
             pa.array(np.concatenate(positions) if positions else np.zeros(0, np.int64)),
             pa.array(np.repeat(bits[hit], sizes)),
         ],
-        ["k", "at", "bits"],
+        ["d", "at", "bits"],
     )
 
 
@@ -328,64 +318,78 @@ def _subtrees(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held.clear()
         tokens = numbered(rows["before"].to_pylist(), rows["words"].to_pylist())
         bits = repeated_windows(tokens, rows["r"].to_numpy())
-        yield _found(rows["k"].to_numpy(), rows["at"].to_pylist(), bits)
+        yield _found(rows["d"].to_pylist(), rows["at"].to_pylist(), bits)
 
 
-_WINDOW_ROW = "w binary, k bigint, r bigint, at binary, bits bigint"
+_WINDOW_ROW = "w binary, d binary, r bigint, at binary, bits bigint"
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Every whole window around the suffixes of a frequent prefix, by its digest."""
     for batch in batches:
         out: list[tuple] = []
-        rows = zip(*(batch.column(name).to_pylist() for name in ("k", "r", "at", "before", "words")))
-        for k, r, at, before, around in rows:
+        rows = zip(*(batch.column(name).to_pylist() for name in ("d", "r", "at", "before", "words")))
+        for d, r, at, before, around in rows:
             words = around.split()
             for o in range(before + 1):
                 window = words[before - o : before - o + WINDOW]
                 if len(window) == WINDOW:
                     digest = xxhash.xxh3_128_digest(b" ".join(window))
-                    out.append((digest, k, r, at, 1 << o))
+                    out.append((digest, d, r, at, 1 << o))
         if out:
-            kinds = [pa.binary(), pa.int64(), pa.int64(), pa.binary(), pa.int64()]
+            kinds = [pa.binary(), pa.binary(), pa.int64(), pa.binary(), pa.int64()]
             columns = [pa.array(c, t) for c, t in zip(zip(*out), kinds)]
-            yield pa.RecordBatch.from_arrays(columns, ["w", "k", "r", "at", "bits"])
+            yield pa.RecordBatch.from_arrays(columns, ["w", "d", "r", "at", "bits"])
 
 
 def _placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         if batch.num_rows:
-            yield _found(batch.column(0).to_numpy(), batch.column(1).to_pylist(), batch.column(2).to_numpy())
+            yield _found(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2).to_numpy())
 
 
-def found_windows(docs: DataFrame, n_words: int, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Windows that a lesser document has: ``k, at, bits`` (bit o: it starts o words before ``at``).
+def found_windows(texts: DataFrame, copies: DataFrame, size: int, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Windows that a lesser document has: ``d, at, bits`` (bit o: it starts o words before ``at``).
 
-    ``docs`` has ``k`` (one row each), the rank ``r`` and ``text`` as bytes; ``n_words`` is the
-    number of words in all, by which tasks are sized.
+    ``texts`` has the digest ``d``, its short form ``k``, the rank ``r`` and ``text`` as bytes;
+    ``copies`` tells of digests with several rows which rank stands for them. ``size`` is the
+    number of bytes of all texts, by which tasks are sized.
     """
-    width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    # About two anchors for every nine words.
-    tasks = max(width, -(-n_words * 2 // 9 // PREFIXES_PER_TASK))
-    rows = docs.select("k", "text").mapInArrow(_prefix_rows, _PREFIX_ROW)
+    width = int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = texts.select("k", "text").mapInArrow(_prefix_rows, _PREFIX_ROW)
     anywhere = F.xxhash64("h", "k")
-    dealt = rows.repartition(tasks, F.when(F.col("known"), anywhere).otherwise(F.col("h")))
-    shared = stored(dealt.mapInArrow(_shared, _SHARED_ROW), "substring-prefixes")
+    dealt = rows.repartition(
+        max(width, -(-size // BYTES_PER_TASK)), F.when(F.col("known"), anywhere).otherwise(F.col("h"))
+    )
+    shared = stored(dealt.mapInArrow(_shared, _SHARED_ROW), "substring-prefixes", free=True)
+    # Known prefixes of a text listed in several batches come several times.
+    shared = stored(shared.groupBy("h", "k").agg(F.max("m").alias("m")), "substring-shared")
     total = shared.agg(F.sum("m")).first()[0] or 0
     often = shared.groupBy("h").agg(F.sum("m").alias("n")).where(F.col("n") > hot_rows)
     hot = stored(often.select("h"), "substring-long")
     listed = shared.groupBy("k").agg(F.collect_list("h").alias("hs"))
-    suffixes = (
-        docs.join(listed, "k").select("k", "r", "text", "hs").mapInArrow(_suffixes, _SUFFIX_ROW)
+    # Digests that share their short form: one, but for chance.
+    of_copies = copies.groupBy("k").agg(F.collect_list(F.struct("d", "least", "twice")).alias("copies"))
+    own = F.get(F.filter("copies", lambda c: c["d"] == F.col("d")), F.lit(0))
+    docs = (
+        texts.join(listed.join(of_copies, "k", "left"), "k")
+        .select("d", "r", "text", "hs", own.alias("own"))
+        .where(F.col("own").isNull() | (F.col("r") == F.col("own.least")))
     )
+    columns = ["d", "r", "text", "hs"]
+    if not copies.where("twice").isEmpty():
+        # A document listed several times is read once.
+        again = F.coalesce(F.col("own.twice"), F.lit(False))
+        docs = docs.where(~again).unionByName(docs.where(again).dropDuplicates(["d"]))
+    suffixes = docs.select(*columns).mapInArrow(_suffixes, _SUFFIX_ROW)
     tasks = max(width, -(-total // ROWS_PER_TASK))
 
     def grown(part: DataFrame) -> DataFrame:
         return part.repartition(tasks, "h").mapInArrow(_subtrees, _FOUND_ROW)
 
     if hot.isEmpty():
-        return stored(grown(suffixes), "substring-windows")
-    suffixes = stored(suffixes, "substring-suffixes")
+        return stored(grown(suffixes), "substring-windows", free=True)
+    suffixes = stored(suffixes, "substring-suffixes", free=True)
     windows = stored(
         lookup(suffixes, hot, ["h"], "left_semi").mapInArrow(_windows, _WINDOW_ROW), "substring-hot"
     )
@@ -394,9 +398,9 @@ def found_windows(docs: DataFrame, n_words: int, hot_rows: int = HOT_ROWS) -> Da
         "substring-least",
     )
     judged = lookup(windows, least.select("w", "least"), ["w"]).where(F.col("r") > F.col("least"))
-    long = judged.select("k", "at", "bits").mapInArrow(_placed, _FOUND_ROW)
+    long = judged.select("d", "at", "bits").mapInArrow(_placed, _FOUND_ROW)
     usual = grown(lookup(suffixes, hot, ["h"], "left_anti"))
-    return stored(usual.unionByName(long), "substring-windows")
+    return stored(usual.unionByName(long), "substring-windows", free=True)
 
 
 _CUT = T.StructType(
@@ -431,7 +435,7 @@ def cut(texts: pa.Array, whole: pa.Array, found: pa.Array) -> pa.Array:
         data = text.as_py() or b""
         starts, ends = places(data)
         n = len(starts)
-        if everything.as_py():
+        if everything.as_py() and n >= WINDOW:
             gone = np.ones(n, bool)
         elif windows.is_valid:
             at, bits = (windows.values.field(i).to_numpy() for i in range(2))
@@ -456,35 +460,35 @@ def deduplicate(
     ``cut`` has ``kept`` (the words left, joined by one space), ``n_words``, ``n_removed`` and
     ``spans``, the maximal runs of removed words.
     """
-    whole = stored(
-        df.select(
-            F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"),
-            F.monotonically_increasing_id().alias("at"),
-        ),
-        "substring-rows",
+    row = F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row")
+    data = F.coalesce(F.col(f"`{text}`").cast("binary"), F.lit(b""))
+    digest = F.unhex(F.substring(F.sha2(data, 256), 1, 32))
+    rank = F.coalesce(F.col(f"`{row_id}`").cast("bigint"), F.lit(_LAST))
+    texts = df.select(digest.alias("d"), rank.alias("r"), data.alias("text")).select(
+        "d", F.xxhash64("d").alias("k"), "r", "text"
     )
-    source = whole.select(
-        "at",
-        F.col("row").getField(text).cast("binary").alias("text"),
-        F.coalesce(F.col("row").getField(row_id).cast("bigint"), F.lit(_LAST)).alias("r"),
+    listed = texts.groupBy("d", "k", "r").agg(
+        F.count("*").alias("n"), F.sum(F.octet_length("text")).alias("size")
     )
-    counted = source.select("at", "r", "text").mapInArrow(
-        _words_of, "at bigint, r bigint, digest binary, n bigint"
+    grouped = stored(
+        listed.groupBy("d", "k").agg(
+            F.min(F.struct("r", "n")).alias("first"), F.count("*").alias("c"), F.sum("size").alias("size")
+        ),
+        "substring-digests",
     )
-    narrow = stored(counted, "substring-digests")
-    first = F.min(F.struct("r", "at")).alias("first")
-    several = narrow.where(F.col("n") >= WINDOW).groupBy("digest").agg(first, F.count("*").alias("c"))
-    copied = several.where("c > 1").select("digest", F.col("first.r").alias("least"), F.col("first.at").alias("k"))
-    named = lookup(narrow, stored(copied, "substring-copies"), ["digest"], "left").select(
-        "at", "n", F.coalesce("k", "at").alias("k"), F.coalesce(F.col("r") > F.col("least"), F.lit(False)).alias("whole")
+    size = grouped.agg(F.sum("size")).first()[0] or 0
+    several = (F.col("c") > 1) | (F.col("first.n") > 1)
+    copies = stored(
+        grouped.where(several).select(
+            "d", "k", F.col("first.r").alias("least"), (F.col("first.n") > 1).alias("twice")
+        ),
+        "substring-copies",
     )
-    named = stored(named, "substring-named")
-    alone = named.where((F.col("at") == F.col("k")) & (F.col("n") >= WINDOW))
-    n_words = alone.agg(F.sum("n")).first()[0] or 0
-    docs = source.join(alone.select("at"), "at").select(F.col("at").alias("k"), "r", "text")
-    found = found_windows(docs, n_words, hot_rows)
-    listed = found.groupBy("k").agg(F.collect_list(F.struct("at", "bits")).alias("found"))
-    judged = named.join(listed, "k", "left").select("at", "whole", "found")
-    return whole.join(judged, "at").select(
-        "row", cut(F.col("row").getField(text).cast("binary"), "whole", "found").alias("cut")
+    found = found_windows(texts, copies, size, hot_rows)
+    windows = found.groupBy("d").agg(F.collect_list(F.struct("at", "bits")).alias("found"))
+    known = windows.join(copies.select("d", "least"), "d", "full")
+    judged = df.select(row, digest.alias("d"), rank.alias("r")).join(known, "d", "left")
+    whole = F.coalesce(F.col("r") > F.col("least"), F.lit(False))
+    return judged.select(
+        "row", cut(F.col("row").getField(text).cast("binary"), whole, "found").alias("cut")
     )

@@ -1,0 +1,171 @@
+"""Contracts that change: the version valid at each message, in tables and in streams."""
+
+from __future__ import annotations
+
+import random
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import rows
+from test_streaming import landing
+from wharf.operators import contracts
+from wharf.streaming import ledgers, routes
+
+MESSAGE = "id string, topic string, payload binary, attributes map<string,string>, seq bigint"
+CHANGE = "topic string, op string, required_fields array<struct<name string, type string>>, seq bigint"
+LOG = (
+    "kind string, id string, topic string, payload binary, attributes map<string,string>, seq bigint, "
+    "op string, required_fields array<struct<name string, type string>>"
+)
+
+
+def register(topic, seq, *names):
+    return (topic, "register", [(n, "NUMBER") for n in names], seq)
+
+
+def remove(topic, seq):
+    return (topic, "unregister", None, seq)
+
+
+def message(n, topic, seq, payload=b'{"a": 1}'):
+    return (f"m{n}", topic, payload, {}, seq)
+
+
+def logs(seed):
+    rng = random.Random(seed)
+    topics = ["hot"] * 6 + ["cold", "rare", None]
+    messages = [
+        message(n, rng.choice(topics), rng.choice([rng.randrange(-50, 300), None]) if n % 9 == 0 else rng.randrange(-50, 300))
+        for n in range(300)
+    ]
+    changes = []
+    for seq in rng.sample(range(-60, 290), 90):
+        topic = rng.choice(["hot", "hot", "cold", "rare"])
+        names = rng.choice([("a",), ("a", "b"), ("b",), ()])
+        changes.append(remove(topic, seq) if rng.random() < 0.25 else register(topic, seq, *names))
+    return messages, changes
+
+
+def bound(messages, changes):
+    out = {}
+    for m in messages:
+        before = [c for c in changes if c[0] == m[1] and m[4] is not None and c[3] <= m[4]]
+        last = max(before, key=lambda c: c[3], default=None)
+        fields = last[2] if last and last[1] == "register" else None
+        out[m[0]] = None if fields is None else [n for n, _ in fields]
+    return out
+
+
+@pytest.mark.parametrize("seed, few, span", [(1, 1000, 1 << 20), (1, 0, 16), (2, 0, 1 << 20), (3, 0, 7)])
+def test_every_message_has_the_contract_of_its_place(spark, seed, few, span):
+    messages, changes = logs(seed)
+    df = spark.createDataFrame(messages, MESSAGE).repartition(5)
+    log = spark.createDataFrame(changes, CHANGE).repartition(3)
+    out = contracts.bind_as_of(df, log, few=few, span=span)
+    assert out.columns == [*df.columns, "required_fields"]
+    got = {r.id: r.required_fields and [f.name for f in r.required_fields] for r in out.collect()}
+    want = bound(messages, changes)
+    assert {k: v or None for k, v in got.items()} == {k: v or None for k, v in want.items()}
+    assert out.count() == len(messages)
+    # A list without fields is a contract too: the payload must be an object.
+    strange = spark.createDataFrame([message(0, "t", 5, b"[1]"), message(1, "t", 3, b"[1]")], MESSAGE)
+    free = spark.createDataFrame([register("t", 4)], CHANGE)
+    refused = contracts.violations(contracts.check_as_of(strange, free, few=few, span=span))
+    assert rows(refused.select("id")) == [("m0",)]
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_changes_at_one_place_and_no_changes(spark, few):
+    df = spark.createDataFrame([message(0, "t", 4), message(1, "t", 5), message(2, "u", 5)], MESSAGE)
+    same = [remove("t", 5), register("t", 5, "b"), register("t", None, "a")]
+    log = spark.createDataFrame(same, CHANGE)
+    checked = contracts.check_as_of(df, log, few=few)
+    assert rows(contracts.violations(checked).select("id", "field_name")) == [("m1", "b")]
+    none = contracts.check_as_of(df, log.limit(0), few=few)
+    assert contracts.violations(none).count() == 0 and none.count() == 3
+
+
+def test_topics_of_many_versions_are_cut_into_blocks(spark):
+    messages, changes = logs(4)
+    df, log = spark.createDataFrame(messages, MESSAGE), spark.createDataFrame(changes, CHANGE)
+    out = contracts.bind_as_of(df, log, span=8, few=0)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    # Windows run over (topic, block), never over a whole topic alone.
+    windows = [line for line in plan.split("\n") if " Window [" in line]
+    assert windows and any("__block" in line for line in windows)
+    for operator in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python"):
+        assert operator not in plan
+
+
+def log_rows(messages, changes):
+    said = [("message", i, t, p, a, s, None, None) for i, t, p, a, s in messages]
+    return said + [("change", None, t, None, None, s, op, fields) for t, op, fields, s in changes]
+
+
+@pytest.mark.parametrize("few", [0, contracts.FEW_VERSIONS])
+def test_stream_sees_changes_midway(spark, tmp_path, few):
+    messages, changes = logs(6)
+    messages = [m for m in messages if m[4] is not None and m[1] is not None]
+    land, stream, trigger = landing(spark, tmp_path / "in", LOG)
+    ledger = ledgers.VersionedContractLedger(spark, str(tmp_path / "ledger"), few=few, span=16)
+    for low, high in ((-100, 40), (40, 41), (41, 180), (180, 400)):
+        step = log_rows(
+            [m for m in messages if low <= m[4] < high], [c for c in changes if low <= c[3] < high]
+        )
+        if step:
+            land(step)
+        routes.finish([ledger.start(stream(), trigger)])
+    whole = spark.createDataFrame(messages, MESSAGE)
+    want = contracts.violations(contracts.check_as_of(whole, spark.createDataFrame(changes, CHANGE)))
+    assert rows(ledger.quarantine()) == rows(want)
+    assert ledger.valid().count() + ledger.quarantine().count() == len(messages)
+
+
+def test_late_messages_and_late_changes(spark, tmp_path):
+    land, stream, trigger = landing(spark, tmp_path / "in", LOG)
+    ledger = ledgers.VersionedContractLedger(spark, str(tmp_path / "ledger"))
+    land(log_rows([message(1, "t", 10)], [register("t", 5, "a"), register("t", 20, "b")]))
+    # A message from before the second version is checked by the first.
+    land(log_rows([message(2, "t", 12), message(3, "t", 25)], []))
+    # A change that comes late leaves m1 and m2 as they are, and counts for m4.
+    land(log_rows([message(4, "t", 13), message(5, "t", 7)], [register("t", 9, "c")]))
+    land(log_rows([], [remove("t", 30)]))
+    land(log_rows([message(6, "t", 29), message(7, "t", 31)], []))
+    routes.finish([ledger.start(stream(), trigger)])
+    got = ledger.quarantine().select("id", "field_name")
+    assert rows(got) == [("m3", "b"), ("m4", "c"), ("m6", "b")]
+    assert rows(ledger.versions().select("seq")) == [(20,), (30,), (5,), (9,)]
+
+
+def test_versions_before_the_horizon_are_forgotten(spark, tmp_path):
+    ledger = ledgers.VersionedContractLedger(spark, str(tmp_path / "ledger"), horizon=10)
+
+    def step(n, messages, changes):
+        ledger.process(spark.createDataFrame(log_rows(messages, changes), LOG), n)
+
+    step(0, [message(1, "t", 1)], [register("t", 0, "b"), register("t", 8, "c"), register("u", 2, "b")])
+    assert rows(ledger.versions().select("seq")) == [(0,), (2,), (8,)]
+    step(1, [message(2, "t", 9)], [register("t", 30, "a")])
+    # What held at the horizon (20) is kept, and what is later.
+    assert rows(ledger.versions().select("topic", "seq")) == [("t", 30), ("t", 8), ("u", 2)]
+    step(2, [message(3, "t", 19), message(4, "u", 50), message(5, "t", 3)], [])
+    assert rows(ledger.quarantine().select("id", "field_name")) == [
+        ("m1", "b"),
+        ("m2", "c"),
+        ("m3", "c"),
+        ("m4", "b"),
+    ]
+    # A replay starts from the same versions.
+    step(2, [message(3, "t", 19), message(4, "u", 50), message(5, "t", 3)], [])
+    assert ledger.quarantine().count() == 4
+
+
+def test_failing_policy_stops_at_a_refused_message(spark, tmp_path):
+    ledger = ledgers.VersionedContractLedger(spark, str(tmp_path / "ledger"), fail=True)
+    ledger.process(spark.createDataFrame(log_rows([message(1, "t", 1)], [register("t", 0, "a")]), LOG), 0)
+    assert ledger.valid().count() == 1
+    bad = log_rows([message(2, "t", 3)], [register("t", 2, "zz")])
+    with pytest.raises(Exception, match="missing required field"):
+        ledger.process(spark.createDataFrame(bad, LOG), 1)
+    assert rows(ledger.versions().select(F.col("seq"))) == [(0,)]

@@ -701,6 +701,29 @@ def contract_violations(spark: SparkSession, sf: str) -> DataFrame:
     return contracts.violations(_checked(spark, sf))
 
 
+def _versioned(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Payloads in the order of their events, and the changes of their contracts among them."""
+    events = X.table(spark, sf, "events")
+    messages = X.payload_cases(events).select(
+        "id", "topic", "payload", "attributes", F.col("event_id").alias("seq")
+    )
+    return messages, X.schema_changes(events)
+
+
+@query
+def contract_asof(spark: SparkSession, sf: str) -> DataFrame:
+    """Every message by the contract valid at it; contracts change all the time."""
+    return contracts.violations(contracts.check_as_of(*_versioned(spark, sf)))
+
+
+@query
+def contract_asof_few(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with one change in 500 events, few enough to be broadcast as intervals."""
+    messages, changes = _versioned(spark, sf)
+    rare = changes.where(F.col("seq") % 500 == 0)
+    return contracts.violations(contracts.check_as_of(messages, rare, few=1 << 20))
+
+
 @query
 def contract_report(spark: SparkSession, sf: str) -> DataFrame:
     return contracts.report(_checked(spark, sf))
@@ -899,6 +922,61 @@ def stream_kinesis_ack(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.commits()
 
 
+#: Unacked rows at which the consumer of the capped stream is sent back.
+CAP = 50
+
+
+@query
+def stream_ack_cap(spark: SparkSession, sf: str) -> DataFrame:
+    """A capped consumer in three sessions: each reads on where the ledger sends it.
+
+    The first session acks ten of eleven rows, the second four of five of what comes again, the
+    third all. Acks of the first session that come later are refused.
+    """
+    messages = X.event_messages(X.table(spark, sf, "events")).select(
+        "event_id", "id", "topic", "part", "off"
+    )
+    folder = work_folder(spark, "capped")
+    ledger = ledgers.CappedAckLedger(spark, f"{folder}/ledger", CAP)
+    _, trigger = route_streams.intake()
+    n = F.col("event_id")
+    for step, acked in enumerate((X.is_acked(), n % 5 != 0, F.lit(True))):
+        epoch = F.lit(ledger.epoch())
+        read = positions.kafka_read_from(messages, settle(ledger.starts()))
+
+        def entry(kind: str, ack_no: int | None, session: Column) -> Column:
+            seq = F.lit(None) if ack_no is None else X.ack_seq() + ack_no * X.ACK_RANGE
+            return F.struct(
+                F.lit(kind).alias("kind"), seq.cast("bigint").alias("ack_seq"), session.cast("bigint").alias("epoch")
+            )
+
+        entries = F.array_compact(
+            F.array(
+                entry("delivered", None, epoch),
+                F.when(acked, entry("ack", step, epoch)),
+                F.when((n % 29 == 0) & F.lit(step > 0), entry("ack", step + 5, F.lit(0))),
+            )
+        )
+        log = read.select("id", "topic", "part", "off", F.inline(entries))
+        log.write.mode("append").parquet(f"{folder}/log")
+        stream = spark.readStream.schema(log.schema).parquet(f"{folder}/log")
+        route_streams.finish([ledger.start(stream, trigger)])
+    moved = ledger.commits().select(
+        F.lit("commit").alias("event"), "topic", "part", F.col("at_ack").alias("at"), F.col("commit_offset").alias("position")
+    )
+    sent = ledger.seeks().select(
+        F.lit("seek").alias("event"), "topic", "part", F.col("epoch").alias("at"), F.col("seek_to").alias("position")
+    )
+    refused = ledger.refused().select(
+        F.lit("refused").alias("event"),
+        F.lit("").alias("topic"),
+        F.lit("").alias("part"),
+        F.col("ack_seq").alias("at"),
+        F.substring_index("id", "-", -1).cast("bigint").alias("position"),
+    )
+    return moved.unionByName(sent).unionByName(refused)
+
+
 @query
 def stream_breaker(spark: SparkSession, sf: str) -> DataFrame:
     ledger = ledgers.BreakerLedger(spark, work_folder(spark, "breaker"), 3)
@@ -920,3 +998,17 @@ def stream_contracts(spark: SparkSession, sf: str) -> DataFrame:
     return kept.unionByName(
         ledger.quarantine().select("id", F.lit("quarantine").alias("side"))
     )
+
+
+@query
+def stream_contracts_asof(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages and changes of their contracts in one stream; the versions are carried along."""
+    messages, changes = _versioned(spark, sf)
+    log = messages.withColumn("kind", F.lit("message")).unionByName(
+        changes.withColumn("kind", F.lit("change")), allowMissingColumns=True
+    )
+    ledger = ledgers.VersionedContractLedger(spark, work_folder(spark, "versions"))
+    _, trigger = route_streams.intake()
+    for entries in _arrive(log, "versioned", "seq"):
+        route_streams.finish([ledger.start(entries, trigger)])
+    return ledger.quarantine()

@@ -206,6 +206,61 @@ current AS (
   SELECT topic, definition FROM changes
   QUALIFY row_number() OVER (PARTITION BY topic ORDER BY seq DESC) = 1 AND registers)"""
 
+_CAPPED = """
+, s0 AS (SELECT topic, part, off, CASE WHEN acked THEN ack_seq END AS ack FROM msg),
+k1 AS (SELECT topic, part, min(off) AS seek FROM s0 WHERE ack IS NULL GROUP BY ALL),
+s1 AS (
+  SELECT topic, part, off, CASE WHEN off % 5 <> 0 THEN ack_seq + 100003 END AS ack
+  FROM msg JOIN k1 USING (topic, part) WHERE off >= seek),
+k2 AS (SELECT topic, part, min(off) AS seek FROM s1 WHERE ack IS NULL GROUP BY ALL),
+s2 AS (SELECT topic, part, off, ack_seq + 200006 AS ack FROM msg JOIN k2 USING (topic, part) WHERE off >= seek),
+sessions AS (SELECT 0 AS s, * FROM s0 UNION ALL SELECT 1, * FROM s1 UNION ALL SELECT 2, * FROM s2),
+along AS (
+  SELECT *, bool_and(ack IS NOT NULL) OVER upto AS whole, max(ack) OVER upto AS at_ack
+  FROM sessions WINDOW upto AS (PARTITION BY s, topic, part ORDER BY off))
+SELECT 'commit' AS event, topic, part, at_ack AS at, max(off) + 1 AS position
+FROM along WHERE whole GROUP BY s, topic, part, at_ack
+UNION ALL SELECT 'seek', topic, part, 1, seek FROM k1
+UNION ALL SELECT 'seek', topic, part, 2, seek FROM k2
+UNION ALL SELECT 'refused', '', '', ack_seq + 600018, off FROM msg JOIN s1 USING (topic, part, off) WHERE off % 29 = 0
+UNION ALL SELECT 'refused', '', '', ack_seq + 700021, off FROM msg JOIN s2 USING (topic, part, off) WHERE off % 29 = 0"""
+
+
+def _asof(only: str = "") -> str:
+    """Violations by the contract valid at each message: its first one to three of the fields."""
+    return f"""
+, fields AS (
+  SELECT topic, seq, registers, CASE WHEN registers THEN len(string_split(definition, '"name"')) - 1 ELSE 0 END AS wide
+  FROM changes WHERE true{only}),
+placed AS (
+  SELECT n.*, f.wide FROM (
+    SELECT named.*, off FROM named JOIN msg USING (id)) n
+  ASOF LEFT JOIN fields f ON n.topic = f.topic AND n.off >= f.seq),
+judged AS (
+  SELECT id, topic, wide,
+    CASE WHEN p = '' THEN 'empty payload'
+         WHEN root = 'NULL' THEN 'non-JSON payload: empty document'
+         WHEN root IS NULL AND kind IN (1, 2) THEN 'non-JSON payload: trailing content after JSON value'
+         WHEN root IS NULL THEN 'non-JSON payload: malformed document'
+         WHEN root <> 'OBJECT' THEN 'expected JSON object at root, got ' || root END AS document,
+    CASE WHEN t_id IS DISTINCT FROM 'STRING' THEN 'id'
+         WHEN wide >= 2 AND t_amount IS DISTINCT FROM 'NUMBER' THEN 'amount'
+         WHEN wide >= 3 AND t_paid IS DISTINCT FROM 'BOOLEAN' THEN 'paid' END AS field,
+    CASE WHEN t_id IS NULL THEN 'missing required field'
+         WHEN t_id <> 'STRING' THEN 'expected STRING, got ' || t_id
+         WHEN wide >= 2 AND t_amount IS NULL THEN 'missing required field'
+         WHEN wide >= 2 AND t_amount <> 'NUMBER' THEN 'expected NUMBER, got ' || t_amount
+         WHEN wide >= 3 AND t_paid IS NULL THEN 'missing required field'
+         WHEN wide >= 3 AND t_paid <> 'BOOLEAN' THEN 'expected BOOLEAN, got ' || t_paid END AS field_reason
+  FROM placed WHERE wide >= 1),
+refused AS (
+  SELECT id, topic, CASE WHEN document IS NULL THEN field END AS field_name,
+         coalesce(document, field_reason) AS reason FROM judged)
+SELECT id, topic, field_name, reason, 'topic=' || topic
+  || CASE WHEN field_name IS NULL THEN '' ELSE ' field=' || field_name END
+  || ' reason=' || reason AS message FROM refused WHERE reason IS NOT NULL"""
+
+
 _DEFINITIONS = """
 definitions AS (
   SELECT event_id, event_id % 14 AS kind, CASE event_id % 14
@@ -762,6 +817,8 @@ def all_sql() -> dict[str, str]:
         select="""SELECT topic, field_name, reason, count(*) AS messages
         FROM verdicts WHERE reason IS NOT NULL GROUP BY ALL""",
     )
+    sql["contract_asof"] = _with(_EVENTS, _PAYLOADS, _CHANGES, select=_asof())
+    sql["contract_asof_few"] = _with(_EVENTS, _PAYLOADS, _CHANGES, select=_asof(" AND seq % 500 = 0"))
     sides = """SELECT id, CASE WHEN reason IS NULL THEN 'valid' ELSE 'quarantine' END AS side
         FROM verdicts"""
     sql["quarantine_split"] = _with(_EVENTS, _PAYLOADS, select=sides)
@@ -801,4 +858,6 @@ def all_sql() -> dict[str, str]:
     )
     sql["stream_breaker"] = _with(_OUTCOMES, select=trips)
     sql["stream_contracts"] = _with(_EVENTS, _PAYLOADS, select=sides)
+    sql["stream_contracts_asof"] = sql["contract_asof"]
+    sql["stream_ack_cap"] = _with(_EVENTS, select=_CAPPED)
     return sql

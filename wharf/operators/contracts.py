@@ -4,13 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Callable, Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wharf.functions import json as J
 from wharf.functions.once import once, with_once
 from wharf.functions.text import is_blank
-from wharf.plans.joins import lookup
+from wharf.plans.joins import fits, lookup
+from wharf.plans.running import SPAN, Running, running
 from wharf.schemas import REQUIRED_FIELDS
+from wharf.session import settle
 
 Validator = Callable[[Column], Column]
 
@@ -245,6 +247,89 @@ def check(
     return validate(bound, validators).drop("required_fields")
 
 
+#: Versions of one topic that are held against each of its messages in a broadcast join.
+FEW_VERSIONS = 64
+
+
+def versions(changes: DataFrame) -> DataFrame:
+    """The change log with one row for each topic and ``seq``.
+
+    Of several changes at one place a registration counts more than the removal.
+    """
+    change = F.struct((F.col("op") == "register").alias("on"), "required_fields")
+    latest = changes.where(F.col("seq").isNotNull()).groupBy("topic", "seq").agg(F.max(change).alias("c"))
+    fields = F.when(F.col("c.on"), F.col("c.required_fields"))
+    op = F.when(F.col("c.on"), "register").otherwise("unregister")
+    return latest.select("topic", op.alias("op"), fields.alias("required_fields"), "seq")
+
+
+def bind_as_of(
+    messages: DataFrame,
+    changes: DataFrame,
+    at: str = "seq",
+    span: int = SPAN,
+    few: int = FEW_VERSIONS,
+) -> DataFrame:
+    """Add ``required_fields``: the contract that was valid at each message (null: none).
+
+    ``changes`` is a change log ``(topic, op, required_fields, seq)`` in the same order as the
+    messages' column ``at``. A message is bound to the last change at or before it; a removal, or
+    nothing before it, leaves it without a contract, as does a missing ``at``.
+
+    With few versions a topic they are broadcast as intervals. Else messages and changes run along
+    the topic together: the last change is a running maximum over blocks of positions, so neither
+    the messages nor the versions of a hot topic meet in one task.
+    """
+    known = settle(versions(changes))
+    of_topic = known.groupBy("topic").agg(F.count("*").alias("n"))
+    most = of_topic.agg(F.max("n")).first()[0] or 0
+    kept = [F.col(f"`{c}`") for c in messages.columns if c != "required_fields"]
+    place = F.col(f"`{at}`").cast("bigint")
+    if most <= few and fits(known):
+        following = F.lead("seq").over(Window.partitionBy("topic").orderBy("seq"))
+        intervals = known.select(
+            F.col("topic").alias("__topic"),
+            F.col("seq").alias("__from"),
+            following.alias("__to"),
+            "required_fields",
+        )
+        inside = (place >= F.col("__from")) & (F.col("__to").isNull() | (place < F.col("__to")))
+        found = messages.select(*kept).join(
+            F.broadcast(intervals), (F.col("topic") == F.col("__topic")) & inside, "left"
+        )
+        return found.drop("__topic", "__from", "__to")
+    # A change comes before the messages at its place.
+    marks = known.select("topic", (F.col("seq") * 2).alias("__at"), F.col("seq").alias("__version"))
+    rows = messages.select(*kept, (place * 2 + 1).alias("__at"), F.lit(True).alias("__message"))
+    along = running(
+        rows.unionByName(marks, allowMissingColumns=True),
+        ["topic"],
+        "__at",
+        {"__valid": Running("max", F.col("__version"))},
+        span,
+    ).where("__message")
+    named = along.withColumn("__valid", F.when(F.col("__at").isNotNull(), F.col("__valid")))
+    bound = lookup(
+        named.drop("__at", "__message", "__version"),
+        known.select("topic", F.col("seq").alias("__valid"), "required_fields"),
+        ["topic", "__valid"],
+        "left",
+    )
+    return bound.select(*kept, "required_fields")
+
+
+def check_as_of(
+    messages: DataFrame,
+    changes: DataFrame,
+    at: str = "seq",
+    validators: Mapping[str, Validator] | None = None,
+    span: int = SPAN,
+    few: int = FEW_VERSIONS,
+) -> DataFrame:
+    """Validate every message by the contract that was valid at it."""
+    return validate(bind_as_of(messages, changes, at, span, few), validators).drop("required_fields")
+
+
 def message_of(topic: Column, field: Column, reason: Column) -> Column:
     return F.concat(
         F.lit("topic="),

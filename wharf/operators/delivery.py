@@ -213,12 +213,16 @@ def refused_acks(delivered: DataFrame, acks: DataFrame, session: str | None = No
         rows = lookup(rows, first, ["id"], "left")
         earlier = strange & (F.col("__first") < F.col(session))
         cause = F.when(earlier, "of an earlier session").otherwise(cause)
-    text = F.concat(F.lit(UNKNOWN_ACK_HEAD), F.col("id"), F.lit(UNKNOWN_ACK_TAIL))
     return rows.where(strange | (F.col("ack_seq") > F.col("first_seq"))).select(
-        *keys, "ack_seq", cause.alias("cause"), text.alias("message")
+        *keys, "ack_seq", cause.alias("cause"), refusal(F.col("id")).alias("message")
     )
 
 
+def refusal(message_id: Column) -> Column:
+    """The text that refuses an ack."""
+    return F.concat(F.lit(UNKNOWN_ACK_HEAD), message_id, F.lit(UNKNOWN_ACK_TAIL))
+
+
 def latest_handles(deliveries: DataFrame) -> DataFrame:
     """The ack id to use per message: a redelivery replaces the older one."""
     return deliveries.groupBy("id").agg(

@@ -130,6 +130,19 @@ def kafka_start_options(starts: DataFrame) -> dict[str, str]:
     return {option: json.dumps(topics, sort_keys=True) for option, topics in texts.items()}
 
 
+def kafka_read_from(df: DataFrame, starts: DataFrame) -> DataFrame:
+    """The rows of a landed Kafka log (``topic, part, off``) at or after the starts of their partition.
+
+    ``starts`` has offsets, as AT_SEQUENCE_NUMBER or AFTER_SEQUENCE_NUMBER (see
+    :func:`kafka_restored`); partitions without a start are read in full.
+    """
+    after = (F.col("start_kind") == AFTER_SEQUENCE_NUMBER).cast("bigint")
+    first = starts.select("topic", "part", (F.col("start_seq").cast("bigint") + after).alias("__first"))
+    placed = lookup(df, first, ["topic", "part"], "left", null_safe=True)
+    reached = F.coalesce(F.col("off") >= F.col("__first"), F.lit(True))
+    return placed.where(reached).select(*df.columns)
+
+
 def kafka_restored(checkpoints: DataFrame) -> DataFrame:
     """Starts that continue after Kafka checkpoints (``topic, part, checkpoint``)."""
     return restored(checkpoints.withColumn("part", F.struct("topic", "part"))).select(

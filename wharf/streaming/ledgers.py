@@ -18,8 +18,9 @@ from wharf.functions import digits
 from wharf.operators import contracts, delivery, outcomes
 from wharf.plans.joins import lookup
 from wharf.plans.running import SPAN, Running
-from wharf.schemas import MESSAGE, MESSAGE_COLUMNS
+from wharf.schemas import MESSAGE, MESSAGE_COLUMNS, REQUIRED_FIELDS
 from wharf.session import settle
+from wharf.sources import positions
 from wharf.streaming import batches
 
 _OPEN = T.StructType(
@@ -66,6 +67,8 @@ _REFUSED = T.StructType(
     ]
 )
 
+_EPOCHS = T.StructType([T.StructField("epoch", T.LongType())])
+
 _STREAKS = T.StructType(
     [
         T.StructField("reg", T.StringType()),
@@ -144,7 +147,8 @@ class AckLedger(_Ledger):
         finally:
             batch.unpersist()
 
-    def _process(self, batch: DataFrame, batch_id: int) -> None:
+    def _process(self, batch: DataFrame, batch_id: int, stale: DataFrame | None = None) -> None:
+        """Fold one micro-batch; ``stale`` are further acks that are refused."""
         spark, base = batch.sparkSession, f"{self.folder}/open"
         place = [*self.keys, self.position]
         before = batches.get(spark, base, batch_id - 1, self.open_rows)
@@ -183,8 +187,10 @@ class AckLedger(_Ledger):
         batches.put(unacked.select(*names).unionByName(run.select(*names)), base, batch_id)
 
         known = waiting.select("id").unionByName(arrived.select("id"))
-        refused = delivery.refused_acks(known, acks)
-        batches.put(refused.select(*_REFUSED.fieldNames()), f"{self.folder}/refused", batch_id)
+        refused = delivery.refused_acks(known, acks).select(*_REFUSED.fieldNames())
+        if stale is not None:
+            refused = refused.unionByName(stale)
+        batches.put(refused, f"{self.folder}/refused", batch_id)
         # A replay of this micro-batch starts from the last state; older ones are done with.
         batches.forget(spark, base, batch_id - 2)
 
@@ -246,6 +252,117 @@ class ShardLedger(AckLedger):
         return delivery.merge_checkpoints(self.commits().select("part", "checkpoint"))
 
 
+class _Capped:
+    """Adds sessions to an ack ledger: a cap on what is in flight, and a reset when it is reached.
+
+    Rows of the stream have ``epoch``, the session they belong to: a delivery the one its consumer
+    was in, an ack that of the delivery it answers. Sessions are numbered from 0.
+
+    After each micro-batch the unacked rows are counted. If they reach ``cap`` (0: no cap), the
+    session ends: every partition with something open is to be read again from its first open row
+    (``seeks``), all that is open is forgotten, acks beyond the prefix included, and a new session
+    begins. Rows of an older session count for nothing from then on: its deliveries come again, its
+    acks are refused. Before it reads on, a consumer asks for the session and where to start:
+    ``epoch()`` and ``starts()``.
+
+    The session of a micro-batch is written last, so a replay finds the state it began with.
+    """
+
+    def __init__(self, spark: SparkSession, folder: str, cap: int = 0, span: int = SPAN) -> None:
+        super().__init__(spark, folder, span)
+        self.cap = cap
+
+    def _epochs(self) -> DataFrame:
+        return batches.everything(self.spark, f"{self.folder}/epochs", _EPOCHS)
+
+    def epoch(self) -> int:
+        """The session that deliveries belong to now."""
+        return self._epochs().agg(F.max("epoch")).first()[0] or 0
+
+    def _epoch_before(self, batch_id: int) -> int:
+        row = batches.get(self.spark, f"{self.folder}/epochs", batch_id - 1, _EPOCHS).first()
+        return row.epoch if row else 0
+
+    def _process(self, batch: DataFrame, batch_id: int, stale: DataFrame | None = None) -> None:
+        epoch = self._epoch_before(batch_id)
+        own = F.col("epoch").eqNullSafe(F.lit(epoch))
+        old = batch.where(~own & (F.col("kind") == "ack"))
+        refused = old.select("id", "ack_seq", delivery.refusal(F.col("id")).alias("message"))
+        super()._process(batch.where(own).drop("epoch"), batch_id, refused)
+        base = f"{self.folder}/open"
+        waiting = batches.get(self.spark, base, batch_id, self.open_rows)
+        if 0 < self.cap <= waiting.where(F.col("id").isNotNull()).count():
+            epoch += 1
+            seeks = settle(self.first_open(waiting).withColumn("epoch", F.lit(epoch).cast("bigint")))
+            batches.put(seeks, f"{self.folder}/seeks", batch_id)
+            batches.put(self.spark.createDataFrame([], self.open_rows), base, batch_id)
+        batches.put(
+            self.spark.createDataFrame([(epoch,)], _EPOCHS), f"{self.folder}/epochs", batch_id
+        )
+        batches.forget(self.spark, f"{self.folder}/epochs", batch_id - 2)
+
+    def first_open(self, waiting: DataFrame) -> DataFrame:
+        """``keys, seek_to``: the first row of each partition that is not in its acked prefix."""
+        return waiting.groupBy(*self.keys).agg(F.min(self.position).alias("seek_to"))
+
+    def seeks(self) -> DataFrame:
+        """``keys, seek_to, epoch``: where each partition was sent back to as a session began."""
+        place = self.open_rows[self.position].dataType
+        fields = [self.open_rows[k] for k in self.keys]
+        shape = T.StructType(
+            [*fields, T.StructField("seek_to", place), T.StructField("epoch", T.LongType())]
+        )
+        return batches.everything(self.spark, f"{self.folder}/seeks", shape).drop("batch_id")
+
+
+class CappedAckLedger(_Capped, AckLedger):
+    """An :class:`AckLedger` of one consumer with a cap on its unacked rows."""
+
+    def starts(self) -> DataFrame:
+        """Where the consumer reads on: ``topic, part, start_kind, start_ts, start_seq``.
+
+        A partition that was sent back starts there, unless it has committed more since; others
+        start after their last commit. Partitions without either are not moved.
+        """
+        reached = self.commits().select(*self.keys, F.col("commit_offset").alias("at"))
+        sent = self.seeks().select(*self.keys, F.col("seek_to").alias("at"))
+        ahead = reached.unionByName(sent).groupBy(*self.keys).agg(F.max("at").alias("at"))
+        return ahead.select(
+            *self.keys,
+            F.lit(positions.AT_SEQUENCE_NUMBER).alias("start_kind"),
+            F.lit(None).cast("timestamp_ntz").alias("start_ts"),
+            F.col("at").cast("string").alias("start_seq"),
+        )
+
+
+class CappedShardLedger(_Capped, ShardLedger):
+    """A :class:`ShardLedger` of one consumer with a cap on its unacked rows."""
+
+    def first_open(self, waiting: DataFrame) -> DataFrame:
+        first = F.min(digits.order(F.col("pos")))["digits"]
+        return waiting.groupBy(*self.keys).agg(first.alias("seek_to"))
+
+    def starts(self) -> DataFrame:
+        """Where the consumer reads on: ``part, start_kind, start_ts, start_seq``.
+
+        After the checkpoint, where a shard has one: what is delivered and not committed lies
+        behind it. Else where the shard was sent back to, its lowest delivered record.
+        """
+        lowest = self.seeks().groupBy("part").agg(
+            F.min(digits.order(F.col("seek_to")))["digits"].alias("__lowest")
+        )
+        both = self.checkpoints().join(lowest, "part", "full")
+        after = F.col("checkpoint").isNotNull()
+        return both.select(
+            "part",
+            F.when(after, positions.AFTER_SEQUENCE_NUMBER)
+            .otherwise(positions.AT_SEQUENCE_NUMBER)
+            .alias("start_kind"),
+            F.lit(None).cast("timestamp_ntz").alias("start_ts"),
+            F.coalesce("checkpoint", "__lowest").alias("start_seq"),
+        )
+
+
 class BreakerLedger(_Ledger):
     """Breaker trips per registration from a stream of publish outcomes.
 
@@ -329,7 +446,9 @@ class ContractLedger(_Ledger):
         self.fail = fail
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        checked = contracts.check(batch, self.schemas)
+        self.split(contracts.check(batch, self.schemas), batch_id)
+
+    def split(self, checked: DataFrame, batch_id: int) -> None:
         if self.fail:
             checked = contracts.fail_on_invalid(checked).withColumn(
                 "violation", F.lit(None).cast(_VIOLATION)
@@ -354,3 +473,72 @@ class ContractLedger(_Ledger):
 
     def quarantine(self) -> DataFrame:
         return contracts.violations(self._checked(1))
+
+
+_CHANGE = T.StructType(
+    [
+        T.StructField("topic", T.StringType()),
+        T.StructField("op", T.StringType()),
+        T.StructField("required_fields", REQUIRED_FIELDS),
+        T.StructField("seq", T.LongType()),
+    ]
+)
+
+
+class VersionedContractLedger(ContractLedger):
+    """Checks messages against the contract that was valid at each of them.
+
+    The stream has ``kind`` (message or change) and ``seq``, the common order of both; a message
+    has ``id, topic, payload, attributes``, a change ``topic, op, required_fields``. The state is the
+    versions so far, so a message that comes late is checked by the version of its place. A change
+    that comes late counts from its micro-batch on: what was checked before stays as it is.
+
+    With ``horizon``, versions that had ended that far before the newest change are forgotten, and
+    messages from before them are checked by the oldest one left of their topic, if it is not later
+    than they are (else they pass).
+    """
+
+    def __init__(
+        self,
+        spark: SparkSession,
+        folder: str,
+        horizon: int | None = None,
+        fail: bool = False,
+        span: int = SPAN,
+        few: int = contracts.FEW_VERSIONS,
+    ) -> None:
+        super().__init__(spark, folder, spark.createDataFrame([], _CHANGE), fail)
+        self.horizon, self.span, self.few = horizon, span, few
+
+    def process(self, batch: DataFrame, batch_id: int) -> None:
+        base = f"{self.folder}/versions"
+        names = _CHANGE.fieldNames()
+        before = batches.get(self.spark, base, batch_id - 1, _CHANGE)
+        fresh = batch.where("kind = 'change'").select(*names)
+        known = settle(contracts.versions(before.unionByName(fresh)))
+        # A late message of this micro-batch still finds what is forgotten after it.
+        messages = batch.where("kind = 'message'").select(*MESSAGE_COLUMNS, "seq")
+        checked = contracts.check_as_of(messages, known, "seq", span=self.span, few=self.few)
+        self.split(checked.drop("seq"), batch_id)
+        batches.put(self.lasting(known).select(*names), base, batch_id)
+        batches.forget(self.spark, base, batch_id - 2)
+
+    def lasting(self, known: DataFrame) -> DataFrame:
+        """The versions that are later than the horizon, and the last one before it of each topic."""
+        newest = known.agg(F.max("seq")).first()[0]
+        if self.horizon is None or newest is None:
+            return known
+        cut = newest - self.horizon
+        ended = settle(
+            known.where(F.col("seq") <= cut).groupBy("topic").agg(F.max("seq").alias("__last"))
+        )
+        kept = lookup(known, ended, ["topic"], "left", null_safe=True)
+        return kept.where(F.coalesce(F.col("seq") >= F.col("__last"), F.lit(True))).drop("__last")
+
+    def versions(self) -> DataFrame:
+        """The change log that is still known: ``topic, op, required_fields, seq``."""
+        rows = batches.everything(self.spark, f"{self.folder}/versions", _CHANGE)
+        if "batch_id" not in rows.columns:
+            return rows
+        last = rows.agg(F.max("batch_id")).first()[0]
+        return rows.where(F.col("batch_id") == F.lit(last)).drop("batch_id")

@@ -5,6 +5,7 @@ Each takes (spark, sf_dir) and returns a DataFrame of integer and text columns.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 from functools import reduce
 
@@ -15,8 +16,8 @@ from wharf.functions import attributes as A
 from wharf.operators import contracts, delivery, outcomes, routing
 from wharf.schemas import MESSAGE, MESSAGE_COLUMNS
 from wharf.session import configure, settle, work_folder
-from wharf.sinks import batches, results, rows, writers
-from wharf.sources import intake, positions, records
+from wharf.sinks import batches, log as segment_log, results, rows, writers
+from wharf.sources import intake, log as log_source, positions, records
 from wharf.streaming import ledgers, routes as route_streams
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -242,6 +243,32 @@ def _keyed(events: DataFrame) -> DataFrame:
     return X.event_messages(events).withColumn("attributes", attributes)
 
 
+def _segment_log(spark: SparkSession, events: DataFrame, name: str) -> str:
+    """The event messages as a segment log, in two appends."""
+    folder = work_folder(spark, name)
+    messages = X.event_messages(events).select(
+        "topic", "part", F.col("off").alias("pos"), "id", "payload", "attributes", F.col("ts").alias("arrived_at")
+    )
+    half = F.col("pos") % 2
+    for n in range(2):
+        segment_log.append(messages.where(half == n), folder, f"{n}")
+    spark.dataSource.register(log_source.MessageLog)
+    return folder
+
+
+@query
+def log_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """A scan of the segment log: one partition starts later, filters are pushed into the plan."""
+    folder = _segment_log(spark, X.table(spark, sf, "events"), "log-scan")
+    later = {("app-click", "0"): positions.Start(positions.AFTER_SEQUENCE_NUMBER, sequence="500")}
+    starts = log_source.options_of(positions.Start(positions.TRIM_HORIZON), later)
+    log = spark.read.format("message_log").options(path=folder, **starts).load()
+    wanted = log.where(F.col("topic").isin("app-click", "app-view") & (F.col("pos") >= 100))
+    return wanted.select(
+        "topic", "part", "pos", "id", F.md5("payload").alias("payload_md5"), _attributes()
+    )
+
+
 @query
 def kafka_rows(spark: SparkSession, sf: str) -> DataFrame:
     sent = rows.kafka(X.event_messages(X.table(spark, sf, "events")))
@@ -922,6 +949,28 @@ def stream_kinesis_ack(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.commits()
 
 
+@query
+def stream_fair_share(spark: SparkSession, sf: str) -> DataFrame:
+    """The segment log in fair pulls, one micro-batch each; the stream starts anew for every pull."""
+    events = X.table(spark, sf, "events")
+    folder = _segment_log(spark, events, "log-pulls")
+    sizes = {r.topic: r["count"] for r in X.event_messages(events).groupBy("topic").count().collect()}
+    topics = sorted(sizes)
+    budget = max(1, -(-sum(sizes.values()) // 4))
+    share = max(1, budget // max(1, len(topics)))
+    _, trigger = route_streams.intake()
+    for _ in range(-(-max(sizes.values(), default=0) // share)):
+        pulled = (
+            spark.readStream.format("message_log")
+            .options(path=folder, topics=json.dumps(topics), budget=budget, checkpoint=f"{folder}-offsets")
+            .load()
+        )
+        landing = writers.land_stream(pulled, f"{folder}-pulled", f"{folder}-offsets")
+        route_streams.finish([landing.trigger(**trigger).start()])
+    got = spark.read.parquet(f"{folder}-pulled")
+    return got.select("id", "topic", F.col("batch_id").cast("bigint").alias("pull"))
+
+
 #: Unacked rows at which the consumer of the capped stream is sent back.
 CAP = 50
 

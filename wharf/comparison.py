@@ -859,5 +859,19 @@ def all_sql() -> dict[str, str]:
     sql["stream_breaker"] = _with(_OUTCOMES, select=trips)
     sql["stream_contracts"] = _with(_EVENTS, _PAYLOADS, select=sides)
     sql["stream_contracts_asof"] = sql["contract_asof"]
+    sql["log_scan"] = _with(
+        _EVENTS,
+        select="""SELECT topic, part, off AS pos, id, md5(props) AS payload_md5, attributes FROM msg
+        WHERE topic IN ('app-click', 'app-view') AND off >= 100
+          AND NOT (topic = 'app-click' AND part = '0' AND off <= 500)""",
+    )
+    sql["stream_fair_share"] = _with(
+        _EVENTS,
+        select="""
+      , share AS (
+        SELECT greatest(1, ((count(*) + 3) // 4) // count(DISTINCT topic)) AS n FROM msg)
+      SELECT id, topic, (row_number() OVER (PARTITION BY topic ORDER BY off) - 1) // n AS pull
+      FROM msg, share""",
+    )
     sql["stream_ack_cap"] = _with(_EVENTS, select=_CAPPED)
     return sql

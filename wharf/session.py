@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # Filters reach the segment log's own planning.
+    "spark.sql.python.filterPushdown.enabled": "true",
 }
 
 

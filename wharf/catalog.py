@@ -19,6 +19,7 @@ from wharf.session import configure, settle, work_folder
 from wharf.sinks import batches, log as segment_log, results, rows, writers
 from wharf.sources import intake, log as log_source, positions, records
 from wharf.streaming import ledgers, routes as route_streams
+from wharf.streaming.gate import Gate
 
 Query = Callable[[SparkSession, str], DataFrame]
 _QUERIES: dict[str, Query] = {}
@@ -1035,6 +1036,32 @@ def stream_breaker(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.trips(final=True)
 
 
+@query
+def stream_gate(spark: SparkSession, sf: str) -> DataFrame:
+    """Messages through a breaker whose sink refuses one registration in the first two steps."""
+    messages = X.event_messages(X.table(spark, sf, "events")).select(
+        F.col("topic").alias("reg"), F.col("off").alias("seq"), F.col("ts").alias("at"), "id", "event_id"
+    )
+
+    def publish(rows_: DataFrame, name: str) -> DataFrame:
+        down = name in ("0-first", "1-first")
+        ok = (F.col("reg") != "app-error") | F.lit(not down)
+        return rows_.select("reg", "seq", ok.alias("ok"), F.when(~ok, "refused").alias("error"))
+
+    gate = Gate(spark, work_folder(spark, "gate"), messages.schema, publish, threshold=2)
+    _, trigger = route_streams.intake()
+    for events in _arrive(messages, "gated"):
+        route_streams.finish([gate.start(events, trigger)])
+    sent = gate.delivered().select(
+        F.lit("delivered").alias("event"), "reg", "seq", F.col("batch_id").cast("bigint").alias("step")
+    )
+    opened = gate.trips().select(
+        F.lit("opened").alias("event"), "reg", F.col("streak").alias("seq"), F.col("batch_id").cast("bigint").alias("step")
+    )
+    waiting = gate.held().select(F.lit("held").alias("event"), "reg", "seq", F.lit(-1).cast("bigint").alias("step"))
+    return sent.unionByName(opened).unionByName(waiting)
+
+
 @query
 def stream_contracts(spark: SparkSession, sf: str) -> DataFrame:
     schemas = settle(X.payload_schemas(X.table(spark, sf, "events")))

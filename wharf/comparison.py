@@ -859,6 +859,17 @@ def all_sql() -> dict[str, str]:
     sql["stream_breaker"] = _with(_OUTCOMES, select=trips)
     sql["stream_contracts"] = _with(_EVENTS, _PAYLOADS, select=sides)
     sql["stream_contracts_asof"] = sql["contract_asof"]
+    # Refused twice, opened, and let through by the probe of the last step.
+    sql["stream_gate"] = _with(
+        _EVENTS,
+        select="""
+      , steps AS (
+        SELECT topic AS reg, off AS seq, (event_id - min(event_id) OVER ()) * 3
+          // (max(event_id) OVER () - min(event_id) OVER () + 1) AS step FROM msg)
+      SELECT 'delivered' AS event, reg, seq, CASE WHEN reg = 'app-error' THEN 2 ELSE step END AS step FROM steps
+      UNION ALL SELECT 'opened', 'app-error', 2, 1 FROM steps WHERE reg = 'app-error' AND step < 2
+        GROUP BY ALL HAVING count(DISTINCT step) = 2""",
+    )
     sql["log_scan"] = _with(
         _EVENTS,
         select="""SELECT topic, part, off AS pos, id, md5(props) AS payload_md5, attributes FROM msg

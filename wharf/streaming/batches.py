@@ -20,13 +20,27 @@ def get(spark: SparkSession, base: str, batch_id: int, schema: StructType) -> Da
     return spark.read.schema(schema).parquet(f"{base}/batch_id={batch_id}")
 
 
+def _folder(spark: SparkSession, path: str):
+    """A Hadoop path and its file system."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def newest(spark: SparkSession, base: str) -> int:
+    """The last micro-batch that wrote below ``base``; -1 before the first one."""
+    place, files = _folder(spark, base)
+    if not files.exists(place):
+        return -1
+    names = [status.getPath().getName() for status in files.listStatus(place)]
+    return max((int(n.removeprefix("batch_id=")) for n in names if n.startswith("batch_id=")), default=-1)
+
+
 def forget(spark: SparkSession, base: str, batch_id: int) -> None:
     """Remove what micro-batch ``batch_id`` wrote below ``base``, if it is there."""
     if batch_id < 0:
         return
-    path = spark._jvm.org.apache.hadoop.fs.Path(f"{base}/batch_id={batch_id}")
-    files = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    files.delete(path, True)
+    place, files = _folder(spark, f"{base}/batch_id={batch_id}")
+    files.delete(place, True)
 
 
 def everything(spark: SparkSession, base: str, schema: StructType) -> DataFrame:

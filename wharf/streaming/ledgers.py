@@ -537,8 +537,5 @@ class VersionedContractLedger(ContractLedger):
 
     def versions(self) -> DataFrame:
         """The change log that is still known: ``topic, op, required_fields, seq``."""
-        rows = batches.everything(self.spark, f"{self.folder}/versions", _CHANGE)
-        if "batch_id" not in rows.columns:
-            return rows
-        last = rows.agg(F.max("batch_id")).first()[0]
-        return rows.where(F.col("batch_id") == F.lit(last)).drop("batch_id")
+        base = f"{self.folder}/versions"
+        return batches.get(self.spark, base, batches.newest(self.spark, base), _CHANGE)

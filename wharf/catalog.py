@@ -16,7 +16,7 @@ from wharf.functions import attributes as A
 from wharf.operators import contracts, delivery, outcomes, routing
 from wharf.schemas import MESSAGE, MESSAGE_COLUMNS
 from wharf.session import configure, settle, work_folder
-from wharf.sinks import batches, log as segment_log, results, rows, writers
+from wharf.sinks import batches, log as segment_log, reporting, results, rows, writers
 from wharf.sources import intake, log as log_source, positions, records
 from wharf.streaming import ledgers, routes as route_streams
 from wharf.streaming.gate import Gate
@@ -1036,6 +1036,41 @@ def stream_breaker(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.trips(final=True)
 
 
+@query
+def stream_entry_report(spark: SparkSession, sf: str) -> DataFrame:
+    """The event messages through a sink that reports every entry; refusals stop nothing."""
+    folder, answer = work_folder(spark, "reported"), reporting.Sent
+
+    def broker(stream: str, entries: list) -> list:
+        """Refuses one payload value in ten and deals the rest to four shards."""
+        values = [int(json.loads(data)["k"]) for _, data in entries]
+        return [
+            answer(None, None, "Throttled", f"{stream} is busy")
+            if value % 10 == 3
+            else answer(f"shard-{value % 4}", f"{key}{value:04d}")
+            for (key, _), value in zip(entries, values)
+        ]
+
+    spark.dataSource.register(reporting.reporting_sink("wharf_reporting", broker))
+    _, trigger = route_streams.intake()
+    for events in _arrive(X.table(spark, sf, "events"), "reported"):
+        entries = X.event_messages(events).select(
+            F.col("topic").alias("reg"),
+            F.col("off").alias("idx"),
+            "id",
+            F.concat(F.lit("stream-"), F.col("part")).alias("stream"),
+            F.col("user_id").cast("string").alias("key"),
+            F.col("payload").alias("data"),
+        )
+        sent = entries.writeStream.format("wharf_reporting").option("outcomes", folder)
+        started = sent.option("checkpointLocation", f"{folder}-offsets").trigger(**trigger).start()
+        route_streams.finish([started])
+    message_id = F.when(F.col("ok"), F.concat_ws(":", "shard_id", "sequence_number"))
+    return reporting.reported(spark, folder).select(
+        "reg", "batch_no", "idx", "id", _flag(F.col("ok"), "ok"), "error", message_id.alias("message_id")
+    )
+
+
 @query
 def stream_gate(spark: SparkSession, sf: str) -> DataFrame:
     """Messages through a breaker whose sink refuses one registration in the first two steps."""

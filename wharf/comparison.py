@@ -859,6 +859,17 @@ def all_sql() -> dict[str, str]:
     sql["stream_breaker"] = _with(_OUTCOMES, select=trips)
     sql["stream_contracts"] = _with(_EVENTS, _PAYLOADS, select=sides)
     sql["stream_contracts_asof"] = sql["contract_asof"]
+    sql["stream_entry_report"] = _with(
+        _EVENTS,
+        select="""
+      , sent AS (
+        SELECT *, (props->>'$.k')::INT AS k, (event_id - min(event_id) OVER ()) * 3
+          // (max(event_id) OVER () - min(event_id) OVER () + 1) AS step FROM msg)
+      SELECT topic AS reg, step AS batch_no, off AS idx, id, (k % 10 <> 3)::INT AS ok,
+        CASE WHEN k % 10 = 3 THEN 'Kinesis PutRecords entry failed: Throttled: stream-' || part || ' is busy' END AS error,
+        CASE WHEN k % 10 <> 3 THEN 'shard-' || (k % 4) || ':' || user_id || lpad(k::VARCHAR, 4, '0') END AS message_id
+      FROM sent""",
+    )
     # Refused twice, opened, and let through by the probe of the last step.
     sql["stream_gate"] = _with(
         _EVENTS,

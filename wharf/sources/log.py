@@ -53,7 +53,8 @@ from wharf.sources.positions import (
 )
 
 # Readers run in Python workers, which need no copy of the library.
-cloudpickle.register_pickle_by_value(sys.modules[__name__])
+for _module in (__name__, Start.__module__):
+    cloudpickle.register_pickle_by_value(sys.modules[_module])
 
 LOWEST, HIGHEST = -(1 << 63), (1 << 63) - 1
 DDL = (

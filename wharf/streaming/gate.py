@@ -106,6 +106,7 @@ class Gate(_Ledger):
             pending.unpersist()
         for kind in ("held", "state", "clock"):
             batches.forget(self.spark, f"{self.folder}/{kind}", batch_id - 2)
+        self.fold(batch_id, delivered=_DELIVERED, trips=_TRIPS)
 
     def _send(self, pending: DataFrame, modes: DataFrame, name: str) -> DataFrame:
         """Per registration that sent something: ``reg, bound, any_ok, fails, error``.

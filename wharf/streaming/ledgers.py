@@ -100,13 +100,32 @@ _VIOLATION = T.StructType(
 )
 
 
+_CHECKED = T.StructType(
+    [
+        *MESSAGE.fields,
+        T.StructField("violation", _VIOLATION),
+        T.StructField("refused", T.IntegerType()),
+    ]
+)
+
+
 class _Ledger:
-    """Shared start-up of the ledgers: one folder, one checkpoint."""
+    """Shared start-up of the ledgers: one folder, one checkpoint.
+
+    What a ledger tells is kept per micro-batch; closed ones are folded together, ``every`` at a time.
+    """
+
+    every = batches.EVERY
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder
 
+    def fold(self, batch_id: int, **kinds: T.StructType) -> None:
+        """Fold the tables of these kinds where enough micro-batches are closed."""
+        for kind, schema in kinds.items():
+            batches.fold(self.spark, f"{self.folder}/{kind}", batch_id, schema, self.every)
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         raise NotImplementedError
 
@@ -193,6 +212,7 @@ class AckLedger(_Ledger):
         batches.put(refused, f"{self.folder}/refused", batch_id)
         # A replay of this micro-batch starts from the last state; older ones are done with.
         batches.forget(spark, base, batch_id - 2)
+        self.fold(batch_id, commits=self.released, refused=_REFUSED)
 
     def numbered(self, ledger: DataFrame) -> DataFrame:
         """The ledger with ``off``, a BIGINT in the order of the positions."""
@@ -300,6 +320,14 @@ class _Capped:
             self.spark.createDataFrame([(epoch,)], _EPOCHS), f"{self.folder}/epochs", batch_id
         )
         batches.forget(self.spark, f"{self.folder}/epochs", batch_id - 2)
+        self.fold(batch_id, seeks=self._seek_shape())
+
+    def _seek_shape(self) -> T.StructType:
+        place = self.open_rows[self.position].dataType
+        fields = [self.open_rows[k] for k in self.keys]
+        return T.StructType(
+            [*fields, T.StructField("seek_to", place), T.StructField("epoch", T.LongType())]
+        )
 
     def first_open(self, waiting: DataFrame) -> DataFrame:
         """``keys, seek_to``: the first row of each partition that is not in its acked prefix."""
@@ -307,12 +335,7 @@ class _Capped:
 
     def seeks(self) -> DataFrame:
         """``keys, seek_to, epoch``: where each partition was sent back to as a session began."""
-        place = self.open_rows[self.position].dataType
-        fields = [self.open_rows[k] for k in self.keys]
-        shape = T.StructType(
-            [*fields, T.StructField("seek_to", place), T.StructField("epoch", T.LongType())]
-        )
-        return batches.everything(self.spark, f"{self.folder}/seeks", shape).drop("batch_id")
+        return batches.everything(self.spark, f"{self.folder}/seeks", self._seek_shape()).drop("batch_id")
 
 
 class CappedAckLedger(_Capped, AckLedger):
@@ -410,6 +433,7 @@ class BreakerLedger(_Ledger):
         closed = (F.col("batch_no") < F.col("newest")) | (F.col("carried") == 1)
         marked = lookup(rows, newest, ["reg"], null_safe=True).withColumn("closed", closed)
         batches.put(marked.select(*_STREAKS.fieldNames()), base, batch_id)
+        self.fold(batch_id, streaks=_STREAKS, late=_LATE)
 
     def late(self) -> DataFrame:
         """Outcomes of batches that were closed already; they count for nothing."""
@@ -456,16 +480,10 @@ class ContractLedger(_Ledger):
         # One pass writes both sides; readers pick theirs by folder.
         flagged = checked.withColumn("refused", F.col("violation").isNotNull().cast("int"))
         batches.put(flagged, f"{self.folder}/checked", batch_id, ["refused"])
+        self.fold(batch_id, checked=_CHECKED)
 
     def _checked(self, refused: int) -> DataFrame:
-        schema = T.StructType(
-            [
-                *MESSAGE.fields,
-                T.StructField("violation", _VIOLATION),
-                T.StructField("refused", T.IntegerType()),
-            ]
-        )
-        rows = batches.everything(self.spark, f"{self.folder}/checked", schema)
+        rows = batches.everything(self.spark, f"{self.folder}/checked", _CHECKED)
         return rows.where(F.col("refused") == refused)
 
     def valid(self) -> DataFrame:

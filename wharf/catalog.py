@@ -18,7 +18,7 @@ from wharf.schemas import MESSAGE, MESSAGE_COLUMNS
 from wharf.session import configure, settle, work_folder
 from wharf.sinks import batches, log as segment_log, reporting, results, rows, writers
 from wharf.sources import intake, log as log_source, positions, records
-from wharf.streaming import ledgers, routes as route_streams
+from wharf.streaming import ledgers, offsets, routes as route_streams
 from wharf.streaming.gate import Gate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -972,6 +972,40 @@ def stream_fair_share(spark: SparkSession, sf: str) -> DataFrame:
     return got.select("id", "topic", F.col("batch_id").cast("bigint").alias("pull"))
 
 
+@query
+def stream_offset_export(spark: SparkSession, sf: str) -> DataFrame:
+    """Two fair pulls with one checkpoint; its exported offsets start a new one for the rest."""
+    events = X.table(spark, sf, "events")
+    folder = _segment_log(spark, events, "log-moved")
+    sizes = {r.topic: r["count"] for r in X.event_messages(events).groupBy("topic").count().collect()}
+    budget = max(1, -(-sum(sizes.values()) // 4))
+    share = max(1, budget // max(1, len(sizes)))
+    _, trigger = route_streams.intake()
+
+    def pull(name: str, options: dict[str, str]) -> None:
+        checkpoint = f"{folder}-offsets-{name}"
+        pulled = (
+            spark.readStream.format("message_log")
+            .options(path=folder, topics=json.dumps(sorted(sizes)), budget=budget, checkpoint=checkpoint, **options)
+            .load()
+        )
+        landing = writers.land_stream(pulled, f"{folder}-{name}", checkpoint)
+        started = landing.queryName(f"moved-{name}").trigger(**trigger).start()
+        route_streams.finish([started])
+        offsets.export(started, f"{folder}-exported")
+
+    for _ in range(2):
+        pull("first", {})
+    resume = offsets.log_options(offsets.exported(spark, f"{folder}-exported"), "moved-first")
+    for _ in range(-(-max(sizes.values(), default=0) // share) - 2):
+        pull("second", resume)
+    runs = [
+        spark.read.parquet(f"{folder}-{name}").select("id", "topic", F.lit(name).alias("run"))
+        for name in ("first", "second")
+    ]
+    return runs[0].unionByName(runs[1])
+
+
 #: Unacked rows at which the consumer of the capped stream is sent back.
 CAP = 50
 

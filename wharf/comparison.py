@@ -859,6 +859,15 @@ def all_sql() -> dict[str, str]:
     sql["stream_breaker"] = _with(_OUTCOMES, select=trips)
     sql["stream_contracts"] = _with(_EVENTS, _PAYLOADS, select=sides)
     sql["stream_contracts_asof"] = sql["contract_asof"]
+    sql["stream_offset_export"] = _with(
+        _EVENTS,
+        select="""
+      , share AS (
+        SELECT greatest(1, ((count(*) + 3) // 4) // count(DISTINCT topic)) AS n FROM msg)
+      SELECT id, topic, CASE WHEN (row_number() OVER (PARTITION BY topic ORDER BY off) - 1) // n < 2
+        THEN 'first' ELSE 'second' END AS run
+      FROM msg, share""",
+    )
     sql["stream_entry_report"] = _with(
         _EVENTS,
         select="""

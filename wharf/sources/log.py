@@ -268,17 +268,18 @@ class LogStreamReader(DataSourceStreamReader):
         checkpoint: str,
         default: Start,
         overrides: Mapping[tuple[str, str], Start],
+        resume: dict | None = None,
     ):
         if budget <= 0 or not topics:
             raise ValueError(f"a pull needs topics and a budget over 0, got {list(topics)} and {budget}")
         if not checkpoint:
             raise ValueError("name the checkpoint folder of the query in the option checkpoint")
         self.path, self.topics, self.budget, self.checkpoint = path, list(dict.fromkeys(topics)), budget, checkpoint
-        self.default, self.overrides = default, overrides
+        self.default, self.overrides, self.resume = default, overrides, resume
         self.places: dict[str, list[int]] = {}
 
     def initialOffset(self) -> dict:
-        """Before the first row that the start positions reach, in each topic."""
+        """Before the first row that the start positions reach, in each topic; ``resume`` goes before them."""
         known = [s for s in segments(self.path) if s.topic in self.topics]
         at = {}
         for topic in self.topics:
@@ -287,7 +288,10 @@ class LogStreamReader(DataSourceStreamReader):
             firsts = [self._first(part) for part in sorted(slices, key=lambda p: p.low)]
             firsts = [f for f in firsts if f is not None]
             at[topic] = min(firsts) - 1 if firsts else max((s.last for s in own), default=LOWEST)
-        return {"log": self.path, "pull": 0, "at": at}
+        if self.resume is None:
+            return {"log": self.path, "pull": 0, "at": at}
+        reached = {t: p for t, p in self.resume["at"].items() if t in at}
+        return {"log": self.path, "pull": self.resume["pull"], "at": {**at, **reached}}
 
     @staticmethod
     def _first(part: Slice) -> int | None:
@@ -368,7 +372,8 @@ class MessageLog(DataSource):
     """Format ``message_log``.
 
     Options: ``path``; ``start`` and ``overrides`` (see :func:`options_of`; default: all); for
-    streams ``topics`` (a JSON list), ``budget`` and ``checkpoint``.
+    streams ``topics`` (a JSON list), ``budget``, ``checkpoint`` and, for a new checkpoint that goes on
+    where another query ended, ``resume``, its end offset.
     """
 
     @classmethod
@@ -393,4 +398,5 @@ class MessageLog(DataSource):
             int(self.options["budget"]),
             self.options.get("checkpoint", ""),
             *self._starts(),
+            json.loads(self.options["resume"]) if "resume" in self.options else None,
         )

@@ -5,20 +5,31 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 64 * 1024 * 1024
 
 
+def _size(field: T.StructField) -> Column:
+    """Bytes of a value: text and bytes as they are, nested values rendered, others at most 16."""
+    column = F.col(f"`{field.name}`")
+    if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+        size = F.octet_length(column)
+    elif isinstance(field.dataType, (T.StructType, T.ArrayType, T.MapType)):
+        size = F.length(F.to_json(F.struct(column)))
+    else:
+        size = F.lit(16)
+    return F.coalesce(size, F.lit(1)).cast("bigint")
+
+
 def fits(small: DataFrame, rows: int = BROADCAST_ROWS, size: int = BROADCAST_BYTES) -> bool:
-    """Measure at most ``rows + 1`` rows of ``small``, by number and by rendered size."""
-    rendered = F.length(F.to_json(F.struct("*")))
-    n, total = (
-        small.limit(rows + 1)
-        .agg(F.count("*"), F.coalesce(F.sum(rendered), F.lit(0)))
-        .first()
-    )
+    """Whether ``small`` is within the bounds, by number of rows and by bytes.
+
+    Every task adds up its own rows, so one short row of each reaches the last task.
+    """
+    each = sum((_size(field) for field in small.schema), F.lit(0).cast("bigint"))
+    n, total = small.agg(F.count("*"), F.coalesce(F.sum(each), F.lit(0))).first()
     return n <= rows and total <= size
 
 

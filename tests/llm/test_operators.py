@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import hashlib
 import random
-import zlib
 from collections import Counter
 
 import numpy as np
@@ -152,13 +151,13 @@ def test_broken_pages(spark):
 
 
 def test_shards_are_exact_and_gapless(spark, docs, empty):
-    out = sharding.shard(docs.drop("slot"), 4, seed=1).collect()
+    out = sharding.shard(docs, 4, seed=1).collect()
     assert Counter(Counter(r.shard for r in out).values()) in ({4: 2, 5: 2}, {5: 2, 4: 2})
     for shard in range(4):
         slots = sorted(r.slot for r in out if r.shard == shard)
         assert slots == list(range(len(slots)))
     assert _plain((r.doc_id, r.text) for r in out) == _plain((r.doc_id, r.text) for r in docs.collect())
-    assert sharding.shard(empty.drop("slot"), 4).count() == 0
+    assert sharding.shard(empty, 4).count() == 0
 
 
 def test_matrix_margins_and_spread(spark):
@@ -294,6 +293,62 @@ def test_mix_reaches_targets(docs, empty):
     assert mixing.mix(mixing.sized(empty)).count() == 0
 
 
+def test_mix_of_a_source_full_of_symbols(spark, monkeypatch):
+    """Low weights push all keys far out; buckets still hold like numbers of rows."""
+    prepare(spark)
+    monkeypatch.setattr(mixing, "BLOCK_ROWS", 10)
+    made = [(i, "code" if i % 2 else "prose", 10 + i % 7, 0.016 if i % 2 else 1.0) for i in range(2000)]
+    df = spark.createDataFrame(made, "doc_id int, source string, size int, weight double").repartition(3)
+    sizes = []
+    whole = mixing.exclusive_prefix
+    monkeypatch.setattr(
+        mixing,
+        "exclusive_prefix",
+        lambda d, *a: sizes.extend(r["count"] for r in d.groupBy("source_key", "__bucket").count().collect()) or whole(d, *a),
+    )
+    out = mixing.mix(df).collect()
+    assert len(out) == 2000 and max(sizes) < 60 and len(sizes) > 200
+    for source in ("code", "prose"):
+        mine = [r for r in out if r.source == source]
+        assert abs(sum(r.taken for r in mine) - mine[0].target) <= 16
+
+
+# --- clashing names --------------------------------------------------------------------
+
+NAMES = (
+    "part row shard slot id n k v fp at r c h key source_key source size weight component_id cell far digest mask "
+    "failures __row __at __key __rank __bucket __before __size __least __root __one __again __block __ends held"
+).split()
+
+
+@pytest.mark.parametrize(
+    "operator, made",
+    [
+        (lambda d: sharding.shard(d, 3), {"shard", "slot"}),
+        (lambda d: mixing.mix(d, weight="heavy", size="words"), set()),
+        (lambda d: simhash.near_duplicates(d.withColumn("fp", simhash.fingerprints("text"))), {"component_id", "fp"}),
+        (shingles.keep_one, set()),
+        (lambda d: suffix_dedup.deduplicate(d), set()),
+        (lambda d: html_extraction.extract(d, "html", "main"), set()),
+        (lambda d: quality_rules.ledger(d.withColumn("t", F.col("text")), "t"), {"failures"}),
+        (lambda d: pieces.encode(d, tokenizers.read(tokenizers.PIECES)), set()),
+        (lambda d: quality_model.statistics(d.withColumn("t", F.col("text")), "t"), set()),
+    ],
+)
+def test_other_columns_come_back_unchanged(spark, operator, made):
+    """Every name used inside or made by some operator, as a column of the input."""
+    prepare(spark)
+    rows_ = [(i, f"text number {i} of some words", 8, 1.0, f"<p>{i}") for i in range(6)]
+    df = spark.createDataFrame(rows_, "doc_id int, text string, words int, heavy double, html string")
+    names = [n for n in NAMES if n not in df.columns]
+    df = df.select("*", *[F.concat(F.lit(f"{n}-"), F.col("doc_id")).alias(n) for n in names])
+    out = operator(df)
+    kept = [n for n in names if n not in made]
+    assert set(kept) <= set(out.columns) and len(out.columns) == len(set(out.columns))
+    got = {tuple(r) for r in out.select("doc_id", *[F.col(f"`{n}`") for n in kept]).collect()}
+    assert got == {(i, *(f"{n}-{i}" for n in kept)) for i in range(6)}
+
+
 # --- quality ------------------------------------------------------------------------
 
 
@@ -451,10 +506,23 @@ def test_near_duplicate_groups(docs, empty):
                 break
             group |= more
         assert r.component_id == min(i for i, f in prints if f in group and i is not None)
-    kept = simhash.keep_one(docs)
-    assert kept.columns == docs.columns
-    assert kept.count() == len({r.component_id for r in out})
-    assert simhash.keep_one(empty).count() == 0
+    nothing = empty.select("doc_id", simhash.fingerprints("text").alias("fp"))
+    assert simhash.near_duplicates(nothing).count() == 0
+
+
+def test_hot_keys_are_compared_in_pairs_of_blocks(spark):
+    """Fingerprints of a template: many distinct ones share a key, few of them are linked."""
+    prepare(spark)
+    rnd = random.Random(6)
+    base = rnd.getrandbits(64)
+    made = {base ^ (rnd.getrandbits(21) << 43) for _ in range(400)} | {rnd.getrandbits(64) for _ in range(50)}
+    made |= {f ^ (1 << rnd.randrange(64)) for f in list(made)[:40]}
+    signed = [f - (1 << 64) if f >> 63 else f for f in made]
+    df = spark.createDataFrame([(f,) for f in signed], "fp bigint")
+    whole = {r.node: r.root for r in components(simhash.links(df)).collect()}
+    for hot_rows in (7, 100):
+        cut = {r.node: r.root for r in components(simhash.links(df, hot_rows=hot_rows)).collect()}
+        assert cut == whole and whole
 
 
 def test_components_of_a_long_path(spark):
@@ -481,10 +549,8 @@ def _copies(rnd: random.Random) -> list[tuple]:
     return [(i, t) for i, t in enumerate(made)] + [(None, made[3]), (None, "no id " * 30), (7, made[7]), (9, "other text " * 9)]
 
 
-@pytest.mark.parametrize("block, near", [(shingles.BLOCK, shingles.NEAR), (5, 1)])
-def test_near_duplicates_by_similarity(spark, empty, block, near, monkeypatch):
+def test_near_duplicates_by_similarity(spark, empty):
     prepare(spark)
-    monkeypatch.setattr(shingles, "COMMON", 12)
     listed = _copies(random.Random(8))
     sets = []
     for _, text in listed:
@@ -501,12 +567,54 @@ def test_near_duplicates_by_similarity(spark, empty, block, near, monkeypatch):
         ids = [listed[j][0] for j in range(len(listed)) if root[j] == g]
         want.append(min((i for i in ids if i is not None), default=None))
     df = spark.createDataFrame([(*r, "clash") for r in listed], "doc_id bigint, text string, v string").repartition(3)
-    kept = shingles.keep_one(df, block=block, near=near)
+    kept = shingles.keep_one(df)
     assert kept.columns == df.columns
     assert Counter(r.doc_id for r in kept.collect()) == Counter(want)
     assert shingles.keep_one(empty).count() == 0
 
 
+def test_pairs_of_a_template_grow_with_its_rows(spark, monkeypatch):
+    """Rows that share most buckets but are not similar: pairs per row do not grow."""
+    prepare(spark)
+    rnd = random.Random(4)
+    words = [f"w{i}" for i in range(400)]
+    base = rnd.choices(words, k=120)
+
+    def candidates(size: int) -> int:
+        made = []
+        for i in range(size):
+            text = list(base)
+            for at in rnd.sample(range(120), 5):
+                text[at] = f"x{i}y{at}"
+            made.append((i, " ".join(text)))
+        df = spark.createDataFrame(made, "v bigint, text string").repartition(3)
+        counts = []
+        whole = shingles._Groups.verify
+        monkeypatch.setattr(shingles._Groups, "verify", lambda self, p: counts.append(p.distinct().count()) or whole(self, p))
+        shingles.links(df)
+        monkeypatch.setattr(shingles._Groups, "verify", whole)
+        return sum(counts)
+
+    assert candidates(240) < 24 * 240
+
+
+def test_recall_against_all_pairs(spark):
+    prepare(spark)
+    rows = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    by_set = {shingles.shingles(r.text).tobytes(): (r.doc_id, r.text) for r in rows}
+    listed = [(i, t, shingles.shingles(t)) for i, t in by_set.values()]
+    df = spark.createDataFrame([(i, t) for i, t, _ in listed], "v bigint, text string")
+    root = {r.v: r.c for r in shingles.links(df).collect()}
+    pairs = [
+        (a[0], b[0])
+        for n, a in enumerate(listed)
+        for b in listed[:n]
+        if 9 * len(np.intersect1d(a[2], b[2], assume_unique=True)) >= 4 * (len(a[2]) + len(b[2]))
+    ]
+    caught = sum(root.get(a, a) == root.get(b, b) for a, b in pairs)
+    assert pairs and caught >= 0.9 * len(pairs)
+
+
 def test_the_pipeline_drops_copies_that_fingerprints_keep(spark):
     rnd = random.Random(4)
     base = [f"w{rnd.randrange(900)}" for _ in range(200)]
@@ -543,10 +651,6 @@ def test_top_k_is_exact(spark, pivots, block):
     assert topk.search(df.limit(0), F.lit(True), 5).count() == 0
 
 
-def test_crc_law_of_the_query():
-    assert zlib.crc32(b"") == 0
-
-
 def test_fingerprint_does_not_depend_on_the_word_blocks(monkeypatch):
     rng = random.Random(5)
     parts = ["a", "B", " ", "\n", "\t", "\x0b", "\x1c", "é", " ", "word"]
@@ -555,3 +659,29 @@ def test_fingerprint_does_not_depend_on_the_word_blocks(monkeypatch):
     for size in (1, 2, 7):
         monkeypatch.setattr(simhash, "WORDS_AT_ONCE", size)
         assert [simhash.fingerprint(t) for t in texts] == whole
+
+
+def test_what_is_stored_in_passing_is_removed(spark, tmp_path):
+    from pathlib import Path
+
+    from wharf.llm.common import scratch, stored
+    from wharf.session import shared_folder
+
+    def folders():
+        return {p.name for p in (Path(shared_folder(spark).removeprefix("file:")) / "wharf").glob("passing-*")}
+
+    before = folders()
+    with scratch(spark) as keep:
+        inner = stored(spark.range(5), "passing-inner")
+        with scratch(spark) as deeper:
+            result = deeper(inner.where("id > 2"), "passing-result")
+            stored(inner, "passing-deep")
+        assert len(folders() - before) == 2
+        result = keep(result, "passing-kept")
+    assert [n.rsplit("-", 1)[0] for n in folders() - before] == ["passing-kept"]
+    assert result.count() == 2
+    with pytest.raises(RuntimeError):
+        with scratch(spark):
+            stored(spark.range(1), "passing-failed")
+            raise RuntimeError
+    assert len(folders() - before) == 1

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
@@ -32,6 +33,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return prepare(spark).read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Folders that were written since the innermost :func:`scratch` began, outermost first.
+_WRITTEN: list[list[str]] = []
+
+
 def stored(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """Write ``df`` to the shared work folder once and read it back: lineage ends there.
 
@@ -40,12 +45,41 @@ def stored(df: DataFrame, name: str, free: bool = False) -> DataFrame:
     """
     spark = df.sparkSession
     path = work_folder(spark, name)
+    if _WRITTEN:
+        _WRITTEN[-1].append(path)
     df.write.option("compression", "zstd").parquet(path)
     if free:
         spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+    """What is stored inside is removed at the end, but for what goes through the function given.
+
+    That function stores a result for whoever is around. Nothing that is used later may read, by its
+    plan, what was stored inside in another way.
+    """
+    made: list[str] = []
+    _WRITTEN.append(made)
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        out = stored(df, name)
+        path = made.pop()
+        if len(_WRITTEN) > 1:
+            _WRITTEN[-2].append(path)
+        return out
+
+    try:
+        yield keep
+    finally:
+        _WRITTEN.remove(made)
+        files = spark._jvm.org.apache.hadoop.fs
+        for path in made:
+            place = files.Path(path)
+            place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 

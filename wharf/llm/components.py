@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from wharf.llm.common import stored
+from wharf.llm.common import scratch, stored
 from wharf.plans.joins import lookup
 
 
@@ -38,6 +38,7 @@ def components(links: DataFrame) -> DataFrame:
     edges = links.select(
         F.greatest("a", "b").cast("bigint").alias("a"), F.least("a", "b").cast("bigint").alias("b")
     ).where(F.col("a") != F.col("b"))
+    spark = links.sparkSession
     edges = stored(edges.distinct(), "links")
 
     def mark(df: DataFrame) -> tuple:
@@ -46,7 +47,8 @@ def components(links: DataFrame) -> DataFrame:
 
     now = mark(edges)
     while now[0]:
-        edges = stored(_star(_star(edges, True), False), "links")
+        with scratch(spark) as keep:
+            edges = keep(_star(_star(edges, True), False), "links")
         last, now = now, mark(edges)
         if now == last:
             break

@@ -39,7 +39,7 @@ STATISTICS = (
 
 
 def statistics(df: DataFrame, text: str = "text") -> DataFrame:
-    """``df`` without its text, with one column per statistic."""
+    """``df`` without its text, with one column per statistic; columns of their names are replaced."""
     rest = [F.col(f"`{c}`") for c in df.columns if c != text and c not in STATISTICS]
     body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
 

@@ -155,8 +155,10 @@ def communication_matrix(parts: DataFrame, sizes: list[int], seed: int) -> DataF
 def shard(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     """``df`` with ``shard`` (0 to ``shards`` - 1) and ``slot``, gapless from 0 per shard."""
     position = F.monotonically_increasing_id()
+    # Boxed, so that columns of the rows meet none of the names used here.
+    boxed = df.select(F.struct(*[F.col(f"`{c}`") for c in df.columns]).alias("row"))
     permuted = (
-        df.withColumn("__key", F.xxhash64(F.lit(seed), position))
+        boxed.withColumn("__key", F.xxhash64(F.lit(seed), position))
         .sortWithinPartitions("__key")
         .drop("__key")
         .withColumn("__at", F.monotonically_increasing_id())
@@ -179,7 +181,7 @@ def shard(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     blocks = max(16, -(-n // (shards * BLOCK_ROWS)))
     again = F.xxhash64(F.lit(seed + 1), F.col("__at"))
     keyed = sent.select(
-        *[F.col(f"`{c}`") for c in df.columns],
+        "row",
         F.size(F.filter("__ends", lambda end: end <= rank)).alias("shard"),
         "__at",
         again.alias("__again"),
@@ -189,4 +191,5 @@ def shard(df: DataFrame, shards: int, seed: int = 0) -> DataFrame:
     placed = exclusive_prefix(
         keyed, ["shard"], "__block", [F.col("__again"), F.col("__at")], "__one", "slot"
     )
-    return placed.drop("__at", "__again", "__block", "__one")
+    kept = [F.col("row").getField(c).alias(c) for c in df.columns if c not in ("shard", "slot")]
+    return placed.select(*kept, "shard", "slot")

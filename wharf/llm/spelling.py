@@ -34,7 +34,7 @@ from math import ceil, log, log2
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from wharf.llm.common import stored
+from wharf.llm.common import scratch, stored
 from wharf.plans.joins import lookup
 
 SHORTEST, LEAST = 6, 5
@@ -211,7 +211,8 @@ def roots(forms: DataFrame, longest: int) -> DataFrame:
 def variants(words: DataFrame, candidates: int = CANDIDATES) -> DataFrame:
     """``word, form, root, n, n_near, form_n`` of a vocabulary (word, n)."""
     words = stored(words, "spelling-words")
-    pairs = near_words(words, candidates)
+    with scratch(words.sparkSession) as keep:
+        pairs = keep(near_words(words, candidates), "spelling-near")
     both = pairs.select(
         F.inline(
             F.array(

@@ -42,7 +42,7 @@ import xxhash
 from pyspark.sql import DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
-from wharf.llm.common import stored
+from wharf.llm.common import scratch, stored
 from wharf.plans.joins import lookup
 
 WINDOW = 13
@@ -388,7 +388,7 @@ def found_windows(texts: DataFrame, copies: DataFrame, size: int, hot_rows: int
         return part.repartition(tasks, "h").mapInArrow(_subtrees, _FOUND_ROW)
 
     if hot.isEmpty():
-        return stored(grown(suffixes), "substring-windows", free=True)
+        return grown(suffixes)
     suffixes = stored(suffixes, "substring-suffixes", free=True)
     windows = stored(
         lookup(suffixes, hot, ["h"], "left_semi").mapInArrow(_windows, _WINDOW_ROW), "substring-hot"
@@ -400,7 +400,7 @@ def found_windows(texts: DataFrame, copies: DataFrame, size: int, hot_rows: int
     judged = lookup(windows, least.select("w", "least"), ["w"]).where(F.col("r") > F.col("least"))
     long = judged.select("d", "at", "bits").mapInArrow(_placed, _FOUND_ROW)
     usual = grown(lookup(suffixes, hot, ["h"], "left_anti"))
-    return stored(usual.unionByName(long), "substring-windows", free=True)
+    return usual.unionByName(long)
 
 
 _CUT = T.StructType(
@@ -484,7 +484,8 @@ def deduplicate(
         ),
         "substring-copies",
     )
-    found = found_windows(texts, copies, size, hot_rows)
+    with scratch(df.sparkSession) as keep:
+        found = keep(found_windows(texts, copies, size, hot_rows), "substring-found")
     windows = found.groupBy("d").agg(F.collect_list(F.struct("at", "bits")).alias("found"))
     known = windows.join(copies.select("d", "least"), "d", "full")
     judged = df.select(row, digest.alias("d"), rank.alias("r")).join(known, "d", "left")

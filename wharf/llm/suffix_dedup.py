@@ -45,6 +45,8 @@ GRAM = 24
 HOT_ROWS = 50_000
 #: Anchor rows that one expansion task holds (about 200 bytes each).
 ROWS_PER_TASK = 40_000
+#: Bytes of text for each task that looks for anchors met twice (one row of 25 bytes for 39 of them).
+BYTES_PER_TASK = 64 << 20
 _PIECE = 1 << 20
 _REACH = LENGTH - GRAM  # most bytes of a window before its anchor
 
@@ -392,7 +394,9 @@ def removed_spans(docs: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     width = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     runs = docs.select("k", "text").mapInArrow(_anchor_rows, "h bigint, k bigint, at bigint, role tinyint")
     free = F.xxhash64("h", "k", "at")
-    dealt = runs.repartition(width, F.when(F.col("role") == KNOWN, free).otherwise(F.col("h")))
+    size = docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    tasks = max(width, -(-size // BYTES_PER_TASK))
+    dealt = runs.repartition(tasks, F.when(F.col("role") == KNOWN, free).otherwise(F.col("h")))
     candidates = stored(dealt.mapInArrow(_repeated, "h bigint, k bigint, at bigint"), "suffix-anchors")
     hot = stored(
         candidates.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > hot_rows).select("h"),

@@ -18,7 +18,7 @@ from wharf.schemas import MESSAGE, MESSAGE_COLUMNS
 from wharf.session import configure, settle, work_folder
 from wharf.sinks import batches, log as segment_log, reporting, results, rows, writers
 from wharf.sources import intake, log as log_source, positions, records
-from wharf.streaming import ledgers, offsets, routes as route_streams
+from wharf.streaming import blocks as keyed_blocks, ledgers, offsets, routes as route_streams
 from wharf.streaming.gate import Gate
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -939,6 +939,18 @@ def stream_ack(spark: SparkSession, sf: str) -> DataFrame:
     return ledger.commits()
 
 
+@query
+def stream_ack_blocks(spark: SparkSession, sf: str) -> DataFrame:
+    """The same with keyed state, a block of offsets to a key."""
+    keyed_blocks.configure(spark)
+    messages = X.event_messages(X.table(spark, sf, "events"))
+    ledger = keyed_blocks.BlockLedger(spark, work_folder(spark, "ack-blocks"))
+    _, trigger = route_streams.intake()
+    for entries in _arrive(_ack_log(messages, "topic", "part", "off"), "block-log", "ack_seq"):
+        route_streams.finish([ledger.start(entries.select("kind", "id", "ack_seq"), trigger)])
+    return ledger.commits()
+
+
 @query
 def stream_kinesis_ack(spark: SparkSession, sf: str) -> DataFrame:
     """The same from shards with digit-string positions."""

@@ -844,6 +844,7 @@ def all_sql() -> dict[str, str]:
     sql["stream_bridge_each"] = sql["stream_bounded_intake"] = sql["stream_bridge"]
     sql["stream_relay"] = _with(_EVENTS, from_events, _BRIDGE, _BACKBONE, _RELAY, select=fan_out)
     sql["stream_ack"] = _with(_LATE, select=history)
+    sql["stream_ack_blocks"] = sql["stream_ack"]
     sql["stream_kinesis_ack"] = _with(
         _KINESIS,
         select="""

@@ -22,7 +22,7 @@ the input are kept (one named ``ids`` is replaced).
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -32,8 +32,9 @@ from wharf.llm import tokenizers
 from wharf.llm.common import stored
 
 CHUNK = 32_768
-#: Chunks whose matrices are multiplied in one group.
+#: Chunks whose matrices are multiplied in one group, and chunks that one task works through.
 CHUNKS_PER_BLOCK = 256
+CHUNKS_PER_TASK = 64
 SPACE = "▁"
 NEVER = -np.inf
 
@@ -281,6 +282,17 @@ def _square(rows) -> np.ndarray:
     return np.array([list(r) for r in rows], np.float64)
 
 
+def once_per_batch(last: dict, texts: pd.Series, make: Callable[[], pd.Series]) -> pd.Series:
+    """What ``make`` gives for these texts, made once if they come several times in a row.
+
+    The planner writes the encoder out at every use of its ids, and a worker then runs it as often
+    over one batch, before it goes on to the next one.
+    """
+    if "texts" not in last or not texts.equals(last["texts"]):
+        last["texts"], last["ids"] = texts, make()
+    return last["ids"]
+
+
 def encode(df: DataFrame, model: bytes, text: str = "text", chunk: int = CHUNK) -> DataFrame:
     """``df`` with ``ids``, the piece ids of ``text``."""
     spark = df.sparkSession
@@ -293,8 +305,9 @@ def encode(df: DataFrame, model: bytes, text: str = "text", chunk: int = CHUNK)
 
     @F.pandas_udf("array<int>")
     def whole_ids(texts: pd.Series) -> pd.Series:
-        pieces = vocabulary()
-        return pd.Series([np.array(pieces.direct(marked(t)), np.int32) for t in texts])
+        last = tokenizers.once_per_worker("pieces-last", dict)
+        direct = vocabulary().direct
+        return once_per_batch(last, texts, lambda: pd.Series([np.array(direct(marked(t)), np.int32) for t in texts]))
 
     columns = [F.col(f"`{c}`") for c in names]
     usual = df.where(F.length(body) <= chunk).select(*columns, whole_ids(body).alias("ids"))
@@ -315,7 +328,10 @@ def encode(df: DataFrame, model: bytes, text: str = "text", chunk: int = CHUNK)
                 for part in chunks(t, chunk, reach):
                     yield pd.DataFrame([(key, *part)], columns=[c.split()[0] for c in shape.split(", ")])
 
-    parts = stored(giants.select("key", "t").mapInPandas(split, shape).repartition("key", "i"), "chunks")
+    n_chunks = giants.agg(F.sum(F.ceil(F.length("t") / chunk))).first()[0] or 0
+    tasks = max(1, -(-n_chunks // CHUNKS_PER_TASK))
+    dealt = giants.select("key", "t").mapInPandas(split, shape).repartition(tasks, "key", "i")
+    parts = stored(dealt, "chunks")
 
     def summarise(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pieces = vocabulary()

@@ -7,7 +7,7 @@ keys, and a prefix sum of their sizes stops at the budget. The document at the e
 whole when more than half of it fits, so a source misses its target by half a document at most.
 
 Only DataFrame functions are used. A source is never one window: keys are cut into buckets
-by value, and the bucket totals are carried forward.
+at quantiles of its own keys, and the bucket totals are carried forward.
 
 Defined cases: a null text has size 0; a null source is a source of its own, the last one; a
 source without words has target 0; repeated rows count each, and rows that agree in every
@@ -27,6 +27,8 @@ from wharf.plans.joins import lookup
 WEIGHTS = (5, 2, 1)
 SHARE = 1.5
 MOST = 2
+#: Quantiles that a source's keys are cut at; each stretch is cut further as its rows ask for.
+CUTS = 64
 
 
 def quality_weight(text: Column, size: Column) -> Column:
@@ -84,27 +86,42 @@ def mix(
 ) -> DataFrame:
     """``df`` with source_size, target, ``copies`` (how often the row is taken) and taken."""
     made = ["source_size", "target", "copies", "taken"]
-    base = df.select(*[F.col(f"`{c}`") for c in df.columns if c not in made])
-    source_key = F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`").cast("string")), F.lit(""))
-    key = sampling_key(F.col(f"`{row_id}`"), F.col(f"`{size}`"), F.col(f"`{weight}`"), seed)
-    keyed = base.withColumn("source_key", source_key).withColumn("__key", key)
+    kept = [c for c in df.columns if c not in made]
+    # Boxed, so that columns of the rows meet none of the names used here.
+    keyed = df.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("__row"),
+        F.coalesce(F.concat(F.lit("="), F.col(f"`{source}`").cast("string")), F.lit("")).alias("source_key"),
+        F.col(f"`{source}`").alias("source"),
+        F.col(f"`{row_id}`").alias("id"),
+        F.col(f"`{size}`").cast("bigint").alias("__size"),
+        sampling_key(F.col(f"`{row_id}`"), F.col(f"`{size}`"), F.col(f"`{weight}`"), seed).alias("__key"),
+    )
     totals = keyed.groupBy("source_key").agg(
-        F.first(f"`{source}`").alias("source"),
-        F.sum(f"`{size}`").cast("bigint").alias("source_size"),
+        F.first("source").alias("source"),
+        F.sum("__size").cast("bigint").alias("source_size"),
         F.count("*").alias("__n"),
+        F.percentile_approx("__key", [n / CUTS for n in range(1, CUTS)], 1000).alias("__cuts"),
+        F.max("__key").alias("__last"),
     )
     totals = stored(totals, "mix-sources")
     largest = totals.agg(F.coalesce(F.max("__n"), F.lit(0))).first()[0]
-    buckets = max(64, -(-largest // BLOCK_ROWS))
-    goals = stored(targets(totals.drop("__n")), "mix-targets")
-    # Grows with the key, so buckets keep the order of the keys.
-    bucket = F.floor((1 - F.exp(-F.col("__key"))) * buckets).cast("int")
-    order = [F.col("__key"), F.col(f"`{row_id}`"), F.col(f"`{size}`")]
+    parts = max(1, -(-largest // (CUTS * BLOCK_ROWS)))
+    goals = stored(targets(totals.select("source_key", "source", "source_size")), "mix-targets")
+    placed = lookup(keyed, totals.select("source_key", "__cuts", "__last"), ["source_key"])
+    # The bucket grows with the key: the stretch between two quantiles, and the part of it.
+    stretch = F.size(F.filter("__cuts", lambda cut: cut <= F.col("__key")))
+    low = F.when(F.col("__s") > 0, F.get("__cuts", F.col("__s") - 1)).otherwise(F.lit(0.0))
+    high = F.when(F.col("__s") < CUTS - 1, F.get("__cuts", F.col("__s"))).otherwise(F.col("__last"))
+    part = F.floor((F.col("__key") - low) / F.nullif(high - low, F.lit(0.0)) * parts)
+    within = F.least(F.greatest(F.coalesce(part, F.lit(0)), F.lit(0)), F.lit(parts - 1))
+    bucketed = placed.withColumn("__s", stretch).withColumn(
+        "__bucket", (F.col("__s") * parts + within).cast("int")
+    )
     summed = exclusive_prefix(
-        keyed.withColumn("__bucket", bucket).withColumn("__size", F.col(f"`{size}`").cast("bigint")),
+        bucketed.drop("__cuts", "__last", "__s", "source"),
         ["source_key"],
         "__bucket",
-        order,
+        [F.col("__key"), F.col("id"), F.col("__size")],
         "__size",
         "__before",
     )
@@ -115,11 +132,17 @@ def mix(
     ).otherwise(F.lit(0))
     part = F.col("target") - F.col("__epochs") * F.col("source_size")
     extra = 2 * F.col("__before") + F.col("__size") < 2 * part
+    copies = F.col("__epochs") + F.when(extra, 1).otherwise(0)
     return (
         joined.withColumn("__epochs", epochs)
-        .withColumn("copies", F.col("__epochs") + F.when(extra, 1).otherwise(0))
-        .withColumn("taken", (F.col("copies") * F.col("__size")).cast("bigint"))
-        .drop("source_key", "__key", "__bucket", "__size", "__before", "__epochs")
+        .withColumn("copies", copies)
+        .select(
+            *[F.col("__row").getField(c).alias(c) for c in kept],
+            "source_size",
+            "target",
+            "copies",
+            (F.col("copies") * F.col("__size")).cast("bigint").alias("taken"),
+        )
     )
 
 

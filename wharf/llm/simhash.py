@@ -38,6 +38,9 @@ _SPACE = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
 SEGMENTS = ((0, 22), (22, 21), (43, 21))
 #: Key rows that one task compares (16 bytes each).
 KEYS_PER_TASK = 1_000_000
+#: Fingerprints that one task expands to their keys, and distinct ones of a key that meet in one task.
+PRINTS_PER_TASK = 100_000
+HOT_ROWS = 20_000
 
 
 def word_blocks(text: bytes, size: int) -> Iterator[list[bytes]]:
@@ -145,8 +148,12 @@ def forest_links(keys: np.ndarray, fps: np.ndarray, most: int = MOST_BITS) -> tu
     return distinct[moved], distinct[forest.least[moved]]
 
 
-def links(distinct: DataFrame, most: int = MOST_BITS) -> DataFrame:
-    """Links (a, b) that connect all of ``distinct`` (column fp) within ``most`` bits."""
+def links(distinct: DataFrame, most: int = MOST_BITS, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """Links (a, b) that connect all of ``distinct`` (column fp) within ``most`` bits.
+
+    A key of more than ``hot_rows`` distinct fingerprints (those of a template, say) is compared in
+    pairs of blocks, by many tasks.
+    """
     n = distinct.count()
 
     def expand(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -162,14 +169,42 @@ def links(distinct: DataFrame, most: int = MOST_BITS) -> DataFrame:
             a, b = forest_links(*(np.concatenate(c) for c in zip(*parts)), most)
             yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
-    keyed = distinct.select("fp").mapInArrow(expand, "key bigint, fp bigint")
     configured = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     tasks = max(configured, -(-n * 82 // KEYS_PER_TASK))
-    return keyed.repartition(tasks, "key").mapInArrow(compare, "a bigint, b bigint")
+    # Few input files would make few tasks of the expansion.
+    spread = distinct.select("fp").repartition(max(configured, -(-n // PRINTS_PER_TASK)))
+    keyed = spread.mapInArrow(expand, "key bigint, fp bigint")
+    usual, hot = keyed, None
+    if n > hot_rows:
+        counts = stored(keyed.groupBy("key").agg(F.count("*").alias("g")).where(F.col("g") > hot_rows), "hot-keys")
+        if not counts.isEmpty():
+            usual = lookup(keyed, counts.select("key"), ["key"], "left_anti")
+            hot = _block_pairs(lookup(keyed, counts, ["key"]), hot_rows)
+    found = usual.repartition(tasks, "key").mapInArrow(compare, "a bigint, b bigint")
+    if hot is None:
+        return found
+    return found.unionAll(hot.repartition(tasks, "key").mapInArrow(compare, "a bigint, b bigint"))
+
+
+def _block_pairs(keyed: DataFrame, hot_rows: int) -> DataFrame:
+    """Rows (key, fp) of keys with ``g`` fingerprints, dealt out so that each two of a key meet.
+
+    A key is cut into blocks, and every pair of blocks is a key of its own with a bounded number of
+    rows; a row goes to the pairs of its block.
+    """
+    blocks = F.greatest(F.ceil(F.col("g") * 2 / F.lit(hot_rows)), F.lit(2)).cast("bigint")
+    own = keyed.withColumn("blocks", blocks).withColumn("own", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+    others = own.withColumn("other", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1)))
+    pair = F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other"))
+    return others.select(pair.alias("key"), "fp")
 
 
 def near_duplicates(prints: DataFrame, row_id: str = "doc_id") -> DataFrame:
-    """``prints`` (with a column fp) plus component_id, the smallest id reachable."""
+    """``prints`` (with a column fp) plus component_id, the smallest id reachable.
+
+    A column of that name is replaced.
+    """
+    prints = prints.select(*[F.col(f"`{c}`") for c in prints.columns if c != "component_id"])
     distinct = stored(
         prints.groupBy("fp").agg(F.min(f"`{row_id}`").alias("__least")), "fingerprints"
     )
@@ -180,27 +215,3 @@ def near_duplicates(prints: DataFrame, row_id: str = "doc_id") -> DataFrame:
     least = rooted.groupBy("__root").agg(F.min("__least").alias("component_id"))
     named = stored(rooted.join(least, "__root").select("fp", "component_id"), "components")
     return lookup(prints, named, ["fp"])
-
-
-def keep_one(df: DataFrame, row_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """``df`` with one row of each group: the smallest id, then the first such row."""
-    columns = [F.col(f"`{c}`") for c in df.columns]
-    whole = stored(
-        df.select(
-            F.struct(*columns).alias("__row"),
-            F.col(f"`{row_id}`").cast("bigint").alias("id"),
-            fingerprints(F.col(f"`{text}`")).alias("fp"),
-            F.monotonically_increasing_id().alias("__at"),
-        ),
-        "deduplicate",
-    )
-    found = near_duplicates(whole.select("__at", "id", "fp"), "id")
-    # A component without any id is still a group of its own: its fingerprint names it.
-    group = [F.coalesce("component_id", "fp").alias("__g"), F.col("component_id").isNull().alias("__n")]
-    first = (
-        found.groupBy(*group)
-        .agg(F.min(F.when(F.col("id").eqNullSafe(F.col("component_id")), F.col("__at"))).alias("__at"))
-        .select("__at")
-    )
-    kept = lookup(whole, first, ["__at"], "left_semi")
-    return kept.select(*[F.col("__row").getField(c).alias(c) for c in df.columns])

@@ -171,6 +171,23 @@ def test_removed_words_equal_brute_force(docs, rows, hot_rows):
     assert sorted(map(repr, boxed)) == sorted(map(repr, docs.collect()))
 
 
+def test_surroundings_are_folded_a_part_at_a_time(monkeypatch):
+    """Long documents: the rows are those of the whole, but for what is folded across parts."""
+    import pyarrow as pa
+
+    text = (" ".join(_texts()[18].split()[:400]) + " ") * 3
+    _, prefix = substring_dedup.anchors(substring_dedup.word_hashes(text.encode()))
+    wanted = np.unique(prefix).view(np.int64).tolist()
+    columns = [pa.array([b"d" * 16]), pa.array([5]), pa.array([text.encode()]), pa.array([wanted], pa.list_(pa.int64()))]
+    batch = pa.RecordBatch.from_arrays(columns, ["d", "r", "text", "hs"])
+    told = []
+    for size in (1 << 16, 7):
+        monkeypatch.setattr(substring_dedup, "FOLDED", size)
+        rows_ = [r for b in substring_dedup._suffixes(iter([batch])) for r in b.to_pylist()]
+        told.append(sorted((r["words"], r["before"], at) for r in rows_ for at in np.frombuffer(r["at"], np.int64).tolist()))
+    assert told[0] == told[1] and len(told[0]) > 100
+
+
 def test_spans_are_maximal_runs(spark):
     prepare(spark)
     words = [f"w{i}" for i in range(60)]

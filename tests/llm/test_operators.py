@@ -651,6 +651,17 @@ def test_top_k_is_exact(spark, pivots, block):
     assert topk.search(df.limit(0), F.lit(True), 5).count() == 0
 
 
+def test_query_groups_are_neighbours_of_about_a_block():
+    centres = [np.array([x], np.float64).tobytes() for x in (0, 100, 1, 101, 50)]
+    groups, parts = topk.query_groups(centres, {0: 4, 1: 5, 2: 3, 3: 4, 4: 25}, 10)
+    assert parts == {0: 1, 1: 1, 2: 1, 3: 1, 4: 3}
+    assert groups[0] == groups[2] and groups[1] == groups[3]
+    assert len({groups[0], groups[1], groups[4]}) == 3
+    assert topk.query_groups(centres, {}, 10) == ({}, {})
+    together, _ = topk.query_groups(centres, {c: 1 for c in range(5)}, 10)
+    assert set(together.values()) == {0}
+
+
 def test_fingerprint_does_not_depend_on_the_word_blocks(monkeypatch):
     rng = random.Random(5)
     parts = ["a", "B", " ", "\n", "\t", "\x0b", "\x1c", "é", " ", "word"]

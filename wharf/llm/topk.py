@@ -1,10 +1,13 @@
 """Exact top-k inner products by a Voronoi partition of the data.
 
-Data are grouped by their nearest pivot. A summary per cell (rows and radius) bounds every
-query's score in that cell from above and below; the lower bounds give a score that the k best
-must reach, and a query travels only to the cells whose upper bound reaches it. Cells are cut
-into blocks, so a frequent vector never makes one large task; each block is solved locally and
-the block winners are merged. The bounds only save work: every row that could win is scored.
+Queries and data are grouped by their nearest pivot. A summary per cell (rows and radius) bounds
+every query's score in that cell from above and below; the lower bounds give a score that the k
+best must reach, and a query travels only to the cells whose upper bound reaches it. What the
+queries of a group ask for together is the group's data: a row is replicated to a group only if one
+of its queries may need the row's cell. Queries of one cell, and of cells near it, ask for much the
+same cells, so groups by pivots keep the copies few. Cells are cut into blocks and large groups into parts, so a frequent
+vector never makes one large task; each block is solved locally and the block winners are merged.
+The bounds only save work: every row that could win is scored.
 
 Components are floor(scale * x), scores are integers and exact. Pivots are a bounded sample
 (``PIVOTS`` rows with the smallest hash of their id); all else covers every row.
@@ -25,6 +28,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wharf.llm.common import stored
+from wharf.plans.joins import lookup
 
 SCALE = 1024
 PIVOTS = 64
@@ -76,6 +80,31 @@ def best(scored: np.ndarray, ids: np.ndarray, own: int, k: int) -> np.ndarray:
     return at[np.lexsort((ids[at], -scored[at]))][:k]
 
 
+def query_groups(centres: list[bytes], sizes: dict[int, int], block: int) -> tuple[dict[int, int], dict[int, int]]:
+    """For each cell that has queries its group, and the number of parts that its queries are cut into.
+
+    Cells are walked from one pivot to the nearest that is left; neighbours share a group until it
+    holds a block of queries. A cell with more is a group of its own. At most ``PIVOTS`` cells.
+    """
+    left = sorted(sizes)
+    if not left:
+        return {}, {}
+    middle = _matrix(centres, _width(centres))
+    walk = [left.pop(0)]
+    while left:
+        walk.append(left.pop(int(((middle[left] - middle[walk[-1]]) ** 2).sum(1).argmin())))
+    groups, parts, group, held = {}, {}, 0, 0
+    for cell in walk:
+        parts[cell] = -(-sizes[cell] // block)
+        if held and (parts[cell] > 1 or held + sizes[cell] > block):
+            group, held = group + 1, 0
+        groups[cell] = group
+        held += sizes[cell]
+        if parts[cell] > 1:
+            group, held = group + 1, 0
+    return groups, parts
+
+
 def search(
     df: DataFrame,
     is_query: Column,
@@ -132,11 +161,13 @@ def search(
     cells = sorted(summary)
     blocks = {c: -(-summary[c][0] // block) for c in cells}
 
+    # A group: queries of neighbouring cells, about a block of them; a larger cell in parts.
     asked = placed.where("asks").groupBy("vec_id").agg(
-        F.min("v").alias("v"), F.count("*").alias("own")
-    )
-    n_asked = placed.where("asks").count()
-    rounds = max(1, -(-n_asked // block))
+        F.min(F.struct("v", "cell")).alias("first"), F.count("*").alias("own")
+    ).select("vec_id", "first.v", "own", F.col("first.cell").alias("home"))
+    asked = stored(asked, "queries")
+    sizes = {r["home"]: r["n"] for r in asked.groupBy("home").agg(F.count("*").alias("n")).collect()}
+    groups, parts = query_groups(centres, sizes, block)
 
     def travel(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         """One row per query and block that may hold one of its k best."""
@@ -164,6 +195,7 @@ def search(
                 {
                     "query_id": frame["vec_id"].to_numpy()[q],
                     "q": [blobs[i] for i in q],
+                    "home": frame["home"].to_numpy()[q],
                     "cell": np.array(cells, np.int32)[c],
                     "piece": piece.astype(np.int32),
                 }
@@ -171,18 +203,19 @@ def search(
 
     if not cells:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    turn = F.pmod(F.xxhash64(F.lit(2), "query_id"), F.lit(rounds)).cast("int")
-    routed = asked.mapInPandas(travel, "query_id bigint, q binary, cell int, piece int").withColumn("turn", turn)
-    pieces = F.element_at(
-        F.create_map(*[F.lit(x) for c in cells for x in (c, blocks[c])]), F.col("cell")
-    )
-    data = placed.select(
-        "vec_id",
-        "v",
-        "cell",
-        F.pmod(F.xxhash64(F.lit(3), F.monotonically_increasing_id()), pieces).cast("int").alias("piece"),
-        F.explode(F.sequence(F.lit(0), F.lit(rounds - 1))).alias("turn"),
-    )
+    if not sizes:
+        return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
+
+    def of_cell(counts: dict[int, int], cell: str) -> Column:
+        return F.element_at(F.create_map(*[F.lit(x) for pair in counts.items() for x in pair]), F.col(cell))
+
+    part = F.pmod(F.xxhash64(F.lit(2), "query_id"), of_cell(parts, "home")).cast("int")
+    routed = asked.mapInPandas(travel, "query_id bigint, q binary, home int, cell int, piece int")
+    grouped = routed.withColumn("part", part).withColumn("team", of_cell(groups, "home")).drop("home")
+    routed = stored(grouped, "routed")
+    needed = stored(routed.select("cell", "piece", "team", "part").distinct(), "needed")
+    cut = F.pmod(F.xxhash64(F.lit(3), F.monotonically_increasing_id()), of_cell(blocks, "cell")).cast("int")
+    data = lookup(placed.select("vec_id", "v", "cell", cut.alias("piece")), needed, ["cell", "piece"])
 
     def solve(have: pd.DataFrame, want: pd.DataFrame) -> pd.DataFrame:
         if not len(have) or not len(want):
@@ -196,7 +229,7 @@ def search(
             out.append(np.stack([np.full(len(at), query), ids[at], row[at]], 1))
         return pd.DataFrame(np.concatenate(out), columns=["query_id", "vec_id", "score"])
 
-    key = ["cell", "piece", "turn"]
+    key = ["cell", "piece", "team", "part"]
     found = (
         data.groupBy(*key)
         .cogroup(routed.groupBy(*key))

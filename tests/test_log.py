@@ -73,6 +73,23 @@ def test_rows_come_back_as_they_were(spark, log):
     assert load(spark, log).count() == 101
 
 
+def test_index_rows_of_older_appends_are_gathered(spark, log):
+    before = sorted(s.file for s in source.segments(log))
+    for n in range(3, 9):
+        sink.append(table(spark, [("b", "0", 1000 + n)]), log, f"{n}")
+    assert sink.gather_index(spark, log, leave=2) == 7
+    assert sink.gather_index(spark, log, leave=2) == 0  # what was gathered and two more
+    names = [s.file for s in source.segments(log)]
+    assert len(names) == len(set(names)) == len(before) + 6 and set(before) < set(names)
+    assert load(spark, log).count() == 156 and sink.index(spark, log).count() == len(names)
+    # The newest append may still be made again, and more are gathered later.
+    sink.append(table(spark, [("b", "0", 1008), ("b", "0", 1009)]), log, "8")
+    for n in (9, 10):
+        sink.append(table(spark, [("b", "0", 1000 + 10 * n)]), log, f"{n}")
+    assert sink.gather_index(spark, log) == 3
+    assert load(spark, log).count() == 159
+
+
 def test_filters_open_only_the_segments_they_need(spark, log):
     kept = lambda s: s.topic == "a" and s.part == "1" and s.first >= 100
     assert spoil(spark, log, kept) >= 2

@@ -71,4 +71,28 @@ def close_parts(shards: DataFrame, path: str) -> None:
 
 def index(spark: SparkSession, path: str) -> DataFrame:
     """One row for each segment."""
-    return spark.read.schema(INDEX).parquet(f"{path}/index")
+    # A segment is listed twice while its rows are being gathered.
+    return spark.read.schema(INDEX).parquet(f"{path}/index").drop("append").dropDuplicates(["file"])
+
+
+def gather_index(spark: SparkSession, path: str, leave: int = 2) -> int:
+    """Put the index rows of older appends into one table; how many appends that were.
+
+    A stream that appends per micro-batch adds an index folder each time. The ``leave`` newest stay as
+    they are, since a replay may make them again. Readers take a segment once, however often it is
+    listed, so they may read meanwhile, and a gathering that is cut short does no harm.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/index")
+    files = place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    listed = [(s.getModificationTime(), s.getPath()) for s in files.listStatus(place)]
+    appends = sorted((t, p.getName()) for t, p in listed if p.getName().startswith("append="))
+    old = [name for _, name in appends[: max(len(appends) - leave, 0)]]
+    if len(old) < 2:
+        return 0
+    paths = [f"{path}/index/{name}" for name in old]
+    target = f"{path}/index/append=gathered-{uuid.uuid4().hex}"
+    rows = spark.read.schema(INDEX).parquet(*paths).dropDuplicates(["file"])
+    rows.coalesce(1).write.parquet(target)
+    for name in old:
+        files.delete(spark._jvm.org.apache.hadoop.fs.Path(place, name), True)
+    return len(old)

@@ -117,8 +117,9 @@ def _table(path: str, columns: Sequence[str]) -> list[dict]:
 
 
 def segments(path: str) -> list[Segment]:
+    """The rows of the index, each segment once."""
     names = list(Segment.__dataclass_fields__)
-    return [Segment(**row) for row in _table(f"{path}/index", names)]
+    return list({row["file"]: Segment(**row) for row in _table(f"{path}/index", names)}.values())
 
 
 def closed_parts(path: str) -> dict[tuple, datetime]:

@@ -53,6 +53,8 @@ REACH = WINDOW - PREFIX
 HOT_ROWS = 50_000
 #: Suffixes that one task holds with their words (about 130 bytes each).
 ROWS_PER_TASK = 60_000
+#: Suffixes of one document whose equal surroundings are folded together.
+FOLDED = 1 << 16
 #: Bytes of text for each task that compares prefixes (about one of 24 bytes for 14 of them).
 BYTES_PER_TASK = 32 << 20
 #: Bytes of a text that are split into words at once, and windows that are looked at together.
@@ -226,18 +228,21 @@ def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             near = np.searchsorted(wanted, prefix).clip(max=len(wanted) - 1)
             chosen = wanted[near] == prefix
             starts, ends = places(data)
-            # Equal surroundings of one document have equal windows.
-            folded: dict[tuple, list[int]] = {}
-            for at, h in zip(position[chosen].tolist(), prefix[chosen].view(np.int64).tolist()):
-                low, high = max(at - REACH, 0), min(at + WINDOW, len(starts))
-                around = b" ".join(data[starts[low] : ends[high - 1]].split())
-                folded.setdefault((h, at - low, around), []).append(at)
-            for (h, before, around), at in folded.items():
-                rows.append((h, d, r, np.array(at, np.int64).tobytes(), before, around))
-                size += len(around) + 8 * len(at)
-                if size >= 1 << 23:
-                    yield _suffix_batch(rows)
-                    rows, size = [], 0
+            at_of, prefix_of = position[chosen], prefix[chosen].view(np.int64)
+            for part in range(0, len(at_of), FOLDED):
+                # Equal surroundings of one document have equal windows.
+                folded: dict[tuple, list[int]] = {}
+                few = slice(part, part + FOLDED)
+                for at, h in zip(at_of[few].tolist(), prefix_of[few].tolist()):
+                    low, high = max(at - REACH, 0), min(at + WINDOW, len(starts))
+                    around = b" ".join(data[starts[low] : ends[high - 1]].split())
+                    folded.setdefault((h, at - low, around), []).append(at)
+                for (h, before, around), at in folded.items():
+                    rows.append((h, d, r, np.array(at, np.int64).tobytes(), before, around))
+                    size += len(around) + 8 * len(at)
+                    if size >= 1 << 23:
+                        yield _suffix_batch(rows)
+                        rows, size = [], 0
         if rows:
             yield _suffix_batch(rows)
 

@@ -54,17 +54,17 @@ def stored(df: DataFrame, name: str, free: bool = False) -> DataFrame:
 
 
 @contextmanager
-def scratch(spark: SparkSession) -> Iterator[Callable[[DataFrame, str], DataFrame]]:
+def scratch(spark: SparkSession) -> Iterator[Callable[..., DataFrame]]:
     """What is stored inside is removed at the end, but for what goes through the function given.
 
-    That function stores a result for whoever is around. Nothing that is used later may read, by its
+    That function (with the arguments of :func:`stored`) stores a result for whoever is around. Nothing that is used later may read, by its
     plan, what was stored inside in another way.
     """
     made: list[str] = []
     _WRITTEN.append(made)
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        out = stored(df, name)
+    def keep(df: DataFrame, name: str, free: bool = False) -> DataFrame:
+        out = stored(df, name, free)
         path = made.pop()
         if len(_WRITTEN) > 1:
             _WRITTEN[-2].append(path)

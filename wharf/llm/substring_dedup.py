@@ -490,7 +490,7 @@ def deduplicate(
         "substring-copies",
     )
     with scratch(df.sparkSession) as keep:
-        found = keep(found_windows(texts, copies, size, hot_rows), "substring-found")
+        found = keep(found_windows(texts, copies, size, hot_rows), "substring-found", free=True)
     windows = found.groupBy("d").agg(F.collect_list(F.struct("at", "bits")).alias("found"))
     known = windows.join(copies.select("d", "least"), "d", "full")
     judged = df.select(row, digest.alias("d"), rank.alias("r")).join(known, "d", "left")

@@ -304,3 +304,26 @@ def test_failed_commits_equal_the_fold(spark, span):
     literal = [("t", "0", 100, 0, False), ("t", "0", 101, 1, True)]
     log = spark.createDataFrame(literal, log.schema)
     assert rows(delivery.commit_attempts(log)) == [("t", "0", 0, 101, False), ("t", "0", 1, 102, True)]
+
+
+def test_acks_of_one_number_are_tried_each(spark):
+    """Acks 1 fail twice, acks 2 fail once and succeed twice, acks 3 have nothing left to commit."""
+    data = [
+        ("t", "0", 100, 1, False),
+        ("t", "0", 101, 1, False),
+        ("t", "0", 102, 2, True),
+        ("t", "0", 103, 2, False),
+        ("t", "0", 104, 2, True),
+        ("t", "0", 105, None, None),
+        ("t", "0", 106, 3, False),
+        ("t", "0", 107, 3, False),
+    ]
+    log = spark.createDataFrame(
+        data, "topic string, part string, off bigint, ack_seq bigint, commit_ok boolean"
+    )
+    assert rows(delivery.commit_attempts(log)) == [
+        ("t", "0", 1, 102, False),
+        ("t", "0", 1, 102, False),
+        ("t", "0", 2, 105, False),
+        ("t", "0", 2, 105, True),
+    ]

@@ -277,13 +277,25 @@ def commit_attempts(ledger: DataFrame, span: int = SPAN) -> DataFrame:
     A failed commit leaves its prefix as it is, so the next ack of the partition tries again,
     wherever its own row is, and the first success sweeps all of it. An ack thus tries when
     no success of an earlier ack could have taken in the last advance of the prefix.
+
+    Every row is an ack of its own, also where several of a partition share an ``ack_seq``. Those
+    try in turn, the failures first, for the prefix that they reach together: each failure is a row,
+    and of the successes only the first one finds something to commit.
     """
     advances = commits(ledger, span).withColumnRenamed("at_ack", "ack_seq")
-    made = ledger.where(F.col("ack_seq").isNotNull()).select(*PARTITION, "ack_seq", "commit_ok")
+    made = ledger.where(F.col("ack_seq").isNotNull()).select(
+        *PARTITION, "ack_seq", "commit_ok", F.lit(1).alias("__made")
+    )
+    ok = F.col("commit_ok")
     log = settle(
         made.unionByName(advances, allowMissingColumns=True)
         .groupBy(*PARTITION, "ack_seq")
-        .agg(F.max("commit_ok").alias("commit_ok"), F.max("commit_offset").alias("__advance"))
+        .agg(
+            F.max(ok).alias("commit_ok"),
+            F.count(F.when(~ok, 1)).alias("__failed"),
+            F.count(F.when(ok.isNull(), F.col("__made"))).alias("__unknown"),
+            F.max("commit_offset").alias("__advance"),
+        )
     )
     ack = F.col("ack_seq")
     seen = running(
@@ -293,12 +305,19 @@ def commit_attempts(ledger: DataFrame, span: int = SPAN) -> DataFrame:
         {
             "commit_offset": Running("max", F.col("__advance")),
             "__advanced": Running("max", F.when(F.col("__advance").isNotNull(), ack)),
-            "__swept": Running("max", F.when(F.col("commit_ok"), ack), exclusive=True),
+            "__swept": Running("max", F.when(ok, ack), exclusive=True),
         },
         span,
     )
     pending = F.col("__advanced") > F.coalesce("__swept", F.col("__advanced") - 1)
-    return seen.where(pending).select(*PARTITION, "ack_seq", "commit_offset", "commit_ok")
+    tries = F.concat(
+        F.array_repeat(F.lit(None).cast("boolean"), F.col("__unknown").cast("int")),
+        F.array_repeat(F.lit(False), F.col("__failed").cast("int")),
+        F.array_repeat(F.lit(True), F.when(ok, 1).otherwise(0)),
+    )
+    return seen.where(pending).select(
+        *PARTITION, "ack_seq", "commit_offset", F.explode(tries).alias("commit_ok")
+    )
 
 
 def seek_positions(delivered: DataFrame, acks: DataFrame) -> DataFrame:

@@ -696,3 +696,26 @@ def test_what_is_stored_in_passing_is_removed(spark, tmp_path):
             stored(spark.range(1), "passing-failed")
             raise RuntimeError
     assert len(folders() - before) == 1
+
+
+def test_near_duplicates_of_a_large_bucket_are_found(spark):
+    """Variants of one template share large buckets only; two of them are linked to each other."""
+    template = " ".join(f"t{i}" for i in range(200))
+
+    def variant(name: str, own: int) -> str:
+        return template + " " + " ".join(f"{name}x{i}" for i in range(own))
+
+    texts = [variant(f"v{n}", 30) for n in range(250)]
+    texts += [variant("p", 22), variant("q", 22)]
+    sets = [set(shingles.shingles(t).tolist()) for t in texts]
+    rows = [(n, t) for n, t in enumerate(texts)]
+    linked = {
+        (a, b)
+        for a in range(len(texts))
+        for b in range(a)
+        if 9 * len(sets[a] & sets[b]) >= 4 * (len(sets[a]) + len(sets[b]))
+    }
+    assert linked == {(251, 250)}
+    df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
+    kept = {r.doc_id for r in shingles.keep_one(df).select("doc_id").collect()}
+    assert kept == set(range(251))

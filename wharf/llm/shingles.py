@@ -16,9 +16,10 @@ similarity of 4/5 out (a true pair is lost to that sketch in 1 of 20,000 cases).
 has several representatives, the least is tried first.
 
 *Rounds.* Buckets with a document that is not connected to a representative go on to a second round
-with new ones. What is left in buckets of at most ``FEW`` rows is then compared in full. Sets that
-share only larger buckets, and there no representative that either is linked to, stay apart: the
-tests and the README hold the recall against all pairs.
+with new ones. What is left is then compared in full, however large a bucket is: in pairs of blocks,
+by many tasks. So all sets of similarity 4/5 that share a bucket are connected, but for what the
+one-bit sketch loses. This step is quadratic in the rows of a bucket that are like each other, by
+that sketch, but not linked; the tests and the README hold the recall against all pairs.
 
 Defined cases: words and blank texts are those of ``simhash``; a text of fewer than five words
 is one shingle; texts without words are one group; documents with equal sets are folded first;
@@ -32,7 +33,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from wharf.llm import simhash
 from wharf.llm.common import scratch, stored
@@ -46,8 +47,8 @@ BANDS, ROWS = 20, 6
 LEAST_EQUAL = 94
 #: Representatives of a bucket in a round, and rounds.
 CHOSEN, ROUNDS = 4, 2
-#: Rows of a bucket, after the last round, that are compared with all others of it.
-FEW = 32
+#: Rows of a bucket, and shingles of their sets, that make a block of it after the last round.
+TOGETHER, SET_ROWS = 512, 1 << 19
 #: Shingles that are hashed together.
 BLOCK = 4096
 #: Sets of frequent documents that a task keeps while it verifies pairs.
@@ -141,6 +142,27 @@ def _verified(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
 
+def _similar(pairs: pa.Table, texts: pa.Table) -> pa.Table:
+    """The pairs (a, b) of one group of texts that have a similarity of 4/5 or more."""
+    sets = {v: shingles(t.as_py()) for v, t in zip(texts.column("v").to_pylist(), texts.column("text"))}
+    distinct = np.unique(np.concatenate(list(sets.values()) or [np.zeros(0, np.uint64)]))
+    places = {v: np.searchsorted(distinct, h) for v, h in sets.items()}
+    pairs = pairs.select(["a", "b"]).sort_by("a")
+    a, b = pairs.column("a").to_numpy(), pairs.column("b").to_numpy()
+    starts = np.flatnonzero(np.diff(a, prepend=a[:1] - 1))
+    keep = np.zeros(len(a), bool)
+    mark = np.zeros(len(distinct), np.int8)
+    for low, high in zip(starts, [*starts[1:], len(a)]):
+        mine = places[a[low]]
+        mark[mine] = 1
+        others = [places[v] for v in b[low:high]]
+        n = np.array([len(o) for o in others])
+        both = np.add.reduceat(mark[np.concatenate(others)], np.cumsum(n) - n, dtype=np.int64)
+        keep[low:high] = 9 * both >= 4 * (len(mine) + n)
+        mark[mine] = 0
+    return pairs.filter(pa.array(keep))
+
+
 class _Groups:
     """What is connected so far: ``roots`` (v, c), the root of every document that is not one itself."""
 
@@ -158,15 +180,56 @@ class _Groups:
         named = self.labelled(self.labelled(met.withColumn("rv", F.col("r.v")), "v", "c"), "rv", "rc")
         return named.where("c != rc")
 
-    def open_pairs(self, met: DataFrame) -> DataFrame:
-        """Pairs (a, b) of ``met`` that are apart and may be similar, by their sizes and sketches."""
+    @staticmethod
+    def likely() -> Column:
+        """Whether the sizes and sketches of a row and of ``r`` allow a similarity of 4/5."""
         differ = F.bit_count(F.col("s0").bitwiseXOR(F.col("r.s0"))) + F.bit_count(
             F.col("s1").bitwiseXOR(F.col("r.s1"))
         )
         sizes = (4 * F.col("n") <= 5 * F.col("r.n")) & (4 * F.col("r.n") <= 5 * F.col("n"))
+        return sizes & (differ <= BANDS * ROWS - LEAST_EQUAL)
+
+    def open_pairs(self, met: DataFrame) -> DataFrame:
+        """Pairs (a, b) of ``met`` that are apart and may be similar, by their sizes and sketches."""
         # Filtered first: only pairs that may count are looked up.
-        likely = met.where(sizes & (differ <= BANDS * ROWS - LEAST_EQUAL))
-        return self.apart(likely).select(F.col("r.v").alias("a"), F.col("v").alias("b"))
+        return self.apart(met.where(self.likely())).select(F.col("r.v").alias("a"), F.col("v").alias("b"))
+
+    def rest_pairs(self, rows: DataFrame) -> DataFrame:
+        """All pairs (a, b) of ``rows`` of a bucket that are apart and may be similar, each in one group ``at``.
+
+        A large bucket is cut into blocks, and each two of its blocks meet in a group of their own:
+        so no task holds more than two blocks, however large a bucket is.
+        """
+        named = stored(self.labelled(rows, "v", "c"), "shingle-named")
+        sizes = named.groupBy("key").agg(
+            F.greatest(F.count("*") / F.lit(TOGETHER), F.sum("n") / F.lit(SET_ROWS)).alias("g"),
+            F.min("c").alias("least"),
+            F.max("c").alias("most"),
+        )
+        blocks = F.ceil("g").cast("bigint").alias("blocks")
+        mixed = stored(sizes.where("least != most").select("key", blocks), "shingle-mixed")
+        dealt = lookup(named, mixed, ["key"]).withColumn("own", F.pmod(F.xxhash64("v"), F.col("blocks")))
+        every = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("blocks") - 1))
+        names = ["v", "n", "s0", "s1", "c"]
+        left = dealt.select("key", F.col("own").alias("i"), every.alias("j"), *names)
+        right = dealt.select("key", every.alias("i"), F.col("own").alias("j"), F.struct(*names).alias("r"))
+        met = left.join(right, ["key", "i", "j"]).where("v > r.v AND c != r.c").where(self.likely())
+        at = F.xxhash64("key", F.least("i", "j"), F.greatest("i", "j"))
+        return met.groupBy(F.col("r.v").alias("a"), F.col("v").alias("b")).agg(F.min(at).alias("at"))
+
+    def verify_rest(self, rows: DataFrame) -> None:
+        """Connect all similar sets among ``rows`` of a bucket; a text goes once to each of its groups."""
+        spark = self.texts.sparkSession
+        with scratch(spark) as keep:
+            pairs = stored(self.rest_pairs(rows), "shingle-rest")
+            if pairs.isEmpty():
+                return
+            ends = pairs.select("at", F.col("a").alias("v")).unionAll(pairs.select("at", "b")).distinct()
+            read = lookup(self.texts, stored(ends, "shingle-rest-ends"), ["v"]).select("at", "v", "text")
+            tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+            left, right = pairs.repartition(tasks, "at"), read.repartition(tasks, "at")
+            good = left.groupBy("at").cogroup(right.groupBy("at")).applyInArrow(_similar, "a bigint, b bigint")
+            self.roots = keep(self._joined(stored(good, "shingle-links", free=True)), "shingle-roots")
 
     def verify(self, pairs: DataFrame) -> None:
         """Connect the pairs (a, b) whose sets are similar; ``a`` may come very often."""
@@ -187,7 +250,10 @@ class _Groups:
         one = lookup(pairs, read.withColumnsRenamed({"v": "b", "text": "tb"}), ["b"])
         two = lookup(one, read.withColumnsRenamed({"v": "a", "text": "ta"}), ["a"])
         good = two.select("a", "b", "ta", "tb").mapInArrow(_verified, "a bigint, b bigint")
-        good = stored(good, "shingle-links", free=True)
+        return self._joined(stored(good, "shingle-links", free=True))
+
+    def _joined(self, good: DataFrame) -> DataFrame:
+        """The roots with these links."""
         # Groups are contracted, so that only what is new is joined.
         new = self.labelled(self.labelled(good, "a", "ca"), "b", "cb").where("ca != cb")
         joined = components(new.select(F.col("ca").alias("a"), F.col("cb").alias("b")).distinct())
@@ -224,10 +290,7 @@ def links(texts: DataFrame) -> DataFrame:
         done = least.select("key", F.col("r.v").alias("v"))
         left = rows.join(mixed, "key", "left_semi").join(done, ["key", "v"], "left_anti")
         rows = stored(left.select(*names), "shingle-buckets")
-    few = rows.groupBy("key").agg(F.count("*").alias("g")).where(F.col("g").between(2, FEW)).select("key")
-    rows = stored(rows.join(few, "key", "left_semi"), "shingle-few")
-    others = rows.select("key", F.struct(*names[1:]).alias("r"))
-    groups.verify(groups.open_pairs(rows.join(others, "key").where(F.col("v") > F.col("r.v"))))
+    groups.verify_rest(rows)
     return groups.roots
 
 

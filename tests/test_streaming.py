@@ -336,3 +336,26 @@ def test_ledgers_are_empty_before_the_first_micro_batch(spark, tmp_path):
     breaker.process(spark.createDataFrame([], OUTCOMES), 0)
     empty = [contract.valid(), contract.quarantine(), acks.commits(), acks.refused(), breaker.trips()]
     assert [df.count() for df in empty] == [0] * 5
+
+
+@pytest.mark.parametrize("versioned", [False])
+def test_contract_checks_of_one_file_are_dealt_out(spark, tmp_path, versioned):
+    """The messages of a micro-batch that come as one partition are checked by many tasks."""
+    rows_ = [("message", n, f"m{n}", "t", b"{}" if n % 2 else b"[1]", {"a": "b"}) for n in range(400)]
+    batch = spark.createDataFrame(
+        rows_,
+        "kind string, seq bigint, id string, topic string, payload binary, attributes map<string, string>",
+    )
+    fields = "CAST(array() AS array<struct<name:string,type:string>>) AS required_fields"
+    change = ["'t' AS topic", "'register' AS op", fields]
+    if versioned:
+        changes = spark.range(1).selectExpr("'change' AS kind", "-1L AS seq", *change)
+        batch = batch.unionByName(changes, allowMissingColumns=True).coalesce(1)
+        ledger = ledgers.VersionedContractLedger(spark, str(tmp_path), few=0)
+    else:
+        batch = batch.select("id", "topic", "payload", "attributes").coalesce(1)
+        ledger = ledgers.ContractLedger(spark, str(tmp_path), spark.range(1).selectExpr(*change))
+    ledger.process(batch, 0)
+    files = [path.name.split("-")[1] for path in (tmp_path / "checked").rglob("part-*.parquet")]
+    assert len(set(files)) == 4  # the session's shuffle partitions
+    assert (ledger.valid().count(), ledger.quarantine().count()) == (200, 200)

@@ -470,7 +470,11 @@ class ContractLedger(_Ledger):
         self.fail = fail
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        self.split(contracts.check(batch, self.schemas), batch_id)
+        self.split(contracts.check(self.spread(batch), self.schemas), batch_id)
+
+    def spread(self, rows: DataFrame) -> DataFrame:
+        """``rows`` dealt out evenly: a check costs far more than its bytes, and few files make few tasks."""
+        return rows.repartition(int(self.spark.conf.get("spark.sql.shuffle.partitions")))
 
     def split(self, checked: DataFrame, batch_id: int) -> None:
         if self.fail:

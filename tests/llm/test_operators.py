@@ -719,3 +719,51 @@ def test_near_duplicates_of_a_large_bucket_are_found(spark):
     df = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(8)
     kept = {r.doc_id for r in shingles.keep_one(df).select("doc_id").collect()}
     assert kept == set(range(251))
+
+
+def test_parities_lose_no_similar_pair():
+    """Sets differ in as many shingles as cells, or more; halves fold into the parities for fewer cells."""
+    draw = np.random.default_rng(5)
+    for n in (0, 1, 16, 17, 100, 1000, 20_000):
+        whole = np.unique(draw.integers(0, 1 << 63, n + n // 4, dtype=np.uint64))
+        left, right = whole[:n], whole[n // 8 :]
+        mine, other = shingles.parities(left), shingles.parities(right)
+        assert 4 * n <= 64 * len(mine) <= max(8 * n, 64)
+        while len(mine) > len(other):
+            mine = mine[: len(mine) // 2] ^ mine[len(mine) // 2 :]
+        while len(other) > len(mine):
+            other = other[: len(other) // 2] ^ other[len(other) // 2 :]
+        differ = int(np.bitwise_count((mine ^ other).view(np.uint64)).sum())
+        apart = len(np.setxor1d(left, right))
+        assert differ <= apart and differ % 2 == apart % 2
+        assert 5 * differ >= 4 * apart
+
+
+def test_what_is_left_of_a_large_bucket_makes_few_pairs(spark, monkeypatch):
+    """Variants that are like each other, but not linked, are not paired with each other."""
+    template = " ".join(f"t{i}" for i in range(200))
+
+    def variant(name: str, own: int) -> str:
+        return template + " " + " ".join(f"{name}x{i}" for i in range(own))
+
+    texts = [variant(f"v{n}", 45) for n in range(150)]
+    # Two that are linked, and two of them with parities of different lengths.
+    texts += [variant("p", 22), variant("q", 22)]
+    long = " ".join(f"u{i}" for i in range(250))
+    texts += [long + " " + " ".join(f"{n}y{i}" for i in range(120)) for n in range(100)]
+    texts += [long, long + " " + " ".join(f"z{i}" for i in range(40))]
+    sizes = {len(shingles.parities(shingles.shingles(t))) for t in texts[-2:]}
+    assert len(sizes) == 2
+    counts = []
+    whole = shingles._Groups.rest_pairs
+
+    def counted(self, rows):
+        pairs = whole(self, rows)
+        counts.append(pairs.count())
+        return pairs
+
+    monkeypatch.setattr(shingles._Groups, "rest_pairs", counted)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(8)
+    kept = {r.doc_id for r in shingles.keep_one(df).select("doc_id").collect()}
+    assert kept == set(range(len(texts))) - {151, 253}
+    assert sum(counts) <= len(texts)

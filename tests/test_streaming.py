@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import os
 import random
 
 import pytest
@@ -359,3 +360,27 @@ def test_contract_checks_of_one_file_are_dealt_out(spark, tmp_path, versioned):
     files = [path.name.split("-")[1] for path in (tmp_path / "checked").rglob("part-*.parquet")]
     assert len(set(files)) == 4  # the session's shuffle partitions
     assert (ledger.valid().count(), ledger.quarantine().count()) == (200, 200)
+
+
+def test_rows_of_a_message_fold_once_and_without_sorting(spark, tmp_path, monkeypatch):
+    """One aggregate by id serves commits and refusals; what passes through is removed."""
+    plans, put = {}, ledgers.batches.put
+
+    def told(df, base, *more):
+        plans[os.path.basename(base)] = df._jdf.queryExecution().executedPlan().toString()
+        put(df, base, *more)
+
+    monkeypatch.setattr(ledgers.batches, "put", told)
+    log = [("delivered", "m1", "t", "0", 1, None), ("delivered", "m2", None, "0", 2, None)]
+    log += [("ack", "m1", "t", "0", 1, 1), ("ack", "m1", "t", "0", 1, 2), ("ack", "m9", "t", "0", 9, 3)]
+    batch = spark.createDataFrame(log, "kind string, id string, topic string, part string, off bigint, ack_seq bigint")
+    ledger = ledgers.AckLedger(spark, str(tmp_path))
+    ledger.process(batch, 0)
+    assert "HashAggregate" in plans["folded"] and "SortAggregate" not in plans["folded"]
+    assert "Aggregate" not in plans["refused"]
+    assert {(r.topic, r.commit_offset) for r in ledger.commits().collect()} == {("t", 2)}
+    assert {(r.id, r.ack_seq) for r in ledger.refused().collect()} == {("m1", 2), ("m9", 3)}
+    open_rows = spark.read.parquet(f"{tmp_path}/open/batch_id=0").collect()
+    assert [(r.topic, r.off, r.id) for r in open_rows] == [(None, 2, "m2")]
+    for kind in ("arrived", "folded", "prefixed"):
+        assert not os.path.exists(f"{tmp_path}/{kind}/batch_id=0")

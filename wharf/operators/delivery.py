@@ -262,10 +262,10 @@ def with_prefix(
     return rows.withColumn("in_prefix", F.col("__whole") == 1).drop("__whole")
 
 
-def commits_of(rows: DataFrame) -> DataFrame:
+def commits_of(rows: DataFrame, keys: list[str] = PARTITION) -> DataFrame:
     return (
         rows.where("in_prefix")
-        .groupBy(*PARTITION, "at_ack")
+        .groupBy(*keys, "at_ack")
         .agg((F.max("off") + 1).alias("commit_offset"))
     )
 

@@ -160,53 +160,74 @@ class AckLedger(_Ledger):
         self.span = span
 
     def process(self, batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist()  # read by the fold and by the refusals
-        try:
-            self._process(batch, batch_id)
-        finally:
-            batch.unpersist()
+        # Read by the partitions, the fold and the refusals, a few columns each.
+        self._process(self._passing(batch, "arrived", batch_id), batch_id)
+        for kind in ("arrived", "folded", "prefixed"):
+            batches.forget(self.spark, f"{self.folder}/{kind}", batch_id)
 
     def _process(self, batch: DataFrame, batch_id: int, stale: DataFrame | None = None) -> None:
         """Fold one micro-batch; ``stale`` are further acks that are refused."""
         spark, base = batch.sparkSession, f"{self.folder}/open"
-        place = [*self.keys, self.position]
+        names = self.open_rows.fieldNames()
         before = batches.get(spark, base, batch_id - 1, self.open_rows)
-        runs = before.where(F.col("id").isNull())
-        waiting = before.where(F.col("id").isNotNull())
         arrived = batch.where("kind = 'delivered'").select(
-            *place, "id", F.lit(None).cast("bigint").alias("ack_seq")
+            *self.keys, self.position, "id", F.lit(None).cast("bigint").alias("ack_seq")
         )
         acks = batch.where("kind = 'ack'").select("id", "ack_seq")
-        # Per id the open row, repeated deliveries and all acks fold into one row.
+        known = before.select(*names, F.col("id").isNull().alias("run")).unionByName(
+            arrived.withColumn("run", F.lit(False))
+        )
+        # Partitions go by a number: numeric buffers keep the aggregate by id hash-based.
+        seen = known.select(*self.keys).distinct()
+        parts = settle(seen.withColumn("number", F.monotonically_increasing_id()))
+        placed = lookup(known, parts, self.keys, null_safe=True).drop(*self.keys)
+        runs = placed.where("run").drop("run")
+        # Per id the open row, repeated deliveries and all acks fold into one row; without a
+        # delivery it has no number.
         folded = (
-            waiting.unionByName(arrived)
-            .withColumn("held", F.lit(1))
+            placed.where("NOT run")
+            .drop("run")
             .unionByName(acks, allowMissingColumns=True)
             .groupBy("id")
-            .agg(*[F.min(c).alias(c) for c in (*place, "ack_seq", "held")])
+            .agg(
+                *[F.min(c).alias(c) for c in ("number", self.position, "ack_seq")],
+                F.max("ack_seq").alias("last_ack"),
+            )
         )
-        ledger = settle(self.numbered(folded.where("held = 1").drop("held").unionByName(runs)))
+        folded = self._passing(folded, "folded", batch_id)
+        # An acked row goes on without its id.
+        held = folded.where(F.col("number").isNotNull()).drop("last_ack")
+        held = held.withColumn("id", F.when(F.col("ack_seq").isNull(), F.col("id")))
         # Rows between the same unacked ones share a gap number.
         gap = Running("sum", F.col("ack_seq").isNull().cast("int"))
-        rows = settle(delivery.with_prefix(ledger, self.span, {"gap": gap}, self.keys))
-        freed = self.commits_of(rows).select(*self.released.fieldNames())
-        batches.put(freed, f"{self.folder}/commits", batch_id)
+        ledger = self.numbered(held.unionByName(runs))
+        rows = delivery.with_prefix(ledger, self.span, {"gap": gap}, ["number"])
+        rows = self._passing(rows, "prefixed", batch_id)
+        freed = lookup(self.commits_of(rows), parts, ["number"])
+        batches.put(freed.select(*self.released.fieldNames()), f"{self.folder}/commits", batch_id)
         held_up = rows.where(~F.col("in_prefix"))
         run = (
             held_up.where(F.col("ack_seq").isNotNull())
-            .groupBy(*self.keys, "gap")
+            .groupBy("number", "gap")
             .agg(
                 F.max_by(self.position, "off").alias(self.position),
                 F.max("ack_seq").alias("ack_seq"),
             )
             .withColumn("id", F.lit(None).cast("string"))
         )
-        names = self.open_rows.fieldNames()
+        own = ["number", self.position, "id", "ack_seq"]
         unacked = held_up.where(F.col("ack_seq").isNull())
-        batches.put(unacked.select(*names).unionByName(run.select(*names)), base, batch_id)
+        still = lookup(unacked.select(*own).unionByName(run.select(*own)), parts, ["number"])
+        batches.put(still.select(*names), base, batch_id)
 
-        known = waiting.select("id").unionByName(arrived.select("id"))
-        refused = delivery.refused_acks(known, acks).select(*_REFUSED.fieldNames())
+        strange = F.col("number").isNull()
+        faulty = settle(
+            folded.where(strange | (F.col("ack_seq") < F.col("last_ack"))).select(
+                "id", strange.alias("strange"), F.col("ack_seq").alias("first_ack")
+            )
+        )
+        late = lookup(acks, faulty, ["id"]).where("strange OR ack_seq > first_ack")
+        refused = late.select("id", "ack_seq", delivery.refusal(F.col("id")).alias("message"))
         if stale is not None:
             refused = refused.unionByName(stale)
         batches.put(refused, f"{self.folder}/refused", batch_id)
@@ -214,12 +235,17 @@ class AckLedger(_Ledger):
         batches.forget(spark, base, batch_id - 2)
         self.fold(batch_id, commits=self.released, refused=_REFUSED)
 
+    def _passing(self, df: DataFrame, kind: str, batch_id: int) -> DataFrame:
+        """``df``, computed once into a table that lasts as long as its micro-batch does, or its replay."""
+        batches.put(df, f"{self.folder}/{kind}", batch_id)
+        return batches.get(df.sparkSession, f"{self.folder}/{kind}", batch_id, df.schema)
+
     def numbered(self, ledger: DataFrame) -> DataFrame:
         """The ledger with ``off``, a BIGINT in the order of the positions."""
         return ledger
 
     def commits_of(self, rows: DataFrame) -> DataFrame:
-        return delivery.commits_of(rows)
+        return delivery.commits_of(rows, ["number"])
 
     def commits(self) -> DataFrame:
         rows = batches.everything(self.spark, f"{self.folder}/commits", _COMMITS)
@@ -245,15 +271,15 @@ class ShardLedger(AckLedger):
     open_rows, released = _OPEN_SHARDS, _WATERMARKS
 
     def numbered(self, ledger: DataFrame) -> DataFrame:
-        order = ["part", "__pos"]
+        order = ["number", "__pos"]
         ranged = ledger.withColumn("__pos", digits.order(F.col("pos"))).repartitionByRange(*order)
         placed = ranged.sortWithinPartitions(*order).drop("__pos")
-        return placed.withColumn("off", F.monotonically_increasing_id())
+        return settle(placed.withColumn("off", F.monotonically_increasing_id()))
 
     def commits_of(self, rows: DataFrame) -> DataFrame:
         return (
             rows.where("in_prefix")
-            .groupBy(*self.keys, "at_ack")
+            .groupBy("number", "at_ack")
             .agg(F.max_by("pos", "off").alias("checkpoint"))
         )
 

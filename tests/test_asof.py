@@ -169,3 +169,26 @@ def test_failing_policy_stops_at_a_refused_message(spark, tmp_path):
     with pytest.raises(Exception, match="missing required field"):
         ledger.process(spark.createDataFrame(bad, LOG), 1)
     assert rows(ledger.versions().select(F.col("seq"))) == [(0,)]
+
+
+def test_a_micro_batch_makes_its_versions_once(spark, tmp_path, monkeypatch):
+    made, versions = [], contracts.versions
+    monkeypatch.setattr(contracts, "versions", lambda changes: made.append(1) or versions(changes))
+    shape = (
+        "kind string, id string, topic string, payload binary, attributes map<string,string>, op string, "
+        "required_fields array<struct<name:string,type:string>>, seq bigint"
+    )
+    rows_ = [
+        ("change", None, "t", None, None, "register", [("k", "NUMBER")], 1),
+        ("message", "good", "t", b'{"k": 1}', {}, None, None, 2),
+        ("message", "bad", "t", b"{}", {}, None, None, 3),
+    ]
+    for few in (64, 0):  # as intervals, and along the topic
+        made.clear()
+        folder = tmp_path / str(few)
+        ledger = ledgers.VersionedContractLedger(spark, str(folder), few=few)
+        ledger.process(spark.createDataFrame(rows_, shape), 0)
+        assert len(made) == 1
+        assert [r.id for r in ledger.quarantine().collect()] == ["bad"]
+        assert [r.seq for r in ledger.versions().collect()] == [1]
+        assert not (folder / "known" / "batch_id=0").exists()

@@ -269,18 +269,20 @@ def bind_as_of(
     at: str = "seq",
     span: int = SPAN,
     few: int = FEW_VERSIONS,
+    versioned: bool = False,
 ) -> DataFrame:
     """Add ``required_fields``: the contract that was valid at each message (null: none).
 
     ``changes`` is a change log ``(topic, op, required_fields, seq)`` in the same order as the
     messages' column ``at``. A message is bound to the last change at or before it; a removal, or
-    nothing before it, leaves it without a contract, as does a missing ``at``.
+    nothing before it, leaves it without a contract, as does a missing ``at``. With ``versioned``,
+    ``changes`` is a stored result of :func:`versions`.
 
     With few versions a topic they are broadcast as intervals. Else messages and changes run along
     the topic together: the last change is a running maximum over blocks of positions, so neither
     the messages nor the versions of a hot topic meet in one task.
     """
-    known = settle(versions(changes))
+    known = changes if versioned else settle(versions(changes))
     of_topic = known.groupBy("topic").agg(F.count("*").alias("n"))
     most = of_topic.agg(F.max("n")).first()[0] or 0
     kept = [F.col(f"`{c}`") for c in messages.columns if c != "required_fields"]
@@ -325,9 +327,10 @@ def check_as_of(
     validators: Mapping[str, Validator] | None = None,
     span: int = SPAN,
     few: int = FEW_VERSIONS,
+    versioned: bool = False,
 ) -> DataFrame:
     """Validate every message by the contract that was valid at it."""
-    return validate(bind_as_of(messages, changes, at, span, few), validators).drop("required_fields")
+    return validate(bind_as_of(messages, changes, at, span, few, versioned), validators).drop("required_fields")
 
 
 def message_of(topic: Column, field: Column, reason: Column) -> Column:

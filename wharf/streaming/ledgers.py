@@ -126,6 +126,11 @@ class _Ledger:
         for kind, schema in kinds.items():
             batches.fold(self.spark, f"{self.folder}/{kind}", batch_id, schema, self.every)
 
+    def _passing(self, df: DataFrame, kind: str, batch_id: int) -> DataFrame:
+        """``df``, computed once into a table that lasts as long as its micro-batch does, or its replay."""
+        batches.put(df, f"{self.folder}/{kind}", batch_id)
+        return batches.get(df.sparkSession, f"{self.folder}/{kind}", batch_id, df.schema)
+
     def process(self, batch: DataFrame, batch_id: int) -> None:
         raise NotImplementedError
 
@@ -235,11 +240,6 @@ class AckLedger(_Ledger):
         batches.forget(spark, base, batch_id - 2)
         self.fold(batch_id, commits=self.released, refused=_REFUSED)
 
-    def _passing(self, df: DataFrame, kind: str, batch_id: int) -> DataFrame:
-        """``df``, computed once into a table that lasts as long as its micro-batch does, or its replay."""
-        batches.put(df, f"{self.folder}/{kind}", batch_id)
-        return batches.get(df.sparkSession, f"{self.folder}/{kind}", batch_id, df.schema)
-
     def numbered(self, ledger: DataFrame) -> DataFrame:
         """The ledger with ``off``, a BIGINT in the order of the positions."""
         return ledger
@@ -563,12 +563,15 @@ class VersionedContractLedger(ContractLedger):
         names = _CHANGE.fieldNames()
         before = batches.get(self.spark, base, batch_id - 1, _CHANGE)
         fresh = batch.where("kind = 'change'").select(*names)
-        known = settle(contracts.versions(before.unionByName(fresh)))
+        known = self._passing(contracts.versions(before.unionByName(fresh)), "known", batch_id)
         # A late message of this micro-batch still finds what is forgotten after it.
         messages = batch.where("kind = 'message'").select(*MESSAGE_COLUMNS, "seq")
-        checked = contracts.check_as_of(messages, known, "seq", span=self.span, few=self.few)
+        checked = contracts.check_as_of(
+            messages, known, "seq", span=self.span, few=self.few, versioned=True
+        )
         self.split(checked.drop("seq"), batch_id)
         batches.put(self.lasting(known).select(*names), base, batch_id)
+        batches.forget(self.spark, f"{self.folder}/known", batch_id)
         batches.forget(self.spark, base, batch_id - 2)
 
     def lasting(self, known: DataFrame) -> DataFrame:
